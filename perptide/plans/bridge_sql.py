@@ -51,7 +51,9 @@ stg AS (
   FROM stg1)"""
 
 
-INSTRUMENTS = f"""
+def instruments(where: str = "true") -> str:
+    """CTE ``instruments``: versions out of hourly contract snapshots; needs ``ev``."""
+    return f"""
 snap AS (
   SELECT venue, symbol, sym_no, (obs_ms - {T0}) // 3600000 AS hour_no FROM ev GROUP BY ALL),
 inst_rows AS (
@@ -60,7 +62,7 @@ inst_rows AS (
     CASE WHEN sym_no = 0 AND (hour_no // 3) % 2 = 0 THEN 1000 ELSE 1 END AS mult,
     {INTERVAL} AS funding_interval_h,
     CASE WHEN sym_no = 2 AND hour_no >= 6 THEN 'suspended' ELSE 'trading' END AS status
-  FROM snap WHERE sym_no <> 4 OR hour_no % 5 <> 2),
+  FROM snap WHERE (sym_no <> 4 OR hour_no % 5 <> 2) AND ({where})),
 inst_at AS (
   SELECT venue, ts_ms, lead(ts_ms) OVER (PARTITION BY venue ORDER BY ts_ms) AS nxt
   FROM (SELECT DISTINCT venue, ts_ms FROM inst_rows)),
@@ -81,6 +83,9 @@ instruments AS (
   SELECT * EXCLUDE (vt0), CASE WHEN vt0 < 0 THEN NULL ELSE vt0 END AS vt FROM instr)"""
 
 
+INSTRUMENTS = instruments()
+
+
 def mult_at(ts_ms: str, alias: str) -> str:
     """Scalar subquery: multiplier as of a minute, nearest version as fallback."""
     return f"""(SELECT i.mult FROM instruments i

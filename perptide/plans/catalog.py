@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from perptide.plans import catalog_merge
+from perptide.plans import catalog_merge, catalog_metrics, catalog_normalize
 
-MODULES = (catalog_merge,)
+REGISTRIES = (catalog_merge.query, catalog_normalize.query, catalog_metrics.query)
 
 
 def queries():
-    return {name: fn for module in MODULES for name, fn in module.QUERIES.items()}
+    return {name: fn for registry in REGISTRIES for name, fn in registry.queries.items()}
 
 
 def oracle_sql():
-    return {name: text for module in MODULES for name, text in module.SQL.items()}
+    return {name: text for registry in REGISTRIES for name, text in registry.sql.items()}

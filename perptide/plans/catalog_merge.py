@@ -8,21 +8,10 @@ from perptide.operators import asof, merge
 from perptide.functions import scalars as C
 from perptide.plans import bridge
 from perptide.plans import bridge_sql as B
+from perptide.plans.registry import Registry
 from perptide.plans.common import big, market, market_out, ms, r6, stage_out
 
-QUERIES = {}
-SQL = {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-
-    return register
-
+query = Registry()
 
 STAGE_OUT_SQL = f"""
 SELECT venue, symbol, ts_ms, ingest_ms, source, semantic, {B.r6('mark', 'mark')},

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,4 +47,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="perptide-checkpoint-")
