@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from perptide.plans import catalog_merge, catalog_metrics, catalog_normalize
+from perptide.plans import catalog_merge, catalog_metrics, catalog_normalize, catalog_ops
 
-REGISTRIES = (catalog_merge.query, catalog_normalize.query, catalog_metrics.query)
+REGISTRIES = (catalog_merge.query, catalog_normalize.query, catalog_metrics.query, catalog_ops.query)
 
 
 def queries():
