@@ -128,19 +128,19 @@ def instrument_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_DIMENSIONS: dict[tuple[str, str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _dimension(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Build a dimension once per session and keep it in the checkpoint folder."""
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A table that jobs read as stored: written once per session, then scanned."""
     slot = (spark.sparkContext.applicationId, sf_dir, name)
-    if slot not in _DIMENSIONS:
-        _DIMENSIONS[slot] = materialized(build())
-    return _DIMENSIONS[slot]
+    if slot not in _STORED:
+        _STORED[slot] = materialized(build())
+    return _STORED[slot]
 
 
 def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dimension(
+    return stored(
         spark,
         sf_dir,
         "instruments",
@@ -154,7 +154,7 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dimension(
+    return stored(
         spark,
         sf_dir,
         "segments",

@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from perptide.plans import catalog_merge, catalog_metrics, catalog_normalize, catalog_ops
+from perptide.plans import (
+    catalog_merge,
+    catalog_metrics,
+    catalog_normalize,
+    catalog_ops,
+    catalog_reports,
+)
 
-REGISTRIES = (catalog_merge.query, catalog_normalize.query, catalog_metrics.query, catalog_ops.query)
+REGISTRIES = (
+    catalog_merge.query,
+    catalog_normalize.query,
+    catalog_metrics.query,
+    catalog_ops.query,
+    catalog_reports.query,
+)
 
 
 def queries():

@@ -9,7 +9,7 @@ from perptide.functions import scalars as C
 from perptide.plans import bridge
 from perptide.plans import bridge_sql as B
 from perptide.plans.registry import Registry
-from perptide.plans.common import big, market, market_out, ms, r6, stage_out
+from perptide.plans.common import big, market_out, ms, r6, replayed, stage_out
 
 query = Registry()
 
@@ -120,7 +120,7 @@ def u3(spark, sf_dir):
 
 @query("u4_replay_in_arrival_order", _market_sql())
 def u4(spark, sf_dir):
-    return market_out(market(spark, sf_dir))
+    return market_out(replayed(spark, sf_dir))
 
 
 @query("u4_replay_late_arrivals", _market_sql("late_seq"))
@@ -190,7 +190,7 @@ SELECT venue, symbol,
 )
 def flagship(spark, sf_dir):
     """Latest USD open interest and 8-hour funding per venue and coin."""
-    rows = market(spark, sf_dir).withColumn(
+    rows = replayed(spark, sf_dir).withColumn(
         "r8", C.funding_8h(F.col("funding_rate"), F.col("funding_interval_h"))
     )
 

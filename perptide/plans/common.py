@@ -55,11 +55,18 @@ def market_out(df: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def market(spark: SparkSession, sf_dir: str, time: str = "obs_ms") -> DataFrame:
+def replayed(spark: SparkSession, sf_dir: str, time: str = "obs_ms") -> DataFrame:
     """The minute table after the whole bridge log, in batch order."""
     return merge.replay(bridge.stage(spark, sf_dir, time), bridge.segments(spark, sf_dir))
 
 
+def market(spark: SparkSession, sf_dir: str, time: str = "obs_ms") -> DataFrame:
+    """The same table as the permanent one that downstream jobs scan."""
+    return bridge.stored(
+        spark, sf_dir, f"market-{time}", lambda: replayed(spark, sf_dir, time)
+    )
+
+
 def stage_out(df: DataFrame) -> DataFrame:
     """Staged records in comparable form."""
     return df.select(

@@ -155,7 +155,7 @@ def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         return symbol_dimension(newest)
 
-    return bridge._dimension(spark, sf_dir, "symbols", build)
+    return bridge.stored(spark, sf_dir, "symbols", build)
 
 
 def premium_index(spark: SparkSession, sf_dir: str) -> DataFrame:
