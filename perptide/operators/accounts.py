@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perptide.operators.quantiles import exact_quantiles
 from perptide.operators.reports import HIDE_PERCENT_BELOW, HIDE_VALUE_BELOW
 
 MIN_SAMPLE = 100
@@ -96,18 +97,18 @@ def address_pages(
     held = positions.groupBy("account").agg(
         F.count("*").alias("open_positions"), F.sum("notional").alias("open_notional")
     )
-    # Results are counted per distinct amount, so a busy address stays small.
-    forced = is_forced(F.col("fill"))
-    amounts = fills.groupBy("account", "realized").agg(
-        F.count("*").alias("f"), F.count_if(forced).alias("forced")
+    mine = fills.join(shown, "account", "left_semi")
+    counts = mine.groupBy("account").agg(
+        F.count("*").alias("fills"),
+        F.count_if(is_forced(F.col("fill"))).alias("forced_fills"),
+        F.count_if(F.col("realized") > 0).alias("gains"),
     )
-    results = amounts.groupBy("account").agg(
-        F.sum("f").alias("n"),
-        F.sum("forced").alias("forced_fills"),
-        F.percentile("realized", F.lit(0.5), F.col("f")).alias("median_realized"),
-        F.sum(F.when(F.col("realized") > 0, F.col("f")).otherwise(0)).alias("gains"),
-    )
-    n = F.coalesce("n", F.lit(0))
+    quantiles = exact_quantiles(
+        mine, ["account"], "realized", {"p25": 0.25, "median": 0.5, "p75": 0.75}
+    ).drop("n")
+    results = counts.join(quantiles, "account", "left")
+    n = F.coalesce("fills", F.lit(0))
+    enough = n >= HIDE_VALUE_BELOW
     return (
         shown.join(held, "account", "left")
         .join(results, "account", "left")
@@ -117,7 +118,9 @@ def address_pages(
             F.coalesce("open_notional", F.lit(0.0)).alias("open_notional"),
             n.alias("n"),
             F.coalesce("forced_fills", F.lit(0)).alias("forced_fills"),
-            F.when(n >= HIDE_VALUE_BELOW, F.col("median_realized")).alias("median_realized"),
+            F.when(enough, F.col("p25")).alias("p25_realized"),
+            F.when(enough, F.col("median")).alias("median_realized"),
+            F.when(enough, F.col("p75")).alias("p75_realized"),
             F.when(n >= HIDE_PERCENT_BELOW, F.col("gains") / n).alias("gain_share"),
         )
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from perptide import schemas as S
 from perptide.functions import scalars as C
-from perptide.operators.carry import DAY_MS, islands, merge_intervals, running
+from perptide.operators.carry import islands, merge_intervals, running
 
 MINUTE_MS = 60_000
 
@@ -104,37 +104,33 @@ def gap_rows(status: DataFrame) -> DataFrame:
     )
 
 
-def _by_day(df: DataFrame) -> DataFrame:
-    first = F.floor(F.col("from_ms") / F.lit(DAY_MS))
-    last = F.floor((F.col("to_ms") - 1) / F.lit(DAY_MS))
-    return df.withColumn("_day", F.explode(F.sequence(first, last)))
-
-
 def attribute_causes(gaps: DataFrame, causes: DataFrame) -> DataFrame:
     """Give each gap the strongest cause whose interval overlaps it.
 
-    ``causes`` is (venue, from_ms, to_ms, cause). Intervals of one cause are united
-    first, so a day of a venue holds few of them, and both sides meet per day.
+    ``causes`` is (venue, from_ms, to_ms, cause). A gap covers whole minutes, so an
+    interval overlaps it exactly when it touches one of them: both sides meet in an
+    equality join on the minute, after equal (venue, minute, cause) are united.
     """
     ranks = F.create_map(*[F.lit(x) for pair in CAUSE_RANK.items() for x in pair])
-    united = merge_intervals(causes, ["venue", "cause"], "from_ms", "to_ms").select(
-        "venue",
-        "cause",
-        F.col("span_from_ms").alias("c_from"),
-        F.col("span_to_ms").alias("c_to"),
-    )
-    spread = _by_day(
-        united.select("venue", "cause", F.col("c_from").alias("from_ms"), F.col("c_to").alias("to_ms"))
-    ).select(
-        "venue", "_day", F.col("from_ms").alias("c_from"), F.col("to_ms").alias("c_to"),
-        F.col("cause").alias("c_cause"),
+    united = merge_intervals(
+        causes.filter(F.col("to_ms") > F.col("from_ms")), ["venue", "cause"], "from_ms", "to_ms"
     )
+    touched = united.select(
+        "venue",
+        F.col("cause").alias("found"),
+        F.explode(
+            F.sequence(
+                C.floor_ms(F.col("span_from_ms"), MINUTE_MS),
+                C.floor_ms(F.col("span_to_ms") - 1, MINUTE_MS),
+                F.lit(MINUTE_MS).cast("bigint"),
+            )
+        ).alias("minute_ms"),
+    ).distinct()
     hits = (
-        _by_day(gaps)
-        .join(spread, ["venue", "_day"])
-        .filter((F.col("c_from") < F.col("to_ms")) & (F.col("c_to") > F.col("from_ms")))
+        gap_minutes(gaps, "from_ms")
+        .join(touched, ["venue", "minute_ms"])
         .groupBy("venue", "metric", "from_ms")
-        .agg(F.min_by("c_cause", F.try_element_at(ranks, F.col("c_cause"))).alias("found"))
+        .agg(F.min_by("found", F.try_element_at(ranks, F.col("found"))).alias("found"))
     )
     return (
         gaps.join(hits, ["venue", "metric", "from_ms"], "left")
@@ -143,11 +139,12 @@ def attribute_causes(gaps: DataFrame, causes: DataFrame) -> DataFrame:
     )
 
 
-def gap_minutes(gaps: DataFrame) -> DataFrame:
+def gap_minutes(gaps: DataFrame, *extra: str) -> DataFrame:
     return gaps.select(
         "venue",
         "metric",
         "cause",
+        *extra,
         F.explode(
             F.sequence("from_ms", F.col("to_ms") - MINUTE_MS, F.lit(MINUTE_MS).cast("bigint"))
         ).alias("minute_ms"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perptide.operators.carry import chunk_of, running
+from perptide.operators.quantiles import exact_quantiles
 
 SOURCE_KEY = ["venue", "capability", "transport"]
 
@@ -98,8 +99,11 @@ def latest_per_face(market: DataFrame, faces: dict[str, str]) -> DataFrame:
 
 def delay_gate(delays: DataFrame) -> DataFrame:
     """P95 collection delay per source: a shown window must end that long ago."""
-    per_delay = delays.groupBy("source", "delay_ms").agg(F.count("*").alias("f"))
-    return per_delay.groupBy("source").agg(
-        F.percentile("delay_ms", F.lit(0.95), F.col("f")).alias("p95_delay_ms"),
-        F.sum("f").alias("n"),
-    )
+    return exact_quantiles(delays, ["source"], "delay_ms", {"p95_delay_ms": 0.95})
+
+
+def settled_window(df: DataFrame, gate: DataFrame, as_of_ms: Column) -> DataFrame:
+    """Rows old enough to be shown: at least the source's P95 delay before ``as_of``."""
+    return df.join(gate.select("source", "p95_delay_ms"), "source").filter(
+        F.col("at_ms") <= as_of_ms - F.col("p95_delay_ms")
+    ).drop("p95_delay_ms")

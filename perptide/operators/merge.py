@@ -267,10 +267,18 @@ def _applied_backfill(ops: DataFrame) -> DataFrame:
     """(key, base): what the backfill statements left before the row turned live."""
     candidates = best_backfill(ops, "batch_seq")
     # A live statement closes a minute to backfill as a grid finer than any would.
+    # Only coins and days that have backfill need looking at.
+    span = ["venue", "symbol", "_day"]
+    backfilled_days = (
+        ops.filter(_is_backfill()).select("venue", "symbol", F.to_date("ts").alias("_day")).distinct()
+    )
+    live = (
+        ops.filter(_is_live("fast") | _is_live("slow"))
+        .select(*KEY, "batch_seq", F.to_date("ts").alias("_day"))
+        .join(backfilled_days, span, "left_semi")
+    )
     openings = candidates.select(*KEY, "grid_s", "batch_seq").unionByName(
-        ops.filter(_is_live("fast") | _is_live("slow")).select(
-            *KEY, F.lit(-1).alias("grid_s"), "batch_seq"
-        )
+        live.select(*KEY, F.lit(-1).alias("grid_s"), "batch_seq")
     )
     per_grid = openings.groupBy(*KEY, "grid_s").agg(F.min("batch_seq").alias("first_seq"))
     finer = Window.partitionBy(*KEY).orderBy("grid_s").rowsBetween(Window.unboundedPreceding, -1)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from perptide.functions import scalars as C
 from perptide.operators import divergence as D
 from perptide.operators.carry import islands, running
+from perptide.operators.quantiles import exact_quantiles
 
 HIDE_VALUE_BELOW = 10
 HIDE_PERCENT_BELOW = 30
@@ -210,12 +211,13 @@ def study_outcomes(spread: DataFrame, threshold: float, horizon_ms: int = DAY_MS
 
 
 def event_study(outcomes: DataFrame) -> DataFrame:
-    return outcomes.groupBy("grp").agg(
+    counts = outcomes.groupBy("grp").agg(
         F.count("*").alias("n"),
         F.count("still").alias("n_with_outcome"),
-        F.percentile("change", F.lit(0.5)).alias("median_change"),
         F.avg(F.col("still").cast("int")).alias("share_still"),
     )
+    medians = exact_quantiles(outcomes, ["grp"], "change", {"median_change": 0.5}).drop("n")
+    return counts.join(medians, "grp", "left")
 
 
 def wilson(successes: Column, n: Column) -> tuple[Column, Column]:
@@ -310,10 +312,7 @@ def block_bootstrap(
 def state_episodes(points: DataFrame, min_minutes: int, level: float = 0.95) -> DataFrame:
     """Runs of at least ``min_minutes`` with the metric above its own P95."""
     key = ["scope", "metric"]
-    counted = points.filter(F.col("value").isNotNull()).groupBy(*key, "value").agg(
-        F.count("*").alias("f")
-    )
-    limits = counted.groupBy(*key).agg(F.percentile("value", F.lit(level), F.col("f")).alias("limit"))
+    limits = exact_quantiles(points, key, "value", {"limit": level})
     above = (
         points.join(limits, key)
         .filter(F.col("value") > F.col("limit"))

@@ -467,10 +467,10 @@ def p15(spark, sf_dir):
 fl AS (SELECT o_custkey AS account, l_extendedprice - 40000 AS realized, l_linenumber IN (1, 2) AS forced
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
 h AS (SELECT account, count(*) AS open_positions, sum(notional) AS open_notional FROM ps WHERE part < 2 GROUP BY account),
-r AS (SELECT account, count(*) AS n, count(*) FILTER (forced) AS forced_fills, quantile_cont(realized, 0.5) AS md,
+r AS (SELECT account, count(*) AS n, count(*) FILTER (forced) AS forced_fills, quantile_cont(realized, 0.5) AS md, quantile_cont(realized, 0.25) AS lo, quantile_cont(realized, 0.75) AS hi,
   count(*) FILTER (realized > 0) AS gains FROM fl GROUP BY account)
 SELECT account, coalesce(open_positions, 0) AS open_positions, round(coalesce(open_notional, 0), 2) AS open_notional,
-  coalesce(n, 0) AS n, coalesce(forced_fills, 0) AS forced_fills, round(CASE WHEN n >= 10 THEN md END, 4) AS median_realized,
+  coalesce(n, 0) AS n, coalesce(forced_fills, 0) AS forced_fills, round(CASE WHEN n >= 10 THEN md END, 4) AS median_realized, round(CASE WHEN n >= 10 THEN lo END, 5) AS p25_realized, round(CASE WHEN n >= 10 THEN hi END, 5) AS p75_realized,
   round(CASE WHEN n >= 30 THEN gains / n::DOUBLE END, 6) AS gain_share
 FROM sh LEFT JOIN h USING (account) LEFT JOIN r USING (account)""",
 )
@@ -492,7 +492,7 @@ def p16(spark, sf_dir):
         positions(spark, sf_dir).filter("part < 2"), fills, A.sample(everyone), everyone.filter("account % 10 = 0")
     )
     return pages.select(
-        "account", "open_positions", r2("open_notional"), "n", "forced_fills", F.round("median_realized", 4).alias("median_realized"), r6("gain_share")
+        "account", "open_positions", r2("open_notional"), "n", "forced_fills", F.round("median_realized", 4).alias("median_realized"), F.round("p25_realized", 5).alias("p25_realized"), F.round("p75_realized", 5).alias("p75_realized"), r6("gain_share")
     )
 
 
