@@ -46,9 +46,23 @@ def parsed(raw: DataFrame, endpoint: str, schema: str, venue: str = "binance") -
     )
 
 
+def exploded(df: DataFrame, array: Column | str, out: str) -> DataFrame:
+    """One row per array element.
+
+    A plain explode makes the optimizer test the array's size in a filter below it,
+    which would parse the JSON a second time; the outer form is tested afterwards.
+    """
+    return (
+        df.select("*", F.posexplode_outer(array).alias("_pos", out))
+        .filter(F.col("_pos").isNotNull())
+        .drop("_pos")
+    )
+
+
 def elements(raw: DataFrame, endpoint: str, schema: str, venue: str = "binance") -> DataFrame:
     """One row per element of an array payload (a lone object is one element)."""
-    return parsed(raw, endpoint, f"array<{schema}>", venue).withColumn("e", F.explode("doc"))
+    array = F.from_json("payload", f"array<{schema}>", FAIL_FAST)
+    return exploded(documents(raw, endpoint, venue), array, "e")
 
 
 def instant(text: Column, field: str) -> Column:
@@ -211,12 +225,13 @@ def slow_records(resolved: DataFrame, source: str, **values: Column) -> DataFram
 
 def open_interest_entries(raw: DataFrame) -> DataFrame:
     schema = "struct<symbol:string,openInterest:string,time:string>"
-    return parsed(raw, "open_interest", schema).select(
+    document = F.array(F.from_json("payload", schema, FAIL_FAST))
+    return exploded(documents(raw, "open_interest"), document, "e").select(
         "venue",
-        F.col("doc.symbol").alias("venue_symbol"),
-        instant(F.col("doc.time"), "time").alias("ts_ms"),
+        F.col("e.symbol").alias("venue_symbol"),
+        instant(F.col("e.time"), "time").alias("ts_ms"),
         F.col("ingest_ms").alias("ingest_ts_ms"),
-        C.decimal_text(F.col("doc.openInterest"), S.QTY).alias("contracts"),
+        C.decimal_text(F.col("e.openInterest"), S.QTY).alias("contracts"),
     )
 
 
@@ -248,11 +263,11 @@ def ticker_24h(raw: DataFrame, dim: DataFrame) -> DataFrame:
 def ls_ratio(raw: DataFrame) -> DataFrame:
     """Three ratio kinds; the unified symbol is the request's, not the payload's."""
     schema = "struct<longAccount:string,buyVol:string,sellVol:string,timestamp:string>"
-    points = (
-        raw.filter((F.col("venue") == "binance") & F.col("endpoint").isin(*S.LS_KINDS))
-        .withColumn("e", F.explode(F.from_json("payload", f"array<{schema}>", FAIL_FAST)))
-        .withColumnRenamed("endpoint", "kind")
-    )
+    points = exploded(
+        raw.filter((F.col("venue") == "binance") & F.col("endpoint").isin(*S.LS_KINDS)),
+        F.from_json("payload", f"array<{schema}>", FAIL_FAST),
+        "e",
+    ).withColumnRenamed("endpoint", "kind")
     tags = F.create_map(*[F.lit(x) for kind in S.LS_KINDS for x in (kind, SOURCES[kind])])
     taker = C.taker_share(
         C.decimal_text(F.col("e.buyVol"), S.QTY), C.decimal_text(F.col("e.sellVol"), S.QTY)
@@ -274,12 +289,12 @@ def ls_ratio(raw: DataFrame) -> DataFrame:
 # -- history -------------------------------------------------------------------
 def klines(raw: DataFrame, now_ms: int) -> DataFrame:
     """Closed bars only, from positional rows: 4 is the close, 6 the close instant."""
-    bars = parsed(raw, "klines", "array<array<string>>").select(
+    bars = elements(raw, "klines", "array<string>").select(
         "venue",
         F.col("request_symbol").alias("symbol"),
         F.col("ingest_ms").alias("ingest_ts_ms"),
         grid_of(F.col("interval")).alias("grid_s"),
-        F.explode("doc").alias("bar"),
+        F.col("e").alias("bar"),
     )
     wide_enough = F.when(F.size("bar") >= 7, F.col("bar")).otherwise(
         F.raise_error(F.lit("a bar needs at least 7 columns")).cast("array<string>")

@@ -11,6 +11,7 @@ from perptide.operators.normalize_binance import (
     FAIL_FAST,
     documents,
     elements,
+    exploded,
     grid_of,
     instant,
     parsed,
@@ -91,9 +92,7 @@ def meta_and_asset_ctxs_entries(raw: DataFrame) -> DataFrame:
             f"array<struct<coins:struct<name:string>,ctxs:{context}>>"
         )
     )
-    return paired.select(
-        "venue", "observed_ms", "ingest_ms", F.explode(zipped).alias("pair")
-    ).select(
+    return exploded(paired, zipped, "pair").select(
         "venue",
         F.col("pair.coins.name").alias("venue_symbol"),
         F.col("observed_ms").alias("ts_ms"),
@@ -129,32 +128,28 @@ def predicted_funding_entries(raw: DataFrame) -> DataFrame:
             F.raise_error(F.lit(f"{what} must have two elements")).cast("array<string>")
         )
 
-    coins = documents(raw, "predicted_fundings", VENUE).select(
-        "venue",
-        "observed_ms",
-        "ingest_ms",
-        F.explode(F.from_json("payload", "array<array<string>>", FAIL_FAST)).alias("row"),
+    coins = elements(raw, "predicted_fundings", "array<string>", VENUE).withColumn(
+        "row", two(F.col("e"), "a coin row")
     )
-    keyed = coins.withColumn("row", two(F.col("row"), "a coin row")).select(
-        "venue",
-        "observed_ms",
-        "ingest_ms",
-        F.get("row", F.lit(0)).alias("venue_symbol"),
-        F.explode(
-            F.from_json(F.get("row", F.lit(1)), "array<array<string>>", FAIL_FAST)
-        ).alias("pair"),
+    keyed = exploded(
+        coins.withColumn("venue_symbol", F.get("row", F.lit(0))),
+        F.from_json(F.get("row", F.lit(1)), "array<array<string>>", FAIL_FAST),
+        "pair",
     )
     prediction = F.from_json(
         F.get("pair", F.lit(1)), "struct<fundingRate:string,nextFundingTime:string>", FAIL_FAST
     )
-    return keyed.withColumn("pair", two(F.col("pair"), "a venue pair")).select(
+    predicted = exploded(
+        keyed.withColumn("pair", two(F.col("pair"), "a venue pair")), F.array(prediction), "p"
+    )
+    return predicted.select(
         "venue",
         "venue_symbol",
         F.col("observed_ms").alias("ts_ms"),
         F.col("ingest_ms").alias("ingest_ts_ms"),
         F.get("pair", F.lit(0)).alias("venue_key"),
-        C.decimal_text(prediction["fundingRate"], S.RATE).alias("funding_rate"),
-        scheduled(prediction["nextFundingTime"]).alias("next_funding_ts_ms"),
+        C.decimal_text(F.col("p.fundingRate"), S.RATE).alias("funding_rate"),
+        scheduled(F.col("p.nextFundingTime")).alias("next_funding_ts_ms"),
     )
 
 
@@ -238,8 +233,8 @@ def ws_all_mids_entries(frames: DataFrame) -> DataFrame:
         "venue",
         F.col("observed_ms").alias("ts_ms"),
         F.col("ingest_ms").alias("ingest_ts_ms"),
-        F.explode(mids).alias("venue_symbol", "price"),
-    ).withColumn("mark", C.decimal_text(F.col("price"), S.PX))
+        F.explode_outer(mids).alias("venue_symbol", "price"),
+    ).filter(F.col("venue_symbol").isNotNull()).withColumn("mark", C.decimal_text(F.col("price"), S.PX))
 
 
 def ws_all_mids(frames: DataFrame, dim: DataFrame) -> DataFrame:
