@@ -19,7 +19,8 @@ def silence_alerts(writes: DataFrame, limit_ms: int = 600_000) -> DataFrame:
     """(source, at_ms) writes to one alert per silence and one recovery notice.
 
     A source that stays away is reported by its timer; one that returns within the
-    same batch is reported from the gap between its writes.
+    same batch is reported from the gap between its writes. Run it under a processing
+    time trigger: a timer keeps an available-now query from ever being done.
     """
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState):
