@@ -79,29 +79,21 @@ def _market_sql(seq="batch_seq", where="true"):
 
 
 def _chain(spark, sf_dir):
+    """The bridge log as three statements: all backfill, then the fast, then the slow lane."""
     stage, seg = bridge.stage(spark, sf_dir), bridge.segments(spark, sf_dir)
-    return stage, seg, merge.upsert_backfill(
-        merge.empty_target(spark), stage.filter("event_id % 4 = 0"), seg
-    ).drop("applied")
+    return stage, seg, merge.upsert_backfill(merge.empty_target(spark), stage, seg).drop("applied")
 
 
-# One statement after another: backfill, fast, slow, then a second backfill.
-CHAIN_SEQ = "CASE WHEN backfilled AND event_id % 4 = 0 THEN 0 WHEN NOT backfilled THEN 1 ELSE 2 END"
+CHAIN_SEQ = "CASE WHEN backfilled THEN 0 ELSE 1 END"
 
 
-@query(
-    "u1_fast_upsert",
-    _market_sql(CHAIN_SEQ, "(backfilled AND event_id % 4 = 0) OR (NOT backfilled AND obs_fast_ms IS NOT NULL)"),
-)
+@query("u1_fast_upsert", _market_sql(CHAIN_SEQ, "backfilled OR obs_fast_ms IS NOT NULL"))
 def u1(spark, sf_dir):
     stage, seg, target = _chain(spark, sf_dir)
     return market_out(merge.upsert_fast(target, stage, seg))
 
 
-@query(
-    "u2_slow_upsert",
-    _market_sql(CHAIN_SEQ, "(backfilled AND event_id % 4 = 0) OR NOT backfilled"),
-)
+@query("u2_slow_upsert", _market_sql(CHAIN_SEQ))
 def u2(spark, sf_dir):
     stage, seg, target = _chain(spark, sf_dir)
     fast = merge.upsert_fast(target, stage, seg).drop("applied")
@@ -110,11 +102,12 @@ def u2(spark, sf_dir):
 
 @query("u3_backfill_upsert", _market_sql("event_id % 4", "backfilled"))
 def u3(spark, sf_dir):
-    stage, seg, target = _chain(spark, sf_dir)
-    for part in (1, 2, 3):
-        target = merge.upsert_backfill(target, stage.filter(f"event_id % 4 = {part}"), seg).drop(
-            "applied"
-        )
+    """All backfill rows in four batches, one after another."""
+    stage, seg = bridge.stage(spark, sf_dir), bridge.segments(spark, sf_dir)
+    target = merge.empty_target(spark)
+    for batch in range(4):
+        part = stage.filter(F.col("event_id") % 4 == batch)
+        target = merge.upsert_backfill(target, part, seg).drop("applied")
     return market_out(target)
 
 

@@ -286,9 +286,9 @@ def _gap_out(df):
 
 
 CAUSE_CTE = """
-lg AS (SELECT venue, obs_ms AS f, obs_ms + 60000 * (1 + event_id % 3) AS t,
+lg AS (SELECT venue, obs_ms AS f, obs_ms + 1000 * (1 + event_id % 3) AS t,
     ['power_loss','egress_down','rate_limit','ws_reconnect'][event_id // 50 % 4 + 1] AS cause
-  FROM ev WHERE event_id % 50 = 7 AND event_id % 3 = 0),
+  FROM ev WHERE event_type = 'error'),
 rk AS (SELECT unnest(['power_loss','egress_down','rate_limit','ws_reconnect']) AS cause, unnest([0, 2, 5, 6]) AS rank),
 ga AS (SELECT gp.venue, gp.metric, gp.from_ms, gp.to_ms, gp.minutes, gp.symbols_expected, gp.symbols_present,
     coalesce(arg_min(lg.cause, rk.rank), 'unknown') AS cause
@@ -298,10 +298,10 @@ ga AS (SELECT gp.venue, gp.metric, gp.from_ms, gp.to_ms, gp.minutes, gp.symbols_
 
 def cause_intervals(spark, sf_dir):
     eid = F.col("event_id")
-    return bridge.events(spark, sf_dir).filter((eid % 50 == 7) & (eid % 3 == 0)).select(
+    return bridge.events(spark, sf_dir).filter("event_type = 'error'").select(
         "venue",
         F.col("obs_ms").alias("from_ms"),
-        (F.col("obs_ms") + 60_000 * (1 + eid % 3)).alias("to_ms"),
+        (F.col("obs_ms") + 1000 * (1 + eid % 3)).alias("to_ms"),
         pick(["power_loss", "egress_down", "rate_limit", "ws_reconnect"], F.floor(eid / 50) % 4).alias("cause"),
     )
 
@@ -646,7 +646,7 @@ def c16(spark, sf_dir):
 
 @query(
     "c17_weakest_provenance",
-    EVC + """, p AS (SELECT symbol || '-' || user_id AS figure, 1 + event_id % 97 % 3 AS s, event_id FROM ev WHERE event_id % 97 % 3 > user_id % 2),
+    EVC + """, p AS (SELECT 'f' || event_id // 3 AS figure, 1 + (event_id * 7 + user_id) % 3 AS s, event_id FROM ev),
 q AS (SELECT figure, CASE event_id % 5 WHEN 0 THEN 'lower_bound' WHEN 1 THEN 'sample_limited' END AS q FROM p)
 SELECT figure, ['unverified','measured','official'][min(s)] AS effective, count(*) AS inputs,
   coalesce((SELECT string_agg(q, ',' ORDER BY q) FROM (SELECT DISTINCT q FROM q WHERE q.figure = p.figure AND q IS NOT NULL)), '') AS qualifiers
@@ -654,9 +654,9 @@ FROM p GROUP BY figure""",
 )
 def c17(spark, sf_dir):
     eid = F.col("event_id")
-    parts = bridge.events(spark, sf_dir).filter(eid % 97 % 3 > F.col("user_id") % 2).select(
-        F.concat_ws("-", "symbol", F.col("user_id").cast("string")).alias("figure"),
-        pick(["unverified", "measured", "official"], eid % 97 % 3).alias("tag"),
+    parts = bridge.events(spark, sf_dir).select(
+        F.concat(F.lit("f"), F.floor(eid / 3).cast("string")).alias("figure"),
+        pick(["unverified", "measured", "official"], (eid * 7 + F.col("user_id")) % 3).alias("tag"),
         F.when(eid % 5 == 0, F.array(F.lit("lower_bound")))
         .when(eid % 5 == 1, F.array(F.lit("sample_limited")))
         .otherwise(F.array().cast("array<string>"))

@@ -466,7 +466,7 @@ def p15(spark, sf_dir):
     ACCOUNT_SQL + """, sh AS (SELECT account FROM sm WHERE account % 10 <> 0),
 fl AS (SELECT o_custkey AS account, l_extendedprice - 40000 AS realized, l_linenumber IN (1, 2) AS forced
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
-h AS (SELECT account, count(*) AS open_positions, sum(notional) AS open_notional FROM ps WHERE part < 2 GROUP BY account),
+h AS (SELECT account, count(*) AS open_positions, sum(notional) AS open_notional FROM ps GROUP BY account),
 r AS (SELECT account, count(*) AS n, count(*) FILTER (forced) AS forced_fills, quantile_cont(realized, 0.5) AS md, quantile_cont(realized, 0.25) AS lo, quantile_cont(realized, 0.75) AS hi,
   count(*) FILTER (realized > 0) AS gains FROM fl GROUP BY account)
 SELECT account, coalesce(open_positions, 0) AS open_positions, round(coalesce(open_notional, 0), 2) AS open_notional,
@@ -489,7 +489,7 @@ def p16(spark, sf_dir):
     )
     everyone = accounts(spark, sf_dir)
     pages = A.address_pages(
-        positions(spark, sf_dir).filter("part < 2"), fills, A.sample(everyone), everyone.filter("account % 10 = 0")
+        positions(spark, sf_dir), fills, A.sample(everyone), everyone.filter("account % 10 = 0")
     )
     return pages.select(
         "account", "open_positions", r2("open_notional"), "n", "forced_fills", F.round("median_realized", 4).alias("median_realized"), F.round("p25_realized", 5).alias("p25_realized"), F.round("p75_realized", 5).alias("p75_realized"), r6("gain_share")
