@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from perptide.functions import scalars as C
 from perptide.operators import divergence as D
 from perptide.operators import history as H
 from perptide.operators import liquidations as L

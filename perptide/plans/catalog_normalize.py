@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from perptide import schemas as S
 from perptide.functions import scalars as C
 from perptide.operators import capability, contracts, liquidations, symbols
 from perptide.operators import normalize_binance as NB

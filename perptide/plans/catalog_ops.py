@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from perptide.functions import costs
 from perptide.functions import scalars as C
 from perptide.operators import capability as K
-from perptide.operators import divergence as D
 from perptide.operators import gaps as G
 from perptide.operators import health as H
 from perptide.operators import liquidations as L
@@ -15,7 +16,7 @@ from perptide.operators import usage as U
 from perptide.plans import bridge
 from perptide.plans import bridge_sql as B
 from perptide.plans.catalog_metrics import UNIVERSE
-from perptide.plans.common import big, market, ms, r6
+from perptide.plans.common import big, market, r6
 from perptide.plans.registry import Registry
 from perptide.session import checkpoint_dir
 from perptide.sources import export, minute_store, partitions
@@ -695,8 +696,6 @@ def ticks(spark, sf_dir):
   round(sum(l_quantity), 6) AS quantity FROM lineitem GROUP BY 1""",
 )
 def s5(spark, sf_dir):
-    import uuid
-
     path = f"{checkpoint_dir(spark)}/ticks-{uuid.uuid4().hex}"
     minute_store.write_months(ticks(spark, sf_dir), path)
     stored = spark.read.schema(

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from perptide.operators import accounts as A
 from perptide.operators import divergence as D
 from perptide.operators import flow as W
+from perptide.operators import gaps as G
 from perptide.operators import normalize_binance as NB
+from perptide.operators import normalize_hyperliquid as NH
 from perptide.operators import reports as R
 from perptide.plans import bridge
 from perptide.plans import bridge_sql as B
@@ -25,10 +27,10 @@ from perptide.plans.catalog_metrics import (
     divergence,
     pctl_sql,
 )
-from perptide.plans.catalog_normalize import LIQ_CTE, liquidation_table
+from perptide.plans.catalog_normalize import LIQ_CTE, liquidation_out, liquidation_table
+from perptide.plans.catalog_normalize import query as normalize
 from perptide.plans.catalog_ops import EVC, GAPS, LOG_SQL, request_log, status
 from perptide.plans.common import big, market, market_out, r6, stage_out
-from perptide.operators import gaps as G
 from perptide.plans.registry import Registry
 from perptide.session import checkpoint_dir
 from perptide.sources import landed
@@ -591,8 +593,6 @@ def _landed(spark, raw, name):
 
 
 def _twin(name):
-    from perptide.plans.catalog_normalize import query as normalize
-
     return normalize.sql[name]
 
 
@@ -636,8 +636,6 @@ def t2(spark, sf_dir):
 
 @query("t3_liquidation_stream", _twin("l1_liquidation_rows"))
 def t3(spark, sf_dir):
-    from perptide.plans.catalog_normalize import liquidation_out
-
     path = _landed(spark, P.force_order(spark, sf_dir).coalesce(1), "order-frames")
     out = _folder(spark, "liquidations")
     stream = landed.stream_frames(spark, path)
@@ -668,6 +666,4 @@ def s2(spark, sf_dir):
     EVC + """SELECT count(*) AS frames FROM ev WHERE venue = 'hyperliquid' AND event_type = 'click' AND event_id % 7 <> 0""",
 )
 def s3(spark, sf_dir):
-    from perptide.operators import normalize_hyperliquid as NH
-
     return NH.channel_frames(P.ws_all_mids(spark, sf_dir), "allMids").agg(F.count("*").alias("frames"))
