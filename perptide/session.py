@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,3 +55,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="perptide-checkpoint-")
+
+
+@functools.cache
+def _shipped(application: str, context) -> None:
+    package = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory() as folder:
+        kept = os.path.join(folder, "source")
+        shutil.copytree(package, f"{kept}/perptide", ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='perptide-')}/perptide", "zip", kept))
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors once per application, as ``--py-files`` would."""
+    _shipped(spark.sparkContext.applicationId, spark.sparkContext)
+    return spark
