@@ -126,3 +126,23 @@ class WordHashes(dict):
         if len(self) > self.most:
             self.clear()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def appended(df: DataFrame, fields: str, arrays, keep: list[str] | None = None) -> DataFrame:
+    """``df`` with columns made batch by batch: ``arrays(batch)`` yields one array per field.
+
+    ``fields`` is a DDL string. The columns of ``df`` (or those in ``keep``) pass through,
+    so no join is needed to bring the new columns to the rows.
+    """
+    from pyspark.sql.types import StructType
+
+    added = StructType.fromDDL(fields)
+    kept = df.columns if keep is None else keep
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), *arrays(batch)], names=[*kept, *added.names]
+            )
+
+    return df.mapInArrow(run, StructType([*(df.schema[c] for c in kept), *added.fields]))

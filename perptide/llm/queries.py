@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perptide.llm import licenses, line_dedup, url_filter
+from perptide.llm import decontaminate, licenses, line_dedup, packing, quality, url_filter
 from perptide.llm import queries_sql as sql
+from perptide.llm.common import fold
 from perptide.plans.registry import Registry
 
 query = Registry()
@@ -67,3 +68,43 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("license_lines").cast("long").alias("license_lines"),
         "canonical_digest",
     )
+
+
+@query("op2_benchmark_decontamination", sql.DECONTAMINATION)
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its words, those inside a benchmark window, and the items that occur in it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.found_in(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, span: n + span["length"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+def quality_weights(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """The model that labels of four folds of five teach, over the texts of ``docs``."""
+    labels = table(spark, sf_dir, "labels")
+    return quality.train(quality.examples(docs, labels, fold(F.col("doc_id")) != 0))
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.scored(docs, quality_weights(spark, docs, sf_dir), keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.packed(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from perptide.llm import licenses, line_dedup, url_filter
+from perptide.llm import decontaminate, licenses, line_dedup, url_filter
 from perptide.llm.license_texts import EQUIVALENT_SPELLINGS, KNOWN_TEXTS
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -109,3 +109,33 @@ SELECT doc.doc_id, known.license, coalesce(found.line_licenses, '') AS line_lice
        coalesce(found.license_lines, 0)::BIGINT AS license_lines, doc.digest AS canonical_digest
 FROM doc LEFT JOIN known USING (digest) LEFT JOIN found USING (r)
 """
+
+
+def _words(x: str) -> str:
+    return rf"coalesce(regexp_extract_all({lowered(x)}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+
+DECONTAMINATION = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, {_words("text")} AS w FROM documents
+), item AS (
+  SELECT coalesce(item_id::VARCHAR, 'null') AS item, w, least({decontaminate.WINDOW}, len(w)) AS n
+  FROM (SELECT item_id, {_words("text")} AS w FROM benchmark) WHERE len(w) > 0
+), item_window AS (
+  SELECT DISTINCT item, n, array_to_string(w[p : p + n - 1], ' ') AS k
+  FROM (SELECT item, n, w, unnest(range(1, len(w) - n + 2)) AS p FROM item)
+), doc_window AS (
+  SELECT r, p, n, array_to_string(w[p : p + n - 1], ' ') AS k
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM doc, (SELECT DISTINCT n FROM item_window))
+), found AS (
+  SELECT r, p, n, item FROM doc_window JOIN item_window USING (n, k)
+), hit AS (
+  SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM found) GROUP BY r
+), named AS (
+  SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM found GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
