@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perptide.llm import decontaminate, licenses, line_dedup, packing, quality, url_filter
+from perptide.llm import (
+    cover_tree,
+    decontaminate,
+    licenses,
+    line_dedup,
+    packing,
+    quality,
+    sharding,
+    url_filter,
+)
 from perptide.llm import queries_sql as sql
 from perptide.llm.common import fold
 from perptide.plans.registry import Registry
@@ -108,3 +117,15 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.packed(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op4_exact_top_k", sql.TOP_K)
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every row whose identifier is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return cover_tree.search(vectors, F.pmod("vec_id", F.lit(100)) == 0)
+
+
+@query("op6_sharding")
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))

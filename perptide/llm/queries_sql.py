@@ -139,3 +139,20 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
+
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), q AS (
+  SELECT vec_id AS query_id, min(e) AS e FROM v WHERE vec_id % 100 = 0 GROUP BY vec_id
+), scored AS (
+  SELECT query_id, vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM q JOIN v ON vec_id <> query_id AND len(q.e) = len(v.e)
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 10
+"""
