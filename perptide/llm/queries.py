@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from perptide.llm import (
     cover_tree,
     decontaminate,
+    jaccard,
     licenses,
     line_dedup,
     packing,
@@ -129,3 +130,10 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_sharding")
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query("op9_ngram_jaccard_join", sql.JACCARD)
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of documents that are at least 80 % alike."""
+    found = jaccard.component_ids(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")

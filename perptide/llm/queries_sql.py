@@ -156,3 +156,28 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 10
 """
+
+JACCARD = rf"""
+WITH RECURSIVE doc AS MATERIALIZED (
+  SELECT doc_id, coalesce(regexp_extract_all({lowered("text")}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), shingle AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[p : p + least(5, len(w)) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS p FROM doc WHERE len(w) > 0)
+), size AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), overlap AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), link AS MATERIALIZED (
+  SELECT a, b FROM overlap JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * o >= 80 * (x.n + y.n - o)
+), reach AS (
+  SELECT a, b FROM link
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), least AS (
+  SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a
+)
+SELECT doc.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc.doc_id, coalesce(m, doc.doc_id)) AS component_id
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
