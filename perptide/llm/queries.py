@@ -13,6 +13,7 @@ from perptide.llm import (
     jaccard,
     licenses,
     line_dedup,
+    lm,
     packing,
     quality,
     sharding,
@@ -76,7 +77,6 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "license",
         F.array_join("line_licenses", ",").alias("line_licenses"),
         F.col("license_lines").cast("long").alias("license_lines"),
-        "canonical_digest",
     )
 
 
@@ -137,3 +137,9 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of documents that are at least 80 % alike."""
     found = jaccard.component_ids(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op10_lm_scoring")
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability under the model and under plain word counts."""
+    return lm.scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
