@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perptide.llm.common import WordHashes, bytes_of, left_by, lowered_words, materialized, mixed, numbered
+from perptide.llm.common import WordHashes, bytes_of, fresh, left_by, lowered_words, materialized, mixed, numbered
 
 NGRAM = 5
 #: Links need 100 * overlap >= PERCENT * union.
@@ -367,17 +367,35 @@ def linked(
 
 
 def component_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(doc_id, text_key, n_shingles, component_id) of every document; ``text_key`` is xxhash64 of the text."""
+    """(doc_id, text_key, n_shingles, component_id, component) of every document; ``text_key`` is xxhash64 of
+    the text, ``component`` the label of its component, NULL without shingles."""
     rows, classes, labels = linked(docs, doc_id, text, percent)
     labelled = classes.select("node", "first").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
     smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    whole = labelled.join(smallest, "label").select("node", "component_id")
+    whole = labelled.join(smallest, "label").select("node", "component_id", F.col("label").alias("component"))
     joined = rows.withColumn("node", F.when(F.col("n") > 0, F.col("node"))).join(whole, "node", "left")
     return joined.select(
         "doc_id",
         "text_key",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "component",
     )
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One document of each component, the one of the smallest identifier, and all without shingles."""
+    found = materialized(component_ids(docs, doc_id, text, percent))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
+    chosen = found.where("component IS NOT NULL").groupBy("component").agg(
+        F.min_by(F.struct("doc_id", "text_key"), order).alias("row")
+    )
+    without = found.where("component IS NULL").select("doc_id", "text_key").distinct()
+    key, one, copy = fresh(docs, "text_key", "one_of_many", "copy")
+    kept = chosen.select("row.*", F.lit(True).alias(one)).unionByName(without.withColumn(one, F.lit(False)))
+    kept = kept.withColumnsRenamed({"doc_id": doc_id, "text_key": key})
+    joined = left_by(docs.withColumn(key, F.xxhash64(F.col(text))), kept, [doc_id, key]).where(F.col(one).isNotNull())
+    repeated = F.row_number().over(Window.partitionBy(doc_id, key).orderBy(one))
+    return joined.withColumn(copy, repeated).where(~F.col(one) | (F.col(copy) == 1)).drop(key, one, copy)

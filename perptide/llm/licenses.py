@@ -1,11 +1,14 @@
 """License scan by canonical digests.
 
-A text is normalised (case, typographic marks, punctuation, copyright lines, equivalent
+A text is normalised (case, punctuation and typographic marks, copyright lines, equivalent
 spellings, white space), its SHA-256 is joined with the digests of known texts that went
 through the same expressions. Looked up are the whole document and each of its lines,
 the latter as a text of its own. Built-in functions only; nothing but digests is shuffled,
 and the known texts are broadcast by Spark as long as they stay small.
 
+Spellings are many passes over a text, so they run only where the first and the last word of
+its normal form are those of a known text; a text of other ends cannot equal one.
+
 Defined results
 * NULL and blank texts, and texts that hold nothing but copyright lines, match nothing.
 * Several known texts of one digest: the smallest name wins.
@@ -20,39 +23,57 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perptide.llm.common import ascii_lower, fresh, left_by
+from perptide.llm.common import fresh, left_by
 from perptide.llm.license_texts import EQUIVALENT_SPELLINGS, KNOWN_TEXTS
 
-#: Dashes, quotes and spaces outside ASCII, and what stands for them.
-TYPOGRAPHY = ("‐‑‒–—‘’“” ", "-----''\"\" ")
 COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
-PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+COPYRIGHT_MARKS = ("copyright", "(c)", "©", "all rights reserved")
+#: ASCII marks, dashes, quotes and the no-break space.
+PUNCTUATION = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F‐‑‒–—‘’“” ]+"
+
 
+def plain(text: Column) -> Column:
+    """Lower-case words between single spaces, without copyright lines."""
+    low = F.lower(text)
+    marked = reduce(lambda a, b: a | b, [F.contains(low, F.lit(m)) for m in COPYRIGHT_MARKS])
+    bare = F.when(marked, F.regexp_replace(low, COPYRIGHT_LINE, " ")).otherwise(low)
+    return F.trim(F.regexp_replace(bare, PUNCTUATION, " "))
 
-def canonical(text: Column) -> Column:
-    """The normal form; two texts are the same license when their normal forms are equal."""
-    plain = ascii_lower(F.translate(text, *TYPOGRAPHY))
-    bare = F.regexp_replace(plain, COPYRIGHT_LINE, " ")
-    spaced = F.concat(F.lit(" "), F.regexp_replace(bare, PUNCTUATION, " "), F.lit(" "))
-    same = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), EQUIVALENT_SPELLINGS, spaced)
-    return F.trim(F.regexp_replace(same, " +", " "))
 
+def spelled(words: Column) -> Column:
+    """Plain words with equivalent spellings made one."""
+    spaced = F.concat(F.lit(" "), words, F.lit(" "))
+    return F.trim(reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), EQUIVALENT_SPELLINGS, spaced))
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the normal form, NULL where nothing is left of the text."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+
+def ends(words: Column) -> tuple[Column, Column]:
+    """First and last word of the normal form. A spelling joins two words at most, so two decide each."""
+    first = spelled(F.substring_index(words, " ", 2))
+    last = spelled(F.substring_index(words, " ", -2))
+    return F.substring_index(first, " ", 1), F.substring_index(last, " ", -1)
 
 
 def known_digests(spark: SparkSession, texts: tuple = KNOWN_TEXTS) -> DataFrame:
-    """(license, digest), one row per digest."""
-    frame = spark.createDataFrame(list(texts), "license string, text string")
+    """(license, digest, first, last), one row per digest."""
+    frame = spark.createDataFrame(list(texts), "license string, text string").withColumn("plain", plain(F.col("text")))
+    first, last = ends(F.col("plain"))
     return (
-        frame.select("license", digest(F.col("text")).alias("digest"))
-        .where(F.col("digest").isNotNull())
+        frame.where("plain <> ''")
+        .select("license", F.sha2(spelled(F.col("plain")), 256).alias("digest"), first.alias("first"), last.alias("last"))
         .groupBy("digest")
-        .agg(F.min("license").alias("license"))
+        .agg(F.min("license").alias("license"), F.first("first").alias("first"), F.first("last").alias("last"))
+    )
+
+
+def matched(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of ``texts`` whose column ``body`` is a known text, with ``license``; ``body`` is dropped."""
+    words = texts.withColumn("body", plain(F.col("body"))).where("body <> ''")
+    first, last = ends(F.col("body"))
+    likely = words.withColumns({"first": first, "last": last}).join(
+        known.select("first", "last").distinct(), ["first", "last"], "left_semi"
     )
+    digests = likely.withColumn("digest", F.sha2(spelled(F.col("body")), 256)).drop("body", "first", "last")
+    return digests.join(known.select("digest", "license"), "digest").drop("digest")
 
 
 def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -60,23 +81,20 @@ def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str =
 
     Columns of these names in ``docs`` stay; the new ones then get a leading underscore.
     """
-    whole, names, amount, own, mark = fresh(
-        docs, "license", "line_licenses", "license_lines", "canonical_digest", "text_digest"
-    )
-    lines = docs.select(
-        F.col(doc_id), F.xxhash64(F.col(text)).alias(mark), F.explode(F.split(F.col(text), "\n", -1)).alias("line")
-    )
+    whole, names, amount, mark = fresh(docs, "license", "line_licenses", "license_lines", "text_digest")
+    source = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("body"))
+    entire = matched(source, known).groupBy("doc", "mark").agg(F.min("license").alias(whole))
+    lines = source.select("doc", "mark", F.explode(F.split("body", "\n", -1)).alias("body"))
     found = (
-        lines.withColumn("digest", digest(F.col("line")))
-        .join(known, "digest")
-        .groupBy(doc_id, mark)
+        matched(lines, known)
+        .groupBy("doc", "mark")
         .agg(F.sort_array(F.collect_set("license")).alias(names), F.count("*").alias(amount))
     )
-    by_digest = known.withColumnsRenamed({"digest": "known_digest", "license": whole})
-    answers = docs.withColumns({own: digest(F.col(text)), mark: F.xxhash64(F.col(text))})
-    answers = answers.join(by_digest, F.col(own) == F.col("known_digest"), "left").drop("known_digest")
+    keys = {"doc": doc_id, "mark": mark}
+    answers = docs.withColumn(mark, F.xxhash64(F.col(text)))
+    answers = left_by(answers, entire.withColumnsRenamed(keys), [doc_id, mark])
     return (
-        left_by(answers, found, [doc_id, mark])
+        left_by(answers, found.withColumnsRenamed(keys), [doc_id, mark])
         .withColumn(amount, F.coalesce(F.col(amount), F.lit(0)))
         .withColumn(names, F.coalesce(F.col(names), F.array().cast("array<string>")))
         .drop(mark)

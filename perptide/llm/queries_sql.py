@@ -79,13 +79,11 @@ FROM page LEFT JOIN by_site s USING (r) LEFT JOIN by_pattern p USING (r)
 
 
 def _canonical(x: str) -> str:
-    marks, plain = licenses.TYPOGRAPHY
-    y = lowered(f"translate({x}, {quoted(marks)}, {quoted(plain)})")
-    y = f"regexp_replace({y}, {quoted(licenses.COPYRIGHT_LINE)}, ' ', 'g')"
-    y = f"' ' || regexp_replace({y}, {quoted(licenses.PUNCTUATION)}, ' ', 'g') || ' '"
+    y = f"regexp_replace(lower({x}), {quoted(licenses.COPYRIGHT_LINE)}, ' ', 'g')"
+    y = f"' ' || trim(regexp_replace({y}, {quoted(licenses.PUNCTUATION)}, ' ', 'g'), ' ') || ' '"
     for a, b in EQUIVALENT_SPELLINGS:
         y = f"replace({y}, {quoted(a)}, {quoted(b)})"
-    return f"trim(regexp_replace({y}, ' +', ' ', 'g'), ' ')"
+    return f"trim({y}, ' ')"
 
 
 def _digest(x: str) -> str:
@@ -106,7 +104,7 @@ WITH known AS (
   FROM line JOIN known USING (digest) GROUP BY r
 )
 SELECT doc.doc_id, known.license, coalesce(found.line_licenses, '') AS line_licenses,
-       coalesce(found.license_lines, 0)::BIGINT AS license_lines, doc.digest AS canonical_digest
+       coalesce(found.license_lines, 0)::BIGINT AS license_lines
 FROM doc LEFT JOIN known USING (digest) LEFT JOIN found USING (r)
 """
 
