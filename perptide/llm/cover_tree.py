@@ -22,6 +22,7 @@ Defined results
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ SCALE = 1024
 #: A cover tree's scales shrink by this factor from level to level.
 BASE = 1.3
 LEAF = 64
+#: Queries of a leaf: few, so that each leaf has a tight ball and a k-th score of its own.
+QUERY_LEAF = 4
 BLOCK = 8192
 QUERY_BLOCK = 8192
 SEEDS = 4096
@@ -49,19 +52,24 @@ class Node:
     radius: float
     children: list[Node] = field(default_factory=list)
 
-    @property
-    def norm(self) -> float:
-        return float(np.sqrt(self.center @ self.center))
+    @cached_property
+    def balls(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Centers, radii and center norms of the children, or of the node itself if it has none."""
+        nodes = self.children or [self]
+        centers = np.stack([n.center for n in nodes])
+        return centers, np.array([n.radius for n in nodes]), np.sqrt((centers * centers).sum(axis=1))
 
 
-def cover_tree(vectors: np.ndarray, points: np.ndarray | None = None, center: int | None = None) -> Node:
+def cover_tree(
+    vectors: np.ndarray, leaf: int = LEAF, points: np.ndarray | None = None, center: int | None = None
+) -> Node:
     """Top-down cover tree. The centers of a node's children are points farther apart than the
     children's scale, and every point lies within that scale of its child's center."""
     points = np.arange(len(vectors)) if points is None else points
     center = int(points[0]) if center is None else center
     away = np.sqrt(((vectors[points] - vectors[center]) ** 2).sum(axis=1))
     node = Node(points, vectors[center], float(away.max()))
-    if len(points) <= LEAF or node.radius == 0:
+    if len(points) <= leaf or node.radius == 0:
         return node
     scale = node.radius / BASE
     left = np.concatenate([[center], points[points != center]])
@@ -71,7 +79,9 @@ def cover_tree(vectors: np.ndarray, points: np.ndarray | None = None, center: in
         near[0] = True
         node.children.append(Node(left[near], vectors[head], 0.0))
         left = left[~near]
-    node.children = _grouped([cover_tree(vectors, c.points, int(c.points[0])) for c in node.children], vectors)
+    node.children = [cover_tree(vectors, leaf, c.points, int(c.points[0])) for c in node.children]
+    if leaf == LEAF:
+        node.children = _grouped(node.children, vectors)
     return node
 
 
@@ -132,17 +142,15 @@ def dual_search(
             best.add(q.points, scores, ids[d.points])
             scored += scores.size
             continue
+        # Half a unit, and a share of the size, stand above any rounding of a bound.
         if d.children and (not q.children or d.radius >= q.radius):
-            pairs = [(q, c) for c in d.children]
+            pairs, (centers, radii, norms), other = [(q, c) for c in d.children], d.balls, q
         else:
-            pairs = [(c, d) for c in q.children]
-        bounds = [
-            a.center @ b.center + a.radius * b.norm + b.radius * a.norm + a.radius * b.radius for a, b in pairs
-        ]
-        # Half a unit, and a share of the size, stand above any rounding of the bound.
-        slack = [0.5 + 1e-9 * (a.norm + a.radius) * (b.norm + b.radius) for a, b in pairs]
-        ranked = sorted(zip(pairs, bounds, slack, strict=True), key=lambda x: x[1])
-        stack += [(a, b, bound + more) for (a, b), bound, more in ranked]
+            pairs, (centers, radii, norms), other = [(c, d) for c in q.children], q.balls, d
+        norm = float(np.sqrt(other.center @ other.center))
+        bounds = centers @ other.center + radii * norm + other.radius * norms + radii * other.radius
+        bounds += 0.5 + 1e-9 * (norms + radii) * (norm + other.radius)
+        stack += [(*pairs[i], float(bounds[i])) for i in np.argsort(bounds)]
     return scored
 
 
@@ -186,7 +194,7 @@ def top_of(
             matrix = np.floor(SCALE * np.array([v for _, v in own], np.float64).reshape(len(own), size))
             numbers = np.array([i for i, _ in own], np.int64)
             limits = np.array([known.get(i, -np.inf) for i, _ in own])
-            trees[size] = matrix, numbers, cover_tree(matrix), Best(limits, k)
+            trees[size] = matrix, numbers, cover_tree(matrix, QUERY_LEAF), Best(limits, k)
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(at, BLOCK)

@@ -491,7 +491,10 @@ def _gathered(table: pa.Table) -> pa.Table:
     )
 
 
-def scores(docs: DataFrame, held_out: Column | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scores(
+    docs: DataFrame, held_out: Column | None = None, doc_id: str = "doc_id", text: str = "text", most: int = WORDS,
+    part_tokens: int = PART_TOKENS, hot_pairs: int = HOT_PAIRS,
+) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document.
 
     ``held_out`` is a condition on ``docs``; the model learns from all other rows."""
@@ -500,13 +503,13 @@ def scores(docs: DataFrame, held_out: Column | None = None, doc_id: str = "doc_i
     rows = parts_of(docs, doc_id, text, held_out)
     kind = rows.schema["doc_id"].dataType.simpleString()
     counts = materialized(unigrams(rows))
-    words, least = frequent(counts)
+    words, least = frequent(counts, most)
     known = contexts(words, counts, rows, least)
     tokens = int(known[1][: words.rare + 1].sum())
-    parts = max(16, tokens // PART_TOKENS)
+    parts = max(16, tokens // part_tokens)
     shared, shared_known = context.broadcast(words), context.broadcast(known)
     pairs = materialized(pair_counts(rows, shared, parts))
-    grid = statistics(pairs, shared, shared_known, max(1, -(-tokens // HOT_PAIRS))).collect()
+    grid = statistics(pairs, shared, shared_known, max(1, -(-tokens // hot_pairs))).collect()
     hot = sorted((-1 - r["cell"], r["weight"]) for r in grid if r["cell"] < 0)
     mix = mixture([r for r in grid if r["cell"] >= 0], words.rare + 1)
     own = Scorer(
