@@ -117,6 +117,11 @@ class _Ids(WordHashes):
         return value
 
 
+def _summed(place: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the weights by place; bincount alone gives whole numbers where nothing is summed."""
+    return np.bincount(place, weights, n).astype(np.float64)
+
+
 def bucket(count: np.ndarray) -> np.ndarray:
     """Context-frequency bucket: 0 for none, then one for each power of two."""
     return np.frexp(np.asarray(count, np.float64))[1].clip(0, BUCKETS - 1)
@@ -264,7 +269,7 @@ def statistics(pairs: DataFrame, words, known, hot_from: int) -> DataFrame:
                 pair, single = m / np.maximum(main[context], 1), main[word] / tokens
                 cell = (bucket(main[context]) * 512 + _octave(pair)) * 512 + _octave(single)
                 cells, place = np.unique(cell, return_inverse=True)
-                sums = [np.bincount(place, w, len(cells)) for w in (weight, weight * pair, weight * single)]
+                sums = [_summed(place, w, len(cells)) for w in (weight, weight * pair, weight * single)]
                 zeros = np.zeros(int(hot.sum()))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -364,7 +369,7 @@ def _asked(rows: DataFrame, scorer, parts: int) -> tuple[DataFrame, str]:
                 flat = np.concatenate(classes) if classes else np.zeros(0, np.int64)
                 keys = np.concatenate([_pairs(c, words) for c in classes]) if classes else np.zeros(0, _U)
                 plain = flat < words.rare
-                base = np.bincount(doc[plain], own.base_log(own.total[flat[plain]]), len(sizes))
+                base = _summed(doc[plain], own.base_log(own.total[flat[plain]]), len(sizes))
                 known = np.bincount(doc[plain], minlength=len(sizes))
                 late = [
                     (xxhash.xxh64_intdigest(split[d][k]) if k < len(split[d]) else END_HASH, d)
@@ -372,7 +377,7 @@ def _asked(rows: DataFrame, scorer, parts: int) -> tuple[DataFrame, str]:
                 ]
                 spot = np.minimum(np.searchsorted(own.hot_keys, keys), max(len(own.hot_keys) - 1, 0))
                 hot = own.hot_keys[spot] == keys if len(own.hot_keys) else np.zeros(len(keys), bool)
-                score = np.bincount(doc[hot], own.logs(keys[hot], own.hot_counts[spot[hot]]), len(sizes))
+                score = _summed(doc[hot], own.logs(keys[hot], own.hot_counts[spot[hot]]), len(sizes))
                 # A pair and a document as one number: a batch holds fewer than 4096 documents.
                 both, times = np.unique(np.stack([keys[~hot], doc[~hot].astype(_U)]), axis=1, return_counts=True) if (
                     words.base**2 >= 1 << 51
@@ -456,11 +461,11 @@ def _answered(left: pa.Table, right: pa.Table, own: Scorer, kind: pa.DataType) -
             every, place = np.unique(np.concatenate([docs, late_docs]), return_inverse=True)
             first, second = place[: len(docs)], place[len(docs) :]
             n = len(every)
-            score = np.bincount(first, own.logs(keys, look(pairs, seen, keys)) * times, n)
-            score += np.bincount(second, own.rare_log(count), n)
+            score = _summed(first, own.logs(keys, look(pairs, seen, keys)) * times, n)
+            score += _summed(second, own.rare_log(count), n)
             out["docs"].append(pack(every))
             out["known"].append(pack(np.bincount(second, count > 0, n)))
-            out["base"].append(np.bincount(second, own.base_log(count), n).astype("<f8").tobytes())
+            out["base"].append(_summed(second, own.base_log(count), n).astype("<f8").tobytes())
             out["score"].append(score.astype("<f8").tobytes())
     return pa.table(
         {
