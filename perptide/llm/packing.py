@@ -20,6 +20,7 @@ Defined results
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from functools import lru_cache
 
@@ -40,36 +41,66 @@ _PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
 class Encoder(dict):
     """Little-endian 32-bit ids of each word between spaces; white space never joins words here.
 
-    New words of a text are encoded together, parted by a mark that is one token. At most
-    ``most`` words are held.
+    Words of plain Latin letters, with or without marks behind them, are one piece and a run of
+    marks for the tokenizer, so the letters go to its model at once. Other new words of a
+    batch are encoded together, parted by a mark that is one token. At most ``most`` words are held.
     """
 
     MARK = "\x01"
+    TAILS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
-    def __init__(self, path: str, most: int = 1 << 18):
+    def __init__(self, path: str, most: int = 1 << 19):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.most = most
         self.mark = self._ids(self.MARK)
+        self.heads: dict[str, bytes] = {}
+        self.tails = {"": b""}
+        # Bytes that are no visible Latin-1 character stand for the code points from 256 on, in order.
+        hidden = [b for b in range(256) if b <= 32 or 127 <= b <= 160 or b == 173]
+        self.visible = {b: 256 + i for i, b in enumerate(hidden)}
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _latin(self, word: str) -> bytes | None:
+        head = word.rstrip(self.TAILS)
+        if not head.isalpha() or max(head) >= "\u0130":
+            return None
+        tail = word[len(head) :]
+        if tail not in self.tails:
+            if len(self.tails) > 4096:
+                self.tails = {"": b""}
+            self.tails[tail] = np.array(self._ids(tail), "<u4").tobytes()
+        form = head.lower()
+        ids = self.heads.get(form)
+        if ids is None:
+            shown = form if form.isascii() else form.encode().decode("latin-1").translate(self.visible)
+            ids = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
+            if len(self.heads) > self.most // 2:
+                self.heads.clear()
+            self.heads[form] = ids
+        return ids + self.tails[tail] if tail else ids
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.MARK not in w]
-        if len(self.mark) != 1:
-            plain = []
+        rest = []
+        for word in words:
+            ids = self._latin(word)
+            if ids is None:
+                rest.append(word)
+            else:
+                self[word] = ids
+        plain = [w for w in rest if self.MARK not in w] if len(self.mark) == 1 else []
         for start in range(0, len(plain), 4096):
             chunk = plain[start : start + 4096]
             ids = np.array(self._ids(f" {self.MARK} ".join(chunk)), "<u4")
             parts = np.split(ids, np.flatnonzero(ids == self.mark[0]))
-            if len(parts) != len(chunk):
-                plain = plain[:start]
-                break
-            self.update(zip(chunk, (p[bool(i) :].tobytes() for i, p in enumerate(parts)), strict=True))
-        for word in words:
+            if len(parts) == len(chunk):
+                self.update(zip(chunk, (p[bool(i) :].tobytes() for i, p in enumerate(parts)), strict=True))
+        for word in rest:
             if word not in self:
                 self[word] = np.array(self._ids(word), "<u4").tobytes()
 
@@ -78,9 +109,9 @@ class Encoder(dict):
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self) > self.most:
             self.clear()
-        new = {w for words in split for w in words} - self.keys()
+        new = [w for w in {w for words in split for w in words} if w not in self]
         if new:
-            self._learn(list(new))
+            self._learn(new)
         end = np.array([END_ID], "<u4").tobytes()
         return [b"".join(map(self.__getitem__, words)) + end for words in split]
 
