@@ -4,12 +4,12 @@ Documents hang on hubs (for this engine's query: equal texts share one hub, so a
 costs n links and never n * n pairs). Documents start in shards by their rank in a hash
 order, with counts at most one apart. In each round, joins bring every linked document the
 labels of its hubs, weighted by the neighbours that hold them; it asks to move to the
-heaviest. Quotas keep the counts: from shard i to j go as many as go back, and beyond that
-as many as j has room for linked documents. Whole hubs are let through in hash order until
-the quota is used. Documents without links fill the room that is left, so the law ``rows``
+heaviest; every other round only shards with a tenth of room may be asked for. Quotas keep the counts: as
+many move to a shard as leave it or find room there. Whole hubs are let through in hash order
+until the quota is used. Documents without links fill the room that is left, so the law ``rows``
 holds exactly: counts of shards differ by one at most.
 
-A hub of more than a quarter of a shard is split by rank into parts that move on their own.
+A hub of more than a sixteenth of a shard is let through in parts, so it fills shard by shard.
 Back to the driver come counts per pair of shards and hash bucket, at most
 ``shards ** 2 * BUCKETS`` numbers, however many documents there are.
 
@@ -39,49 +39,56 @@ def hubs(links: DataFrame, most: int) -> DataFrame:
     return links.join(sizes, "hub").select("node", "hub", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"))
 
 
-def wishes(linked: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, shard, target, bucket): nodes whose neighbours weigh most in another shard.
+def wishes(linked: DataFrame, labels: DataFrame, turn: int, open_shards: list[int]) -> DataFrame:
+    """(node, shard, target, bucket): nodes that more neighbours await in the open shards than in their own.
 
-    Of equal weights a hash of hub and shard decides, so ties do not crowd one shard.
+    Of equal weights a hash of hub, shard and ``turn`` decides, so ties do not crowd one shard.
     """
     placed = linked.join(labels, "node")
-    counts = placed.groupBy("hub", "part", "shard").agg(F.count("*").alias("n"))
-    order = F.struct("n", F.xxhash64("hub", "part", "shard"))
-    hub_label = counts.groupBy("hub", "part").agg(
+    counts = placed.groupBy("hub", "shard").agg(F.count("*").alias("n"))
+    order = F.struct("n", F.xxhash64("hub", "shard", F.lit(turn)))
+    heaviest = counts.where(F.col("shard").isin(open_shards)).groupBy("hub").agg(
         F.max_by("shard", order).alias("label"), F.max("n").alias("weight")
     )
     votes = (
-        placed.join(hub_label, ["hub", "part"])
+        placed.join(counts.withColumnRenamed("n", "own"), ["hub", "shard"])
+        .join(heaviest, "hub")
         .groupBy("node", "shard", "label")
-        .agg(F.sum("weight").alias("weight"), F.min(F.xxhash64("hub", "part")).alias("first"))
+        .agg(F.sum("weight").alias("weight"), F.sum("own").alias("own"), F.min(F.xxhash64("hub", "part")).alias("first"))
+    )
+    best = votes.groupBy("node", "shard").agg(
+        F.max(F.struct("weight", "first", "label")).alias("best"), F.sum("own").alias("own")
     )
-    best = votes.groupBy("node", "shard").agg(F.max(F.struct("weight", "first", "label")).alias("best"))
     return best.select(
         "node", "shard", F.col("best.label").alias("target"), F.pmod("best.first", F.lit(BUCKETS)).alias("bucket")
-    ).where(F.col("target") != F.col("shard"))
-
+    ).where((F.col("target") != F.col("shard")) & (F.col("best.weight") >= F.col("own")))
 
-def quotas(wanted: np.ndarray, held: np.ndarray, room: np.ndarray) -> np.ndarray:
-    """Moves allowed from shard to shard: what is swapped, and what fits into the free room.
 
-    ``wanted[i, j]`` nodes ask to go from i to j, ``held`` linked nodes are in a shard and
-    ``room`` is the most of them that it may hold.
-    """
-    swapped = np.minimum(wanted, wanted.T)
-    rest = wanted - swapped
-    free = np.maximum(room - held, 0)
-    asked = rest.sum(axis=0)
-    share = np.minimum(1.0, free / np.maximum(asked, 1))
-    return swapped + np.floor(rest * share).astype(np.int64)
+def admitted(flows: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+    """Per pair of shards the number of leading buckets whose nodes together stay in the quota."""
+    return (np.cumsum(flows, axis=2) <= allowed[:, :, None]).sum(axis=2)
 
 
-def admitted(flows: np.ndarray, allowed: np.ndarray) -> np.ndarray:
-    """Per pair of shards the number of leading buckets whose nodes together stay in the quota.
+def quotas(flows: np.ndarray, held: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Moves allowed from shard i to j, so that no shard ends above its room.
 
-    Swaps must match in both directions: the quota of each is cut to what whole buckets
-    let through, and what is above the counterpart must fit into the room.
+    ``flows[i, j]`` nodes by bucket ask to go from i to j, ``held`` linked nodes are in a shard and
+    ``room`` is the most that it may hold. All wishes are allowed at first, so that swaps and
+    cycles go through together; as long as whole buckets would leave a shard too full, its
+    largest inflows are cut. Without moves no shard is too full, so this ends.
     """
-    return (np.cumsum(flows, axis=2) <= allowed[:, :, None]).sum(axis=2)
+    allowed = flows.sum(axis=2)
+    while True:
+        limits = admitted(flows, allowed)
+        through = np.where(np.arange(flows.shape[2]) < limits[:, :, None], flows, 0).sum(axis=2)
+        above = held - through.sum(axis=1) + through.sum(axis=0) - room
+        if (above <= 0).all():
+            return allowed
+        for j in np.flatnonzero(above > 0):
+            over = above[j]
+            for i in np.argsort(-through[:, j]):
+                cut = min(over, through[i, j])
+                allowed[i, j], over = through[i, j] - cut, over - cut
 
 
 def propagate(links: DataFrame, nodes: int, shards: int = SHARDS, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:
@@ -91,21 +98,24 @@ def propagate(links: DataFrame, nodes: int, shards: int = SHARDS, rounds: int =
     """
     spark = links.sparkSession
     room = np.array([(nodes - j + shards - 1) // shards for j in range(shards)])
-    linked = materialized(hubs(links, nodes // shards // 4))
+    linked = materialized(hubs(links, nodes // shards // 16))
     labels = linked.select("node").distinct().withColumn("shard", (F.col("node") % shards).cast("int"))
     labels = materialized(labels)
-    for _ in range(rounds):
+    for turn in range(rounds):
         held = np.zeros(shards, np.int64)
         for r in labels.groupBy("shard").agg(F.count("*").alias("n")).collect():
             held[r["shard"]] = r["n"]
-        wish = materialized(wishes(linked, labels))
+        free = [j for j in range(shards) if turn % 2 == 0 or held[j] < 0.9 * room[j]]
+        wish = materialized(wishes(linked, labels, turn, free))
         flows = np.zeros((shards, shards, BUCKETS), np.int64)
         for r in wish.groupBy("shard", "target", "bucket").agg(F.count("*").alias("n")).collect():
             flows[r["shard"], r["target"], r["bucket"]] = r["n"]
-        limits = admitted(flows, _kept_even(flows, held, room))
+        limits = admitted(flows, quotas(flows, held, room))
         moved = sum(int(flows[i, j, : limits[i, j]].sum()) for i in range(shards) for j in range(shards))
-        if not moved:
+        if not flows.any() and len(free) == shards:
             break
+        if not moved:
+            continue
         rows = [(i, j, int(limits[i, j])) for i in range(shards) for j in range(shards)]
         gate = F.broadcast(spark.createDataFrame(rows, "shard int, target int, upto int"))
         moves = wish.join(gate, ["shard", "target"]).where(F.col("bucket") < F.col("upto")).select("node", "target")
@@ -118,25 +128,6 @@ def propagate(links: DataFrame, nodes: int, shards: int = SHARDS, rounds: int =
     return labels, room - held
 
 
-def _kept_even(flows: np.ndarray, held: np.ndarray, room: np.ndarray) -> np.ndarray:
-    """Quotas under which whole buckets leave no shard above its room.
-
-    Whole buckets may use less than a quota, so a swap may come out uneven. Shards that would
-    end above their room get a smaller inflow until none does; without moves none does.
-    """
-    allowed = quotas(flows.sum(axis=2), held, room)
-    while True:
-        through = np.where(np.arange(flows.shape[2]) < admitted(flows, allowed)[:, :, None], flows, 0).sum(axis=2)
-        above = held - through.sum(axis=1) + through.sum(axis=0) - room
-        if (above <= 0).all():
-            return allowed
-        for j in np.flatnonzero(above > 0):
-            over, order = above[j], np.argsort(-through[:, j])
-            for i in order:
-                cut = min(over, through[i, j])
-                allowed[i, j], over = through[i, j] - cut, over - cut
-
-
 def text_hub(text: Column) -> Column:
     """Identity of a text; NULL for a NULL text."""
     return F.when(text.isNotNull(), F.struct(F.xxhash64(text), F.crc32(text.cast("binary")), F.octet_length(text)))
