@@ -71,7 +71,10 @@ def test_equals_brute_force(documents, rng, monkeypatch, small):
 def test_without_stars_the_tree_finds_all(spark, rng):
     base = rng.sample(range(10**6), 200)
     sets = [sorted({*rng.sample(base, 150), *rng.sample(range(10**6), rng.randint(0, 60))}) for _ in range(60)]
-    rows = [(1, i, len(s), i, [sum(t % jc.GROUPS == g for t in s) for g in range(jc.GROUPS)]) for i, s in enumerate(sets)]
+    rows = [
+        (token, i, len(s), i, [sum(t % jc.GROUPS == g for t in s) for g in range(jc.GROUPS)])
+        for i, s in enumerate(sets) for token in s[: jc.prefix_length(len(s))]
+    ]
     points = spark.createDataFrame(rows, "token long, node long, n long, label long, vector array<int>")
     found = {(r["a"], r["b"]) for r in jc.rtree_pairs(points).collect()}
     alike = {
