@@ -15,7 +15,7 @@ def decimal_text(value: Column, kind: str) -> Column:
 
 def required(value: Column, field: str) -> Column:
     return F.when(value.isNotNull(), value).otherwise(
-        F.raise_error(F.lit(f"{field} is required and was empty"))
+        F.raise_error(F.lit(f"the payload gives no {field}"))
     )
 
 

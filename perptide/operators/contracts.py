@@ -53,6 +53,7 @@ def _hours() -> Column:
     return (F.col("funding_interval_h") > 0) & (F.col("funding_interval_h") <= 168)
 
 
+# The names of the rules in ``market_record_rules`` and ``table_rules``.
 def market_record_rules() -> dict[str, Column]:
     """What a normalized market record must satisfy before it is staged."""
     return {

@@ -107,10 +107,15 @@ def gap_rows(status: DataFrame) -> DataFrame:
 def attribute_causes(gaps: DataFrame, causes: DataFrame) -> DataFrame:
     """Give each gap the strongest cause whose interval overlaps it.
 
-    ``causes`` is (venue, from_ms, to_ms, cause). A gap covers whole minutes, so an
+    ``causes`` is (venue, from_ms, to_ms, cause); a NULL end is a cause that is still
+    going on and reaches to the venue's last gap. A gap covers whole minutes, so an
     interval overlaps it exactly when it touches one of them: both sides meet in an
     equality join on the minute, after equal (venue, minute, cause) are united.
     """
+    last = gaps.groupBy("venue").agg(F.max("to_ms").alias("last_ms"))
+    causes = causes.join(last, "venue").select(
+        "venue", "from_ms", F.coalesce("to_ms", "last_ms").alias("to_ms"), "cause"
+    )
     ranks = F.create_map(*[F.lit(x) for pair in CAUSE_RANK.items() for x in pair])
     united = merge_intervals(
         causes.filter(F.col("to_ms") > F.col("from_ms")), ["venue", "cause"], "from_ms", "to_ms"

@@ -19,8 +19,8 @@ EVENT_KEY = ["venue", "symbol", "ts_ms", "event_id"]
 def liquidation_rows(orders: DataFrame, dim: DataFrame) -> DataFrame:
     """Forced orders to liquidation rows, before removal of repeated frames.
 
-    The side is the position's, opposite to the order's. Size is in base units;
-    notional is unknown when the multiplier is.
+    The side is the position's, opposite to the order's; an order side that is neither of
+    the two is an error. Size is in base units; notional is unknown when the multiplier is.
     """
     known = resolve(orders, dim)
     identity = F.sha2(
@@ -38,8 +38,10 @@ def liquidation_rows(orders: DataFrame, dim: DataFrame) -> DataFrame:
         known,
         S.LIQUIDATION,
         event_id=identity,
-        side=F.when(F.col("order_side") == "SELL", "long").when(
-            F.col("order_side") == "BUY", "short"
+        side=F.when(F.col("order_side") == "SELL", "long")
+        .when(F.col("order_side") == "BUY", "short")
+        .otherwise(
+            F.raise_error(F.concat(F.lit("unknown order side: "), F.coalesce("order_side", F.lit("none"))))
         ),
         price=F.col("average_price"),
         size=C.to_base_units(F.col("filled_qty"), F.col("mult")),

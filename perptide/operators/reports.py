@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -270,35 +272,37 @@ def benjamini_hochberg(tests: DataFrame, q: float = 0.05, buckets: int = 1000) -
     )
 
 
+def poisson_thresholds(bits: int = 24) -> list[int]:
+    """Where a uniform number of so many bits counts one more, for the Poisson law of mean one."""
+    out, total, term = [], 0.0, math.exp(-1)
+    for k in range(1, 12):
+        total += term
+        out.append(math.ceil(total * (1 << bits)))
+        term /= k
+    return [t for t in out if t < 1 << bits]
+
+
 def block_bootstrap(
     spark: SparkSession, series: DataFrame, block: int, replicates: int, seed: int = 1
 ) -> DataFrame:
     """Percentile interval of a group's mean from resampled blocks.
 
     ``series`` is (grp, i, value) with i counting from 0. Blocks are reduced to
-    (sum, count) first; every replicate draws as many blocks as there are, by a
-    congruential generator, and the draws meet the blocks in an equality join.
+    (sum, count) first. In each replicate a block counts as often as a Poisson number of
+    mean one says, drawn from a digest of (seed, group, replicate, block): draws are
+    independent, blocks that do not exist are never drawn, and all replicates are summed in
+    one aggregation that combines before its shuffle.
     """
     blocks = series.groupBy("grp", F.floor(F.col("i") / block).cast("bigint").alias("b")).agg(
         F.sum("value").alias("s"), F.count("*").alias("c")
     )
-    sizes = blocks.groupBy("grp").agg((F.max("b") + 1).alias("n_blocks"))
-    draws = (
-        sizes.select("grp", "n_blocks", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
-        .repartition("grp", "r")
-        .select(
-            "grp", "n_blocks", "r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_blocks") - 1)).alias("j")
-        )
-    )
-    mixed = F.pmod(
-        ((F.lit(seed) * 31 + F.col("r")) * 7919 + F.col("j")) * 1_103_515_245 + 12_345,
-        F.lit(2_147_483_648),
-    )
-    drawn = draws.select("grp", "r", F.pmod(F.shiftright(mixed, 8), F.col("n_blocks")).alias("b"))
-    # Equal draws are counted before the join, so a block is met once per replicate.
-    weights = drawn.groupBy("grp", "r", "b").agg(F.count("*").alias("w"))
+    drawn = blocks.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
+    named = F.concat_ws("|", F.lit(seed).cast("string"), "grp", F.col("r").cast("string"), F.col("b").cast("string"))
+    uniform = F.conv(F.substring(F.md5(named.cast("binary")), 1, 6), 16, 10).cast("bigint")
+    weight = sum((uniform >= t).cast("int") for t in poisson_thresholds())
     means = (
-        weights.join(blocks, ["grp", "b"])
+        drawn.withColumn("w", weight)
+        .where("w > 0")
         .groupBy("grp", "r")
         .agg((F.sum(F.col("s") * F.col("w")) / F.sum(F.col("c") * F.col("w"))).alias("mean"))
     )

@@ -219,12 +219,14 @@ ATTRIBUTES = ["symbol", "mult", "funding_interval_h", "tick", "status"]
 
 @query(
     "u6_apply_one_snapshot",
-    B.with_ctes(B.EV, B.instruments("hour_no <= 6")) + INSTRUMENT_OUT,
+    B.with_ctes(B.EV, B.INSTRUMENTS) + INSTRUMENT_OUT,
 )
 def u6_apply(spark, sf_dir):
+    """The last snapshot of all, applied to the history of all earlier ones."""
     key = ["venue", "venue_symbol"]
     snapshots = bridge.instrument_snapshots(spark, sf_dir)
-    cut = at(T0 + 6 * bridge.HOUR)
+    cut = snapshots.agg(F.unix_millis(F.max("ts")).alias("ms")).first()["ms"]
+    cut = at(cut)
     versions = H.scd2_history(snapshots.filter(F.col("ts") < cut), key, ATTRIBUTES, ["venue"])
     now = snapshots.filter(F.col("ts") == cut)
     return instruments_out(H.scd2_apply(versions, now, key, ATTRIBUTES, cut))

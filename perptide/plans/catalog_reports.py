@@ -550,13 +550,16 @@ def p20(spark, sf_dir):
     )
 
 
+WEIGHT = " + ".join(f"(u >= {t})::INT" for t in R.poisson_thresholds())
+
+
 @query(
     "p21_block_bootstrap",
-    EVC + """, b AS (SELECT symbol AS grp, event_id // 50 AS b, sum(px) AS s, count(*) AS c FROM ev GROUP BY ALL),
-z AS (SELECT grp, max(b) + 1 AS nb FROM b GROUP BY grp),
-d AS (SELECT grp, r, j, nb, ((((31 + r) * 7919 + j) * 1103515245 + 12345) % 2147483648 >> 8) % nb AS b
-  FROM (SELECT grp, nb, r, unnest(generate_series(0, nb - 1)) AS j FROM z, (SELECT unnest(generate_series(1, 200)) AS r))),
-m AS (SELECT d.grp, r, sum(CAST(s AS DOUBLE)) / sum(c) AS mean FROM d JOIN b ON b.grp = d.grp AND b.b = d.b GROUP BY ALL)
+    EVC + f""", b AS (SELECT symbol AS grp, event_id // 50 AS b, sum(px) AS s, count(*) AS c FROM ev GROUP BY ALL),
+u AS (SELECT grp, s, c, r, list_sum([(strpos('0123456789abcdef', substr(h, k, 1)) - 1) * (16 ** (6 - k))::BIGINT FOR k IN [1, 2, 3, 4, 5, 6]]) AS u
+  FROM (SELECT *, md5('1|' || grp || '|' || r || '|' || b) AS h FROM b, (SELECT unnest(generate_series(1, 200)) AS r))),
+w AS (SELECT *, {WEIGHT} AS w FROM u),
+m AS (SELECT grp, r, sum(CAST(s AS DOUBLE) * w) / sum(c * w) AS mean FROM w WHERE w > 0 GROUP BY ALL)
 SELECT grp, count(*) AS replicates, round(quantile_cont(mean, 0.025), 6) AS low, round(quantile_cont(mean, 0.975), 6) AS high FROM m GROUP BY grp""",
 )
 def p21(spark, sf_dir):
@@ -636,13 +639,32 @@ def t2(spark, sf_dir):
 
 @query("t3_liquidation_stream", _twin("l1_liquidation_rows"))
 def t3(spark, sf_dir):
-    path = _landed(spark, P.force_order(spark, sf_dir).coalesce(1), "order-frames")
+    """Unsorted frames in many files and batches, a part of them landed twice."""
+    frames = P.force_order(spark, sf_dir)
+    again = frames.where(F.pmod(F.xxhash64("payload"), F.lit(3)) == 0)
+    path = _landed(spark, frames.unionByName(again).repartition(8), "order-frames")
     out = _folder(spark, "liquidations")
-    stream = landed.stream_frames(spark, path)
+    stream = landed.stream_frames(spark, path, max_files_per_trigger=2)
     lanes.liquidation_lane(
         stream, P.dimension(spark, sf_dir), out, _folder(spark, "progress"), available_now=True
     ).awaitTermination()
-    return liquidation_out(spark.read.schema(lanes.LIQUIDATION_TABLE).parquet(out))
+    return liquidation_out(lanes.liquidation_table(spark, out))
+
+
+@query(
+    "t1_t2_two_lanes_one_store",
+    f"SELECT * FROM ({_lane_sql('n4_streamed_mark_frames')}) UNION ALL SELECT * FROM ({_lane_sql('n17_all_mids_frames')})",
+)
+def t1_t2(spark, sf_dir):
+    """Both price streams into one store, each with its own batch numbers."""
+    dim, store = P.dimension(spark, sf_dir), MinuteStore(spark, _folder(spark, "store"))
+    for number, (lane, frames) in enumerate(
+        ((lanes.mark_price_lane, P.ws_mark_price(spark, sf_dir)), (lanes.mid_price_lane, P.ws_all_mids(spark, sf_dir)))
+    ):
+        path = _landed(spark, frames.repartition(4), "lane-frames")
+        stream = landed.stream_frames(spark, path, max_files_per_trigger=2)
+        lane(stream, dim, store, _folder(spark, "progress"), available_now=True, lane=number).awaitTermination()
+    return market_out(store.read(bridge.segments(spark, sf_dir)))
 
 
 SQL_S2 = EVC + """SELECT count(DISTINCT event_id // 50) AS frames, count(*) AS entries FROM ev WHERE venue = 'binance' AND event_type = 'view'"""

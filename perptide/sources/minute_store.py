@@ -16,6 +16,9 @@ from perptide import schemas as S
 from perptide.functions import scalars as C
 from perptide.operators import merge
 
+#: Streams that may write one store. Batch n of lane k is number n * LANES + k in the log.
+LANES = 1000
+
 LOG_SCHEMA = {**S.STAGE, "batch_seq": "bigint", "month": "string"}
 BASE_SCHEMA = {**S.MARKET_1M, "month": "string"}
 
@@ -25,12 +28,18 @@ class MinuteStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def append(self, records: DataFrame, batch_seq: int) -> None:
-        """Stage one batch; running it again replaces the same partitions."""
+    def append(self, records: DataFrame, batch_seq: int, lane: int = 0) -> None:
+        """Stage one batch of a lane; running it again replaces the same partitions.
+
+        The number in the log orders the batches of all lanes, so no two batches share it.
+        """
+        if not 0 <= lane < LANES:
+            raise ValueError(f"a lane is a number from 0 to {LANES - 1}")
+        number = batch_seq * LANES + lane
         staged = merge.staged(records)
         (
             staged.withColumn("month", C.month_of(C.epoch_ms(F.col("ts_ms"))))
-            .withColumn("batch_seq", F.lit(batch_seq).cast("bigint"))
+            .withColumn("batch_seq", F.lit(number).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("month", "batch_seq")
@@ -38,9 +47,10 @@ class MinuteStore:
         )
 
     def log(self, after: int | None = None, months: list[str] | None = None) -> DataFrame:
+        """Batches outside generation ``after``, which holds those up to a number of its own for each lane."""
         df = self._read(f"{self.root}/log", LOG_SCHEMA)
         if after is not None:
-            df = df.filter(F.col("batch_seq") > after)
+            df = df.filter(~self._inside(self._limits(after)))
         return _in_months(df, months)
 
     def base(self, generation: int | None, months: list[str] | None = None) -> DataFrame:
@@ -55,21 +65,42 @@ class MinuteStore:
         generation: int | None = None,
         months: list[str] | None = None,
     ) -> DataFrame:
-        """The table now. A generation is named after the last batch it contains."""
+        """The table now: a generation and the batches outside it."""
         return merge.replay(
             self.log(generation, months).drop("month"),
             segments,
             target=self.base(generation, months),
         )
 
-    def compact(self, segments: DataFrame, upto: int, generation: int | None = None) -> int:
-        """Fold batches up to ``upto`` over ``generation`` into a new generation."""
-        recent = self.log(generation).filter(F.col("batch_seq") <= upto).drop("month")
+    def compact(self, segments: DataFrame, upto: int | dict[int, int], generation: int | None = None) -> int:
+        """Fold batches over ``generation`` into a new generation and return its number.
+
+        ``upto`` is the last batch to take of each lane; a lone number is lane 0's. Lanes move
+        on at their own pace, so a generation remembers a limit for each.
+        """
+        limits = {} if generation is None else self._limits(generation)
+        limits |= {0: upto} if isinstance(upto, int) else upto
+        recent = self.log(generation).filter(self._inside(limits)).drop("month")
+        following = 0 if generation is None else generation + 1
         write_months(
             merge.replay(recent, segments, target=self.base(generation)),
-            f"{self.root}/base/generation={upto}",
+            f"{self.root}/base/generation={following}",
         )
-        return upto
+        rows = self.spark.createDataFrame(sorted(limits.items()), "lane int, upto bigint")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/limits/generation={following}")
+        return following
+
+    def _limits(self, generation: int) -> dict[int, int]:
+        rows = self._read(f"{self.root}/limits/generation={generation}", {"lane": "int", "upto": "bigint"})
+        return {r["lane"]: r["upto"] for r in rows.collect()}
+
+    @staticmethod
+    def _inside(limits: dict[int, int]):
+        """Whether a log row belongs to the batches up to ``limits``."""
+        found = F.lit(False)
+        for lane, upto in limits.items():
+            found |= (F.col("batch_seq") % LANES == lane) & (F.col("batch_seq") <= upto * LANES + lane)
+        return found
 
     def _read(self, path: str, columns: dict[str, str]) -> DataFrame:
         return self.spark.read.schema(S.ddl(columns)).parquet(path)

@@ -17,6 +17,7 @@ from perptide.functions import scalars as C
 from perptide.operators import accounts as A
 from perptide.operators import capability as K
 from perptide.operators import contracts, history, usage
+from perptide.operators import gaps as G
 from perptide.operators import reports as R
 
 TS = "timestamp'2025-01-01 00:05:00'"
@@ -246,3 +247,32 @@ def test_query_equals_its_sql(spark, name):
     want = sorted(str([r[i] for i in order]) for r in cursor.fetchall())
     got = sorted(str([r[c] for c in columns]) for r in entry_module.queries()[name](spark, folder).collect())
     assert got == want
+
+
+def test_bootstrap_width_is_that_of_independent_draws(spark):
+    rng = np.random.default_rng(11)
+    n, block, replicates = 60_000, 20, 800
+    values = rng.normal(0, 1, n)
+    rows = [("g", i, float(x)) for i, x in enumerate(values)]
+    df = spark.createDataFrame(rows, "grp string, i bigint, value double")
+    (row,) = R.block_bootstrap(spark, df, block, replicates, seed=5).collect()
+    sums = values.reshape(-1, block).sum(axis=1)
+    drawn = rng.integers(0, len(sums), (4000, len(sums)))
+    means = sums[drawn].mean(axis=1) / block
+    width = np.quantile(means, 0.975) - np.quantile(means, 0.025)
+    assert abs((row.high - row.low) / width - 1) < 0.1
+    assert R.poisson_thresholds()[:2] == [6171993, 12343986]
+
+
+def test_open_cause_reaches_to_the_last_gap(spark):
+    gaps = spark.createDataFrame(
+        [("v", "m", 0, 120_000, 2, 3, 1, "unknown"), ("v", "m", 600_000, 660_000, 1, 3, 1, "unknown"),
+         ("w", "m", 0, 60_000, 1, 3, 1, "unknown")],
+        "venue string, metric string, from_ms bigint, to_ms bigint, minutes int, symbols_expected int, "
+        "symbols_present int, cause string",
+    )
+    causes = spark.createDataFrame(
+        [("v", 300_000, None, "egress_down")], "venue string, from_ms bigint, to_ms bigint, cause string"
+    )
+    out = {(r.venue, r.from_ms): r.cause for r in G.attribute_causes(gaps, causes).collect()}
+    assert out == {("v", 0): "unknown", ("v", 600_000): "egress_down", ("w", 0): "unknown"}

@@ -192,3 +192,47 @@ def test_documents_and_export_round_trip(spark, tmp_path):
     assert json.loads(text.value) == {
         "version": "v1", "kind": "latest", "as_of": B, "body": {"symbol": "BTC", "mark": None},
     }
+
+
+def test_two_lanes_share_one_store(spark, segments, tmp_path):
+    store = MinuteStore(spark, str(tmp_path / "store"))
+    for lane, mark in ((0, 1), (1, 2)):
+        for batch in range(2):
+            at = B + (2 * lane + batch) * 60_000
+            store.append(stage(spark, [dict(ts_ms=at, mark=Decimal(mark), obs_ts_fast_ms=at)]), batch, lane)
+    before = table_rows(store.read(segments))
+    assert [r.mark for r in before] == [1, 1, 2, 2]
+    generation = store.compact(segments, upto={0: 1, 1: 0})
+    assert table_rows(store.read(segments, generation)) == before
+    late = B + 9 * 60_000
+    store.append(stage(spark, [dict(ts_ms=late, mark=Decimal(3), obs_ts_fast_ms=late)]), 2, 1)
+    assert [r.mark for r in table_rows(store.read(segments, generation))] == [1, 1, 2, 2, 3]
+    with pytest.raises(ValueError, match="lane"):
+        store.append(stage(spark, []), 0, 1000)
+
+
+def test_late_liquidations_are_kept(spark, dim, tmp_path):
+    """Frames that land hours behind the newest event, over several batches, one of them repeated."""
+    order = '{{"E":{t},"o":{{"s":"BTCUSDT","S":"BUY","q":"1","p":"2","ap":"2","z":"1","T":{t}}}}}'
+    source = tmp_path / "orders"
+    source.mkdir()
+    hour = 3_600_000
+    for i, t in enumerate([B + 2 * hour, B + 2 * hour + 1, B, B - 30 * hour, B]):
+        body = dict(venue="binance", endpoint="ws_force_order", observed_ms=t, ingest_ms=t, payload=order.format(t=t))
+        (source / f"{i}.json").write_text(json.dumps(body))
+    out = str(tmp_path / "table")
+    lanes.liquidation_lane(
+        landed.stream_frames(spark, str(source), 1), dim, out, str(tmp_path / "p"), True
+    ).awaitTermination()
+    table = lanes.liquidation_table(spark, out)
+    assert sorted(r.ts_ms for r in table.collect()) == [B - 30 * hour, B, B + 2 * hour, B + 2 * hour + 1]
+    month = table.where(F.col("ts_ms") == B).first().month
+    assert lanes.liquidation_table(spark, out, [month]).count() >= 3
+
+
+def test_unknown_order_side_is_refused(spark, dim):
+    payload = f'{{"E":{B},"o":{{"s":"BTCUSDT","S":"HOLD","q":"1","p":"2","ap":"2","z":"1","T":{B}}}}}'
+    rows = [("binance", "ws_force_order", None, None, B, B, payload)]
+    frames = spark.createDataFrame(rows, S.RAW_PAYLOAD)
+    with pytest.raises(Exception, match="unknown order side"):
+        lanes.liquidation_rows(frames, dim).collect()
