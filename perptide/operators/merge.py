@@ -225,7 +225,21 @@ def replay(
     live = _live_winners(ops)
     base = _applied_backfill(ops)
     final = live.join(base, KEY, "full_outer")
-    return with_oi_usd(_settled(final), segments).select(*COLUMNS)
+    out = with_oi_usd(_settled(final), segments).select(*COLUMNS)
+    return out if target is None else _stored_values_kept(out, target)
+
+
+def _stored_values_kept(out: DataFrame, target: DataFrame) -> DataFrame:
+    """``out`` with the stored ``oi_usd`` of the rows that no operation of the log changed.
+
+    Statements value what they write at the segments of their day; a fold must not value the
+    rest anew, or the table would depend on when it is compacted.
+    """
+    facts = F.struct(*[c for c in COLUMNS if c not in (*KEY, "oi_usd")])
+    old = target.select(*KEY, facts.alias("old_facts"), F.col("oi_usd").alias("old_oi_usd"))
+    unchanged = F.coalesce(F.col("old_facts") == facts, F.lit(False))
+    kept = F.when(unchanged, F.col("old_oi_usd")).otherwise(F.col("oi_usd"))
+    return out.join(old, KEY, "left").withColumn("oi_usd", kept).select(*COLUMNS)
 
 
 def replay_live(log: DataFrame, segments: DataFrame) -> DataFrame:

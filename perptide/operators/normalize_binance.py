@@ -8,7 +8,7 @@ and never pass through a binary float.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perptide import schemas as S
@@ -84,15 +84,36 @@ def grid_of(interval: Column) -> Column:
 
 # -- contract list -------------------------------------------------------------
 def funding_intervals(raw: DataFrame) -> DataFrame:
-    """(venue_symbol, hours) of the contracts off the default grid; the last entry wins."""
+    """(list_ms, venue_symbol, hours) of the contracts off the default grid, list by list; the last
+    entry of a list wins. An entry without a name or without hours is an error."""
     e = parsed(raw, "funding_info", "array<struct<symbol:string,fundingIntervalHours:int>>").select(
-        "observed_ms", F.posexplode("doc").alias("pos", "e")
+        F.col("observed_ms").alias("list_ms"), F.posexplode("doc").alias("pos", "e")
     )
-    return e.groupBy(F.col("e.symbol").alias("venue_symbol")).agg(
-        F.max_by("e.fundingIntervalHours", F.struct("observed_ms", "pos")).alias("hours")
+    return e.groupBy("list_ms", C.required(F.col("e.symbol"), "symbol").alias("venue_symbol")).agg(
+        F.max_by(C.required(F.col("e.fundingIntervalHours"), "fundingIntervalHours"), "pos").alias("hours")
     )
 
 
+def interval_lists(raw: DataFrame) -> DataFrame:
+    """(observed_ms, list_ms): the interval list that holds for each contract list, the nearest not after
+    it, or the first one where none came before. One row per list, so the window is small."""
+    at = [
+        documents(raw, endpoint).select("observed_ms").distinct().withColumn("is_list", F.lit(mark))
+        for endpoint, mark in (("exchange_info", False), ("funding_info", True))
+    ]
+    listed = F.when(F.col("is_list"), F.col("observed_ms"))
+    order = Window.orderBy("observed_ms", F.desc("is_list"))
+    known = at[0].unionByName(at[1]).select(
+        "observed_ms",
+        "is_list",
+        F.coalesce(
+            F.last(listed, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+            F.first(listed, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing)),
+        ).alias("list_ms"),
+    )
+    return known.where(~F.col("is_list")).select("observed_ms", "list_ms")
+
+
 def instruments(raw: DataFrame) -> DataFrame:
     schema = (
         "struct<serverTime:string,symbols:array<struct<symbol:string,contractType:string,"
@@ -102,15 +123,20 @@ def instruments(raw: DataFrame) -> DataFrame:
         parsed(raw, "exchange_info", schema)
         .select(
             "venue",
+            "observed_ms",
             "ingest_ms",
             instant(F.col("doc.serverTime"), "serverTime").alias("server_ms"),
-            F.inline("doc.symbols"),
+            F.inline(C.required(F.col("doc.symbols"), "symbols")),
         )
         .filter(F.col("contractType") == "PERPETUAL")
         .withColumnRenamed("symbol", "venue_symbol")
+        .withColumns(
+            {c: C.required(F.col(c), c) for c in ("venue_symbol", "baseAsset")}
+        )
     )
+    known = listed.join(interval_lists(raw), "observed_ms", "left")
     return S.conform(
-        listed.join(funding_intervals(raw), "venue_symbol", "left"),
+        known.join(funding_intervals(raw), ["list_ms", "venue_symbol"], "left"),
         S.INSTRUMENT,
         symbol=C.binance_symbol(F.col("baseAsset")),
         ts_ms=F.col("server_ms"),
@@ -131,7 +157,7 @@ def premium_index_entries(raw: DataFrame) -> DataFrame:
     )
     return elements(raw, "premium_index", schema).select(
         "venue",
-        F.col("e.symbol").alias("venue_symbol"),
+        C.required(F.col("e.symbol"), "symbol").alias("venue_symbol"),
         instant(F.col("e.time"), "time").alias("ts_ms"),
         F.col("ingest_ms").alias("ingest_ts_ms"),
         C.decimal_text(F.col("e.markPrice"), S.PX).alias("mark"),
@@ -146,7 +172,7 @@ def ws_mark_price_entries(frames: DataFrame) -> DataFrame:
     schema = "struct<s:string,p:string,i:string,r:string,T:string,E:string>"
     return elements(unwrap_frames(frames), "ws_mark_price", schema).select(
         "venue",
-        F.col("e.s").alias("venue_symbol"),
+        C.required(F.col("e.s"), "s").alias("venue_symbol"),
         instant(F.col("e.E"), "E").alias("ts_ms"),
         F.col("ingest_ms").alias("ingest_ts_ms"),
         C.decimal_text(F.col("e.p"), S.PX).alias("mark"),
@@ -188,7 +214,7 @@ def funding_rate_entries(raw: DataFrame) -> DataFrame:
     schema = "struct<symbol:string,fundingRate:string,fundingTime:string>"
     return elements(raw, "funding_rate", schema).select(
         "venue",
-        F.col("e.symbol").alias("venue_symbol"),
+        C.required(F.col("e.symbol"), "symbol").alias("venue_symbol"),
         instant(F.col("e.fundingTime"), "fundingTime").alias("ts_ms"),
         F.col("ingest_ms").alias("ingest_ts_ms"),
         C.required(C.decimal_text(F.col("e.fundingRate"), S.RATE), "fundingRate").alias(
@@ -228,7 +254,7 @@ def open_interest_entries(raw: DataFrame) -> DataFrame:
     document = F.array(F.from_json("payload", schema, FAIL_FAST))
     return exploded(documents(raw, "open_interest"), document, "e").select(
         "venue",
-        F.col("e.symbol").alias("venue_symbol"),
+        C.required(F.col("e.symbol"), "symbol").alias("venue_symbol"),
         instant(F.col("e.time"), "time").alias("ts_ms"),
         F.col("ingest_ms").alias("ingest_ts_ms"),
         C.decimal_text(F.col("e.openInterest"), S.QTY).alias("contracts"),
@@ -247,7 +273,7 @@ def ticker_24h_entries(raw: DataFrame) -> DataFrame:
     schema = "struct<symbol:string,priceChangePercent:string,quoteVolume:string,closeTime:string>"
     return elements(raw, "ticker_24h", schema).select(
         "venue",
-        F.col("e.symbol").alias("venue_symbol"),
+        C.required(F.col("e.symbol"), "symbol").alias("venue_symbol"),
         instant(F.col("e.closeTime"), "closeTime").alias("ts_ms"),
         F.col("ingest_ms").alias("ingest_ts_ms"),
         C.decimal_text(F.col("e.quoteVolume"), S.QTY).alias("vol24h_usd"),
@@ -327,7 +353,7 @@ def force_order_entries(frames: DataFrame) -> DataFrame:
 
     return order.select(
         "venue",
-        field("s").alias("venue_symbol"),
+        C.required(field("s"), "o.s").alias("venue_symbol"),
         instant(field("T"), "o.T").alias("ts_ms"),
         F.col("ingest_ms").alias("ingest_ts_ms"),
         field("S").alias("order_side"),

@@ -38,7 +38,7 @@ META = "struct<universe:array<struct<name:string,szDecimals:int,maxLeverage:int>
 
 def _listed(raw: DataFrame) -> DataFrame:
     return parsed(raw, "meta", META, VENUE).select(
-        "venue", "observed_ms", "ingest_ms", F.inline("doc.universe")
+        "venue", "observed_ms", "ingest_ms", F.inline(C.required(F.col("doc.universe"), "universe"))
     )
 
 
@@ -94,7 +94,7 @@ def meta_and_asset_ctxs_entries(raw: DataFrame) -> DataFrame:
     )
     return exploded(paired, zipped, "pair").select(
         "venue",
-        F.col("pair.coins.name").alias("venue_symbol"),
+        C.required(F.col("pair.coins.name"), "name").alias("venue_symbol"),
         F.col("observed_ms").alias("ts_ms"),
         F.col("ingest_ms").alias("ingest_ts_ms"),
         C.decimal_text(F.col("pair.ctxs.markPx"), S.PX).alias("mark"),
@@ -132,7 +132,7 @@ def predicted_funding_entries(raw: DataFrame) -> DataFrame:
         "row", two(F.col("e"), "a coin row")
     )
     keyed = exploded(
-        coins.withColumn("venue_symbol", F.get("row", F.lit(0))),
+        coins.withColumn("venue_symbol", C.required(F.get("row", F.lit(0)), "coin")),
         F.from_json(F.get("row", F.lit(1)), "array<array<string>>", FAIL_FAST),
         "pair",
     )

@@ -82,7 +82,7 @@ SELECT DISTINCT symbol || 'USDT' AS venue_symbol, CAST(4 AS BIGINT) AS hours FRO
 WHERE venue = 'binance' AND sym_no = 3""",
 )
 def n2(spark, sf_dir):
-    return NB.funding_intervals(P.funding_info(spark, sf_dir)).select("venue_symbol", big("hours"))
+    return NB.funding_intervals(P.funding_info(spark, sf_dir)).select("venue_symbol", big("hours")).distinct()
 
 
 @query(

@@ -229,3 +229,37 @@ def test_ambiguous_mapping_fails(spark, dim):
     twice = dim.unionByName(dim.filter("symbol = 'BTC'"))
     with pytest.raises(REFUSED):
         symbols.one_to_one(twice).collect()
+
+
+@pytest.mark.parametrize(
+    ("endpoint", "payload", "read"),
+    [
+        ("premium_index", '[{"markPrice":"1","time":"5"}]', lambda r: NB.premium_index_entries(r)),
+        ("ws_mark_price", '[{"p":"1","E":"5"}]', lambda r: NB.ws_mark_price_entries(r)),
+        ("exchange_info", '{"serverTime":"5"}', lambda r: NB.instruments(r)),
+        ("exchange_info", '{"serverTime":"5","symbols":[{"contractType":"PERPETUAL","baseAsset":"A"}]}', lambda r: NB.instruments(r)),
+        ("exchange_info", '{"serverTime":"5","symbols":[{"contractType":"PERPETUAL","symbol":"A"}]}', lambda r: NB.instruments(r)),
+        ("funding_info", '[{"fundingIntervalHours":4}]', lambda r: NB.funding_intervals(r)),
+        ("funding_info", '[{"symbol":"AUSDT"}]', lambda r: NB.funding_intervals(r)),
+        ("ws_force_order", '{"E":"5","o":{"T":"5","S":"BUY"}}', lambda r: NB.force_order_entries(r)),
+        ("meta", "{}", lambda r: NH.instruments(r)),
+        ("meta_and_asset_ctxs", '[{"universe":[{}]},[{"markPx":"1"}]]', lambda r: NH.meta_and_asset_ctxs_entries(r)),
+    ],
+)
+def test_missing_names_and_containers_are_refused(spark, endpoint, payload, read):
+    venue = "hyperliquid" if endpoint.startswith("meta") else "binance"
+    raw = spark.createDataFrame([(venue, endpoint, None, None, 5, 6, payload)], S.RAW_PAYLOAD)
+    with pytest.raises(Exception, match="the payload gives no"):
+        read(raw).collect()
+
+
+def test_interval_of_the_list_before(spark):
+    """A contract that moves from 8 to 4 hours keeps its 8 in the older list."""
+    listed = '{{"serverTime":"{t}","symbols":[{{"symbol":"AUSDT","contractType":"PERPETUAL","status":"TRADING","baseAsset":"A","filters":[]}}]}}'
+    day = 86_400_000
+    rows = [("binance", "exchange_info", None, None, t, t, listed.format(t=t)) for t in (day, 2 * day, 3 * day)]
+    rows += [("binance", "funding_info", None, None, t, t, p) for t, p in (
+        (day - 5, "[]"), (2 * day, '[{"symbol":"AUSDT","fundingIntervalHours":4}]'), (3 * day + 5, '[{"symbol":"AUSDT","fundingIntervalHours":1}]'),
+    )]
+    out = NB.instruments(spark.createDataFrame(rows, S.RAW_PAYLOAD)).collect()
+    assert {r.ts_ms // day: r.funding_interval_h for r in out} == {1: 8, 2: 4, 3: 4}

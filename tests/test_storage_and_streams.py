@@ -236,3 +236,14 @@ def test_unknown_order_side_is_refused(spark, dim):
     frames = spark.createDataFrame(rows, S.RAW_PAYLOAD)
     with pytest.raises(Exception, match="unknown order side"):
         lanes.liquidation_rows(frames, dim).collect()
+
+
+def test_replay_leaves_untouched_values_alone(spark, segments):
+    """The multiplier's history changed since: only keys that the log changes are valued anew."""
+    rows = [dict(ts_ms=B + 60_000 * i, mark=Decimal(2), oi_base=Decimal(1000), obs_ts_fast_ms=B + 60_000 * i,
+                 obs_ts_slow_ms=B + 60_000 * i) for i in range(2)]
+    log = stage(spark, rows).withColumn("batch_seq", F.lit(0).cast("bigint"))
+    stored = merge.replay(log, segments).withColumn("oi_usd", F.lit(7).cast(dict(merge.replay(log, segments).dtypes)["oi_usd"]))
+    newer = stage(spark, [dict(ts_ms=B + 60_001, mark=Decimal(3), obs_ts_fast_ms=B + 60_001)])
+    out = merge.replay(newer.withColumn("batch_seq", F.lit(1).cast("bigint")), segments, target=stored)
+    assert [(r.mark, r.oi_usd) for r in table_rows(out)] == [(2, 7), (3, 3000)]
