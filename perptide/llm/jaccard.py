@@ -7,8 +7,8 @@
    at least one token of their prefixes (size minus the least overlap, plus one, in one common
    order of tokens). Frequent tokens come last in the order, so shared passages make no large
    buckets. A bucket is the classes that emitted one token.
-3. Stars: each class is compared with the bucket pivot that it meets most often. Verified links
-   are joined to components. A group of near copies is settled here with one link for each.
+3. Stars: each class is compared with the bucket pivots that it meets most often. Verified links
+   are joined to components. A group of near copies is settled here with a few links for each.
 4. Count-vector R-tree: a bucket that still holds several components is indexed. Its points are
    the count vectors, sorted by set size and cut into leaves; a leaf pair whose summed coordinate
    minima of the upper corners fall short of the least overlap is left out, then points pairwise
@@ -47,12 +47,17 @@ GROUPS = 64
 #: At most so many tokens count as frequent; the list is broadcast.
 HOT_TOKENS = 1 << 16
 #: A token is frequent when one class of so many holds it.
-HOT_SHARE = 1024
+HOT_SHARE = 1 << 14
+#: Pivots of a bucket, each the first by an order of its own.
+PIVOTS = 3
 #: Points of a stored leaf, and of a node inside a task.
 LEAF = 1024
 INNER = 32
 
-_SET_FIELDS = "n long, hi long, lo long, vector binary"
+_SET_FIELDS = "n long, hi long, lo long, vector array<int>"
+#: Bits of the filter that picks the documents whose sets are fetched, and tokens counted at once.
+FILTER_BITS = 1 << 26
+FLUSH_TOKENS = 1 << 22
 
 
 def shingles(text: bytes | None, hashes: WordHashes, size: int = NGRAM) -> np.ndarray:
@@ -87,51 +92,59 @@ def _sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows of two kinds from one pass: documents (token NULL) and locally frequent tokens (count in n)."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
+    names = ["doc_id", "text_key", "n", "hi", "lo", "vector", "token"]
+    vectors = pa.list_(pa.int32())
+
     def run(batches):
-        hashes, seen, counts, rows = WordHashes(), set(), {}, 0
+        hashes, seen, counts, held, waiting, kind = WordHashes(), set(), {}, [], 0, pa.int64()
         for batch in batches:
-            facts, fresh_sets = [], []
-            for body in bytes_of(batch.column(1)):
+            kind = batch.schema.field(0).type
+            facts, grouped = [], np.zeros((batch.num_rows, GROUPS), np.int32)
+            for i, body in enumerate(bytes_of(batch.column(1))):
                 tokens = shingles(body, hashes)
                 hi, lo = digest(tokens) if len(tokens) else (0, 0)
-                vector = np.bincount((tokens & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-                facts.append((len(tokens), hi, lo, vector.astype("<i4").tobytes()))
+                grouped[i] = np.bincount((tokens & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+                facts.append((len(tokens), hi, lo))
                 if len(tokens) and lo not in seen:
                     seen.add(lo)
-                    fresh_sets.append(tokens)
-            rows += batch.num_rows
-            if fresh_sets:
-                values, number = np.unique(np.concatenate(fresh_sets), return_counts=True)
-                often = number > max(2, len(fresh_sets) // (2 * HOT_SHARE))
-                for token, more in zip(values[often].tolist(), number[often].tolist(), strict=True):
-                    counts[token] = counts.get(token, 0) + more
-                if len(counts) > 8 * HOT_TOKENS:
-                    least = sorted(counts.values())[-4 * HOT_TOKENS]
-                    counts = {t: c for t, c in counts.items() if c > least}
-            n, hi, lo, vector = zip(*facts, strict=True) if facts else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(hi, pa.int64()),
-                    pa.array(lo, pa.int64()), pa.array(vector, pa.binary()), pa.nulls(len(n), pa.int64()),
-                ],
-                names=["doc_id", "text_key", "n", "hi", "lo", "vector", "token"],
-            )
-            source = batch.schema.field(0).type
-        if counts:
-            m = len(counts)
-            token = np.array(list(counts), np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.nulls(m, source), pa.nulls(m, pa.int64()), pa.array(list(counts.values()), pa.int64()),
-                    pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(token),
-                ],
-                names=["doc_id", "text_key", "n", "hi", "lo", "vector", "token"],
-            )
+                    held.append(tokens)
+                    waiting += len(tokens)
+                    if waiting > FLUSH_TOKENS:
+                        _count_frequent(held, counts)
+                        waiting = 0
+            n, hi, lo = (pa.array([f[k] for f in facts], pa.int64()) for k in range(3))
+            ends = pa.array(np.arange(0, GROUPS * len(facts) + 1, GROUPS), pa.int32())
+            vector = pa.ListArray.from_arrays(ends, pa.array(grouped.reshape(-1)))
+            columns = [batch.column(0), batch.column(2), n, hi, lo, vector, pa.nulls(len(facts), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+        _count_frequent(held, counts)
+        m = len(counts)
+        token = pa.array(np.array(list(counts), np.uint64).view(np.int64))
+        none = [pa.nulls(m, pa.int64())] * 2
+        often = pa.array(list(counts.values()), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(m, kind), pa.nulls(m, pa.int64()), often, *none, pa.nulls(m, vectors), token], names=names
+        )
 
     source = docs.select(F.col(doc_id), F.col(text), F.xxhash64(F.col(text)))
     return source.mapInArrow(run, f"doc_id {kind}, text_key long, {_SET_FIELDS}, token long")
 
 
+def _count_frequent(held: list[np.ndarray], counts: dict[int, int]) -> None:
+    """Add the tokens that many of the sets ``held`` hold to ``counts``, and empty ``held``."""
+    if not held:
+        return
+    values, number = np.unique(np.concatenate(held), return_counts=True)
+    often = number > max(2, len(held) // (2 * HOT_SHARE))
+    for token, more in zip(values[often].tolist(), number[often].tolist(), strict=True):
+        counts[token] = counts.get(token, 0) + more
+    held.clear()
+    if len(counts) > 8 * HOT_TOKENS:
+        least = sorted(counts.values())[-4 * HOT_TOKENS]
+        for token in [t for t, c in counts.items() if c <= least]:
+            del counts[token]
+
+
 def _prefixes(docs: DataFrame, text: str, hot: np.ndarray) -> DataFrame:
     """(token, node, hot) of the prefixes; each class once a task."""
     frequent = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
@@ -175,24 +188,46 @@ def _among(tokens: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == tokens
 
 
+def _filter(wanted: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size that holds the hash of every row in ``wanted`` (column row)."""
+    spot = F.pmod(F.col("row"), F.lit(FILTER_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))
+    cells = wanted.select(F.floor(spot / 64).alias("cell"), bit.alias("bit"))
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
+        bits[r["cell"]] = r["bits"]
+    return bits.view(np.uint64)
+
+
 def _fetched(docs: DataFrame, classes: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(node, tokens): whole sets of the classes in ``nodes``, from the text of one document of each."""
-    wanted = classes.join(nodes, "node", "left_semi").select("node", "rep")
-    source = docs.select(
-        F.struct(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key")).alias("row"),
-        F.col(text).alias("text"),
-    )
-    texts = source.join(wanted, F.col("row") == F.col("rep")).select("node", "text")
+    """(node, tokens): whole sets of the classes in ``nodes``, each from one document.
+
+    A filter of fixed size picks the documents, so no text is shuffled. It may let others
+    through; a set more, or one twice, changes no result.
+    """
+    wanted = classes.join(nodes, "node", "left_semi").select("row")
+    bitmap = docs.sparkSession.sparkContext.broadcast(_filter(wanted))
 
     def run(batches):
-        hashes = WordHashes()
+        hashes, bits = WordHashes(), bitmap.value
         for batch in batches:
-            sets = [shingles(b, hashes).view(np.int64) for b in bytes_of(batch.column(1))]
+            spot = batch.column(0).to_numpy() % FILTER_BITS
+            passed = (bits[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1)
+            sets = [shingles(b, hashes) for b in bytes_of(batch.column(1).filter(pa.array(passed > 0)))]
+            sets = [t for t in sets if len(t)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "tokens"]
+                [
+                    pa.array([digest(t)[1] for t in sets], pa.int64()),
+                    pa.array([t.view(np.int64) for t in sets], pa.list_(pa.int64())),
+                ],
+                names=["node", "tokens"],
             )
 
-    return texts.mapInArrow(run, "node long, tokens array<long>").dropDuplicates(["node"])
+    return docs.select(_row(doc_id, text), F.col(text)).mapInArrow(run, "node long, tokens array<long>")
+
+
+def _row(doc_id: str, text: str):
+    return F.xxhash64(F.col(doc_id), F.xxhash64(F.col(text)))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -202,7 +237,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     shared = F.size(F.array_intersect("left", "right")).cast("long")
     total = (F.size("left") + F.size("right")).cast("long")
     return (
-        pairs.join(left, "a").join(right, "b").where(shared * (100 + percent) >= F.lit(percent) * total).select("a", "b")
+        pairs.join(right, "b").join(left, "a").where(shared * (100 + percent) >= F.lit(percent) * total)
+        .select("a", "b").distinct()
     )
 
 
@@ -226,17 +262,33 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def _stars(buckets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): each class with the pivot that most of its buckets share."""
-    pivots = buckets.groupBy("token").agg(F.min("node").alias("pivot"))
-    met = buckets.join(pivots, "token").where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("n"))
-    near = (
-        met.join(sizes.select("node", F.col("n").alias("size")), "node")
-        .join(sizes.select(F.col("node").alias("pivot"), F.col("n").alias("other")), "pivot")
-        .where(F.least("size", "other") * 100 >= F.greatest("size", "other") * percent)
+def _bound(a: str, b: str):
+    """Summed coordinate minima of two count vectors, an upper bound of the overlap."""
+    least = F.zip_with(a, b, lambda p, q: F.least(p, q))
+    return F.aggregate(least, F.lit(0).cast("long"), lambda total, v: total + v)
+
+
+def _stars(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each class with the pivots that most of its buckets share, where sizes and bound allow a link.
+
+    A bucket has ``PIVOTS`` of them. Copies of one text that differ from a pivot in too much are mostly
+    alike with another, so a group of any size comes together by a few links for each member.
+    """
+    best = None
+    for turn in range(PIVOTS):
+        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("first"), F.col("node"))
+        pivots = buckets.groupBy("token").agg(F.min(order)["node"].alias("pivot"))
+        met = buckets.join(pivots, "token").where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("n"))
+        one = met.groupBy("node").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("a"))
+        best = one if best is None else best.union(one)
+    best = best.select(F.greatest("node", "a").alias("node"), F.least("node", "a").alias("a")).distinct()
+    b = classes.select("node", F.col("n").alias("n_b"), F.col("vector").alias("vector_b"))
+    a = classes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("vector").alias("vector_a"))
+    near = best.join(b, "node").join(a, "a").where(
+        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+        & (_bound("vector_a", "vector_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent)
     )
-    best = near.groupBy("node").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("a"))
-    return best.select("a", F.col("node").alias("b"))
+    return near.select("a", F.col("node").alias("b"))
 
 
 def _survivors(x: dict, y: dict | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -268,59 +320,95 @@ def _survivors(x: dict, y: dict | None, percent: int) -> tuple[np.ndarray, np.nd
 
 def rtree_pairs(points: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b), distinct: pairs of ``points`` (token, node, n, label, vector) that share a token, lie in
-    different components and pass the bounds. Leaves hold ``LEAF`` points of one token by size."""
+    different components and pass the bounds, also that of the tokens which their prefixes share:
+    ``points`` must hold every prefix token of two components. Leaves hold ``LEAF`` points of one
+    token by size."""
     points = materialized(points)
     amount = points.groupBy("token").agg(F.count("*").alias("points"))
     large = amount.where(F.col("points") > LEAF)
-    small = points.join(large, "token", "left_anti")
+    small = points.join(large, "token", "left_anti").select("token", "node", "n", "label", "vector")
     many = numbered(_by_size(points.join(large.select("token"), "token", "left_semi")), "place", ["token", "cell"], ["node"])
     many = many.withColumn("leaf", F.col("cell") * (1 << 32) + F.floor(F.col("place") / LEAF)).drop("place", "cell")
     leaves = materialized(many)
     corners = leaves.groupBy("token", "leaf").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), _corner("vector").alias("corner")
+        F.min("n").alias("low"), F.max("n").alias("high"),
+        F.array(*[F.max(F.col("vector")[k]) for k in range(GROUPS)]).alias("corner"),
     )
     corners = materialized(corners)
     first, second = (corners.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("leaf", "low", "high", "corner")]) for k in "ab")
-    bound = F.aggregate(
-        F.zip_with("corner_a", "corner_b", lambda p, q: F.least(p, q)), F.lit(0).cast("long"), lambda s, v: s + v
-    )
     fits = (
         (F.col("leaf_a") <= F.col("leaf_b"))
         & (F.least("high_a", "high_b") * 100 >= F.greatest("low_a", "low_b") * percent)
-        & (bound * (100 + percent) >= (F.col("low_a") + F.col("low_b")) * percent)
+        & (_bound("corner_a", "corner_b") * (100 + percent) >= (F.col("low_a") + F.col("low_b")) * percent)
     )
     pairs = first.join(second, "token").where(fits).select("token", "leaf_a", "leaf_b")
     sides = pairs.select("token", "leaf_a", "leaf_b", F.explode(F.array_distinct(F.array("leaf_a", "leaf_b"))).alias("leaf"))
-    whole = small.withColumns({c: F.lit(0).cast("long") for c in ("leaf_a", "leaf_b", "leaf")})
-    dealt = sides.join(leaves, ["token", "leaf"]).unionByName(whole)
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("leaf", "ascending"), ("n", "ascending")])
-        leaf = table["leaf"].to_numpy()
-        columns = {c: table[c].to_numpy() for c in ("node", "n", "label")}
-        columns["vector"] = np.frombuffer(b"".join(table["vector"].to_pylist()), "<i4").reshape(-1, GROUPS)
-        sides = [{c: v[leaf == k] for c, v in columns.items()} for k in np.unique(leaf)]
+    dealt = sides.join(leaves, ["token", "leaf"])
+
+    def between(table: pa.Table) -> pa.Table:
+        columns = _columns(table.sort_by([("leaf", "ascending"), ("n", "ascending")]))
+        sides = [{c: v[columns["leaf"] == k] for c, v in columns.items()} for k in np.unique(columns["leaf"])]
         r, s = _survivors(sides[0], sides[1] if len(sides) > 1 else None, percent)
-        a, b = sides[0]["node"][r], sides[-1]["node"][s]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return _counted([_ends(sides[0], r, sides[-1], s)])
+
+    def inside(table: pa.Table) -> pa.Table:
+        columns = _columns(table.sort_by([("token", "ascending"), ("n", "ascending")]))
+        ends = np.append(np.flatnonzero(np.diff(columns["token"], prepend=columns["token"][:1] - 1)), table.num_rows)
+        found = []
+        for start, end in zip(ends[:-1], ends[1:], strict=True):
+            if columns["label"][start:end].min() < columns["label"][start:end].max():
+                one = {c: v[start:end] for c, v in columns.items()}
+                r, s = _survivors(one, None, percent)
+                found.append(_ends(one, r, one, s))
+        return _counted(found)
+
+    # Buckets of one leaf need no corner; many of them share a task's call.
+    calls = max(64, points.count() // (1 << 15))
+    schema = "a long, b long, n_a long, n_b long, shared long"
+    whole = small.withColumn("call", F.pmod(F.xxhash64("token"), F.lit(calls))).groupBy("call").applyInArrow(inside, schema)
+    across = dealt.groupBy("token", "leaf_a", "leaf_b").applyInArrow(between, schema)
+    met = whole.unionByName(across).groupBy("a", "b").agg(
+        F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b"), F.sum("shared").alias("shared")
+    )
+    return met.where(_prefix_bound(percent) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent).select("a", "b")
 
-    return dealt.groupBy("token", "leaf_a", "leaf_b").applyInArrow(run, "a long, b long").where("a <> b").distinct()
 
+def _prefix_bound(percent: int):
+    """Upper bound of the overlap of sets of n_a and n_b whose prefixes share ``shared`` tokens.
+
+    Up to the end of the prefix that ends first, everything that the sets share is in both
+    prefixes; behind it that set holds its size less its prefix, and the other at most its size
+    less what it shared before. Which prefix ends first is not known here, so both cases count.
+    """
+    behind = {c: F.floor(F.col(c) * percent / 100 + F.lit(1 - 1e-9)) - 1 for c in ("n_a", "n_b")}
+    first = F.least(behind["n_a"], F.col("n_b") - F.col("shared"))
+    second = F.least(F.col("n_a") - F.col("shared"), behind["n_b"])
+    return F.col("shared") + F.greatest(first, second)
+
+
+def _ends(x: dict, r: np.ndarray, y: dict, s: np.ndarray) -> np.ndarray:
+    """Rows (a, b, n_a, n_b) of the pairs, the smaller node first; a node never meets itself."""
+    rows = np.stack([x["node"][r], y["node"][s], x["n"][r], y["n"][s]], axis=1).astype(np.int64)
+    swap = rows[:, 0] > rows[:, 1]
+    rows[swap] = rows[swap][:, [1, 0, 3, 2]]
+    return rows[rows[:, 0] < rows[:, 1]]
 
-def _by_size(points: DataFrame) -> DataFrame:
-    """Points with ``cell``, the number of times 1.25 fits into the size: leaves then hold alike sizes."""
-    return points.withColumn("cell", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("long"))
 
+def _counted(found: list[np.ndarray]) -> pa.Table:
+    rows = np.concatenate([np.zeros((0, 4), np.int64), *found])
+    rows, shared = np.unique(rows, axis=0, return_counts=True)
+    names = ("a", "b", "n_a", "n_b")
+    return pa.table({**{c: rows[:, i] for i, c in enumerate(names)}, "shared": shared.astype(np.int64)})
 
-def _corner(vector: str):
-    """Upper corner of packed count vectors, coordinate by coordinate."""
-    cells = [F.max(F.conv(F.hex(_flipped(vector, k)), 16, 10).cast("long")) for k in range(GROUPS)]
-    return F.array(*cells)
 
+def _columns(table: pa.Table) -> dict[str, np.ndarray]:
+    out = {c: table[c].to_numpy() for c in table.column_names if c != "vector"}
+    return out | {"vector": table["vector"].combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)}
 
-def _flipped(vector: str, k: int):
-    """The k-th little-endian 32-bit number of a packed vector, most significant byte first."""
-    return F.concat(*[F.substring(vector, 4 * k + b, 1) for b in (4, 3, 2, 1)])
+
+def _by_size(points: DataFrame) -> DataFrame:
+    """Points with ``cell``, the number of times 1.25 fits into the size: leaves then hold alike sizes."""
+    return points.withColumn("cell", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("long"))
 
 
 def linked(
@@ -334,7 +422,7 @@ def linked(
     classes = materialized(
         filled.groupBy("node").agg(
             F.min("n").alias("n"), F.min("doc_id").alias("first"), F.min("vector").alias("vector"),
-            F.min(F.struct("doc_id", "text_key")).alias("rep"),
+            F.min_by(F.xxhash64("doc_id", "text_key"), F.struct("doc_id", "text_key")).alias("row"),
         )
     )
     hot = (
@@ -349,7 +437,7 @@ def linked(
     buckets = prefixes.withColumns({"low": F.min("node").over(together), "high": F.max("node").over(together)})
     buckets = materialized(buckets.where(F.col("hot") | (F.col("low") < F.col("high"))).select("token", "node"))
 
-    stars = materialized(_stars(buckets, classes.select("node", "n"), percent))
+    stars = materialized(_stars(buckets, classes, percent))
     ends = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
     edges = materialized(verified(stars, materialized(_fetched(docs, classes, ends, doc_id, text)), percent))
     labels = components(edges)
