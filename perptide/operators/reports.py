@@ -68,9 +68,12 @@ def display(pctl: DataFrame, coverage: DataFrame) -> DataFrame:
 
 
 def daily_digest(
-    pctl: DataFrame, market_line: DataFrame, liquidations: DataFrame, k: int = 3
+    pctl: DataFrame, market_line: DataFrame, liquidations: DataFrame, as_of_ms: int, k: int = 3
 ) -> DataFrame:
-    """Most unusual series, widest divergence, one market line, largest liquidations."""
+    """Most unusual series, widest divergence, one market line, and the largest liquidations of the
+    UTC day up to ``as_of_ms``."""
+    day_ms = as_of_ms - as_of_ms % 86_400_000
+    today = liquidations.filter((F.col("ts_ms") >= day_ms) & (F.col("ts_ms") <= as_of_ms))
     columns = ("block", "rank", "scope", "metric", "value", "pctl", "n")
     ranked = pctl.filter(F.col("pctl").isNotNull())
     extremity = F.abs(F.col("pctl") - 0.5)
@@ -82,7 +85,7 @@ def daily_digest(
         F.when(F.col("n") >= HIDE_PERCENT_BELOW, F.col("pctl")).alias("pctl"), "n",
     )
     largest = _top(
-        liquidations.filter(F.col("notional_usd").isNotNull()).select(
+        today.filter(F.col("notional_usd").isNotNull()).select(
             C.scope(F.col("venue"), F.col("symbol")).alias("scope"),
             F.lit("observed_lower_bound_usd").alias("metric"),
             F.col("notional_usd").cast("double").alias("value"),

@@ -43,6 +43,8 @@ HOUR = bridge.HOUR
 DAY = 86_400_000
 LIQ_ONLY = LIQ_CTE.split("WITH RECURSIVE", 1)[1].split(", liq AS", 1)[1]
 LIQ = "liq AS" + LIQ_ONLY
+#: The digest of the morning: liquidations after it are not in it.
+DIGEST_AS_OF = T0 + 6 * HOUR
 
 
 def r2(column, name=None):
@@ -102,7 +104,8 @@ mdp AS (SELECT 'x:*' AS scope, 'market_funding_median' AS metric, ts, value, 60
 dg AS (SELECT 'divergence' AS block, row_number() OVER (ORDER BY pctl DESC, abs(value) DESC, scope) AS rank, * FROM pctl
   WHERE pctl IS NOT NULL AND metric = 'mark_spread_bps'),
 lq AS (SELECT 'liquidations' AS block, row_number() OVER (ORDER BY notional DESC, symbol) AS rank, 'binance:' || symbol AS scope,
-  'observed_lower_bound_usd' AS metric, CAST(notional AS DOUBLE) AS value, NULL::DOUBLE AS pctl, 1::BIGINT AS n FROM liq),
+  'observed_lower_bound_usd' AS metric, CAST(notional AS DOUBLE) AS value, NULL::DOUBLE AS pctl, 1::BIGINT AS n FROM liq
+  WHERE ts_ms BETWEEN {DIGEST_AS_OF - DIGEST_AS_OF % DAY} AND {DIGEST_AS_OF}),
 al AS (SELECT block, rank, scope, metric, value, pctl, n FROM un UNION ALL SELECT block, rank, scope, metric, value, pctl, n FROM dg
   UNION ALL SELECT * FROM lq UNION ALL SELECT 'market', 1, scope, metric, value * 10000, pctl, n FROM pctl2)
 SELECT block, rank, scope, metric, round(value * {SCALE}, 6) AS value, round(pctl, 6) AS pctl, n FROM al WHERE rank <= 3""",
@@ -113,7 +116,7 @@ def p3(spark, sf_dir):
         "value", F.col("value") * 10000
     )
     digest = R.daily_digest(
-        divergence_percentiles(spark, sf_dir), line, liquidation_table(spark, sf_dir)
+        divergence_percentiles(spark, sf_dir), line, liquidation_table(spark, sf_dir), DIGEST_AS_OF
     )
     return digest.select(
         "block", big("rank"), "scope", "metric", r6(scaled(), "value"), r6("pctl"), "n"

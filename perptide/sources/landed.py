@@ -36,25 +36,3 @@ def stream_frames(
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(path)
-
-
-def documents_of(df: DataFrame, per_document: int, venue: str, endpoint: str, entry, order: str) -> DataFrame:
-    """Pack rows into array payloads of at most ``per_document`` entries."""
-    block = F.floor(F.col(order) / F.lit(per_document))
-    return (
-        df.groupBy(block.alias("_block"))
-        .agg(
-            F.to_json(F.collect_list(entry)).alias("payload"),
-            F.max("obs_ms").alias("observed_ms"),
-            (F.max("obs_ms") + 250).alias("ingest_ms"),
-        )
-        .select(
-            F.lit(venue).alias("venue"),
-            F.lit(endpoint).alias("endpoint"),
-            F.lit(None).cast("string").alias("request_symbol"),
-            F.lit(None).cast("string").alias("interval"),
-            "observed_ms",
-            "ingest_ms",
-            "payload",
-        )
-    )
