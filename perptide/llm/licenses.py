@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perptide.llm.common import fresh, left_by
+from perptide.llm.common import fresh, left_by, materialized
 from perptide.llm.license_texts import EQUIVALENT_SPELLINGS, KNOWN_TEXTS
 
 COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
@@ -54,21 +54,25 @@ def ends(words: Column) -> tuple[Column, Column]:
 
 
 def known_digests(spark: SparkSession, texts: tuple = KNOWN_TEXTS) -> DataFrame:
-    """(license, digest, first, last), one row per digest."""
+    """(license, digest, first, last), one row per digest; stored, so that Spark knows how small it is."""
     frame = spark.createDataFrame(list(texts), "license string, text string").withColumn("plain", plain(F.col("text")))
     first, last = ends(F.col("plain"))
-    return (
+    return materialized(
         frame.where("plain <> ''")
         .select("license", F.sha2(spelled(F.col("plain")), 256).alias("digest"), first.alias("first"), last.alias("last"))
         .groupBy("digest")
-        .agg(F.min("license").alias("license"), F.first("first").alias("first"), F.first("last").alias("last"))
+        .agg(F.min("license").alias("license"), F.min("first").alias("first"), F.min("last").alias("last"))
     )
 
 
 def matched(texts: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows of ``texts`` whose column ``body`` is a known text, with ``license``; ``body`` is dropped."""
-    words = texts.withColumn("body", plain(F.col("body"))).where("body <> ''")
-    first, last = ends(F.col("body"))
+    """Rows of ``texts`` whose column ``body`` is a known text, with ``license``; ``body`` is dropped.
+
+    Keys are never NULL and nothing is filtered by the normal form, so Spark infers no condition
+    that would compute it a second time below the projection. No known text has an empty end.
+    """
+    words = texts.withColumn("body", plain(F.col("body")))
+    first, last = (F.coalesce(x, F.lit("")) for x in ends(F.col("body")))
     likely = words.withColumns({"first": first, "last": last}).join(
         known.select("first", "last").distinct(), ["first", "last"], "left_semi"
     )
@@ -84,11 +88,11 @@ def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str =
     whole, names, amount, mark = fresh(docs, "license", "line_licenses", "license_lines", "text_digest")
     source = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("body"))
     entire = matched(source, known).groupBy("doc", "mark").agg(F.min("license").alias(whole))
-    lines = source.select("doc", "mark", F.explode(F.split("body", "\n", -1)).alias("body"))
+    lines = source.select("doc", "mark", F.posexplode(F.split("body", "\n", -1)).alias("at", "body"))
     found = (
         matched(lines, known)
         .groupBy("doc", "mark")
-        .agg(F.sort_array(F.collect_set("license")).alias(names), F.count("*").alias(amount))
+        .agg(F.sort_array(F.collect_set("license")).alias(names), F.size(F.collect_set("at")).alias(amount))
     )
     keys = {"doc": doc_id, "mark": mark}
     answers = docs.withColumn(mark, F.xxhash64(F.col(text)))
