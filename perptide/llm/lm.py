@@ -6,15 +6,22 @@ weights depend on how often the context was seen (powers of two), and expectatio
 maximisation learns them on counts of training documents that were left out of the estimates
 (one of ``DELETED``). The estimates used for scoring are then taken over all training documents.
 
-Words are counted exactly over the whole corpus. The most frequent ``WORDS`` of them at most are
-classes of their own in pairs; every other word, seen or not, is predicted as the rare class and
-then within it by its own exact count, so the model is a proper distribution.
+Words are counted exactly over the whole corpus, and each of them is a class of its own in pairs;
+all words not seen in training are one more class. The most frequent ``WORDS`` are numbered and
+broadcast: they are a cache, and no result depends on its size. A pair of two numbered words is
+named by their numbers, any other (an open pair) by a 64-bit hash of its two word hashes; two open
+pairs with one name would be taken for one (chance n^2 / 2^65).
+
+``most`` asks for a coarser model instead: at most so many words are classes, every other one, seen
+or not, is predicted as the rare class and then within it by its own exact count. Both models are
+proper distributions.
 
 1. Unigrams: per-batch counts by word hash, summed by Spark. 2. Pairs: per-batch counts, dealt by
 a hash of the pair into parts of about ``PART_TOKENS`` tokens, summed part by part. 3. Statistics
 of the left-out pairs on a fixed grid, and the pairs that hold 1 / ``HOT_PAIRS`` of all tokens or
-more. 4. Scoring: documents send what they need from each part, as packed arrays, and meet the
-part's counts there; partial sums return to the batch of documents they came from. Hot pairs,
+more. Open pairs of all documents are counted by their hashes and joined with the counts of
+their words. 4. Scoring: documents send what they need from each part, as packed arrays, and meet
+the part's counts there; partial sums return to the batch of documents they came from. Hot pairs,
 and everything about frequent words, are scored where the document is, so no part is flooded.
 
 Broadcast are the frequent words (at most ``WORDS``), the hot pairs (at most ``HOT_PAIRS``) and the
@@ -50,6 +57,8 @@ EM_ROUNDS = 100
 
 #: The end of a text as a token; no word holds white space.
 END_HASH = xxhash.xxh64_intdigest(b" ")
+#: The start of a text as a context.
+START_HASH = xxhash.xxh64_intdigest(b"\n")
 _U = np.uint64
 
 
@@ -79,13 +88,20 @@ def unpack_sorted(body: bytes) -> np.ndarray:
 @dataclass
 class Words:
     """The frequent words by hash, with counts of the estimating part (``main``) and of all training
-    documents; entries past them are the rare class and, as a context only, the start."""
+    documents; entries past them are the rare class and, as a context only, the start. ``open``: the
+    words of the rare class are classes of their own, and their pairs are kept by hash."""
 
     hashes: np.ndarray
     main: np.ndarray
     total: np.ndarray
     rare_total: int
     rare_kinds: int
+    open: bool = False
+
+    @property
+    def classes(self) -> int:
+        """Classes that a word may have, that of unseen words (or the rare class) included."""
+        return len(self.hashes) + 1 + (self.rare_kinds if self.open else 0)
 
     @property
     def rare(self) -> int:
@@ -198,7 +214,30 @@ def _classes(text: bytes | None, ids: _Ids, end: int) -> np.ndarray:
 
 def _pairs(classes: np.ndarray, words: Words) -> np.ndarray:
     before = np.concatenate([[words.start], classes[:-1]])
-    return (before * words.base + classes).astype(_U)
+    keys = (before * words.base + classes).astype(_U)
+    return keys[(before != words.rare) & (classes != words.rare)] if words.open else keys
+
+
+def _open(text_words: list[bytes], classes: np.ndarray, words: Words) -> tuple[np.ndarray, ...]:
+    """Open pairs of a text: their names, and the words before and the words predicted, each as
+    (hash, or number of a numbered word) and whether it has no number."""
+    bare = classes == words.rare
+    touched = np.flatnonzero(bare | np.concatenate([[False], bare[:-1]]))
+    if not len(touched):
+        return tuple(np.zeros(0, t) for t in (_U, _U, bool, _U, bool))
+    hashes = np.append(words.hashes, _U([0, START_HASH]))[classes]
+    for k in np.flatnonzero(bare):
+        hashes[k] = xxhash.xxh64_intdigest(text_words[k]) if k < len(text_words) else END_HASH
+    before = np.concatenate([_U([START_HASH]), hashes[:-1]])[touched]
+    word = hashes[touched]
+    named = np.where(bare, hashes, classes.astype(_U))
+    return (
+        mixed(mixed(before) * _U(0x9E3779B97F4A7C15) + word),
+        np.concatenate([_U([words.start]), named[:-1]])[touched],
+        np.concatenate([[False], bare[:-1]])[touched],
+        named[touched],
+        bare[touched],
+    )
 
 
 def _dealt(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -251,7 +290,76 @@ def pair_counts(rows: DataFrame, words, parts: int) -> DataFrame:
     return dealt.groupBy("part").applyInArrow(add, "part int, keys binary, main binary, held binary")
 
 
-def statistics(pairs: DataFrame, words, known, hot_from: int) -> DataFrame:
+def open_pairs(rows: DataFrame, counts: DataFrame, words, known, least: int) -> DataFrame:
+    """(pair, main, held, before_main, before_total, word_main, word_total, word_open) of the open pairs of
+    all documents, with the counts of their words. A pair that no training document holds counts 0."""
+
+    def gather(batches):
+        own = words.value
+        ids, end = _Ids(own), own.find(END_HASH)
+        for batch in batches:
+            found, roles = [], []
+            for t, role in zip(bytes_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                split = lowered_words(t)
+                one = _open(split, np.append(ids.of(split).astype(np.int64), end), own)
+                if len(one[0]):
+                    found.append(one)
+                    roles.append(np.full(len(one[0]), role))
+            if not found:
+                continue
+            pair, before, before_open, word, word_open = (np.concatenate(c) for c in zip(*found, strict=True))
+            values, first, place = np.unique(pair, return_index=True, return_inverse=True)
+            role = np.concatenate(roles)
+            main, held = (np.bincount(place, role == r, len(values)).astype(np.int64) for r in (1, 2))
+            columns = {
+                "pair": values.view(np.int64), "before": before[first].view(np.int64), "before_open": before_open[first],
+                "word": word[first].view(np.int64), "word_open": word_open[first], "main": main, "held": held,
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+    fields = "pair long, before long, before_open boolean, word long, word_open boolean, main long, held long"
+    found = rows.select("text", "role").mapInArrow(gather, fields)
+    found = found.groupBy("pair", "before", "before_open", "word", "word_open").agg(
+        F.sum("main").alias("main"), F.sum("held").alias("held")
+    )
+    bare = counts.where(F.col("main") + F.col("held") < least)
+    for side in ("before", "word"):
+        of = bare.select(
+            F.col("hash").alias(f"{side}_hash"), F.col("main").alias(f"{side}_main"),
+            (F.col("main") + F.col("held")).alias(f"{side}_total"),
+        )
+        # Numbered words find nothing here; the name of the pair spreads them over all tasks.
+        key = F.when(F.col(f"{side}_open"), F.col(side)).otherwise(F.col("pair"))
+        found = found.join(of, (key == F.col(f"{side}_hash")) & F.col(f"{side}_open"), "left").drop(f"{side}_hash")
+
+    def fill(batches):
+        own, (main, total) = words.value, known.value
+        for batch in batches:
+            columns = {c: batch.column(c) for c in ("pair", "main", "held")}
+            for side in ("before", "word"):
+                bare = batch.column(f"{side}_open").to_numpy(zero_copy_only=False)
+                number = np.where(bare, own.rare, batch.column(side).to_numpy())
+                for which, numbered in (("main", main), ("total", total)):
+                    counted = batch.column(f"{side}_{which}").fill_null(0).to_numpy()
+                    columns[f"{side}_{which}"] = np.where(bare, counted, numbered[number]).astype(np.int64)
+            yield pa.RecordBatch.from_pydict(columns | {"word_open": batch.column("word_open")})
+
+    return found.mapInArrow(
+        fill,
+        "pair long, main long, held long, before_main long, before_total long, word_main long, word_total long, "
+        "word_open boolean",
+    )
+
+
+def _grid(before: np.ndarray, word: np.ndarray, m: np.ndarray, weight: np.ndarray, tokens: float) -> list[np.ndarray]:
+    """Cells of left-out pairs, and sums in each; ``before`` and ``word`` are counts of the estimating part."""
+    pair, single = m / np.maximum(before, 1), word / tokens
+    cell = (bucket(before) * 512 + _octave(pair)) * 512 + _octave(single)
+    cells, place = np.unique(cell, return_inverse=True)
+    return [cells, *(_summed(place, w, len(cells)) for w in (weight, weight * pair, weight * single))]
+
+
+def statistics(pairs: DataFrame, words, known, hot_from: int, opened: DataFrame | None = None) -> DataFrame:
     """(cell, weight, pair, single): left-out counts by context bucket and quantised estimates, with the
     weighted sums of the estimates; and for each hot pair a row of cell -1 - key with its count."""
 
@@ -266,10 +374,7 @@ def statistics(pairs: DataFrame, words, known, hot_from: int) -> DataFrame:
                 context, word = (keys // _U(own.base)).astype(np.int64), (keys % _U(own.base)).astype(np.int64)
                 some = h > 0
                 context, word, m, weight = context[some], word[some], m[some], h[some]
-                pair, single = m / np.maximum(main[context], 1), main[word] / tokens
-                cell = (bucket(main[context]) * 512 + _octave(pair)) * 512 + _octave(single)
-                cells, place = np.unique(cell, return_inverse=True)
-                sums = [_summed(place, w, len(cells)) for w in (weight, weight * pair, weight * single)]
+                cells, *sums = _grid(main[context], main[word], m, weight, tokens)
                 zeros = np.zeros(int(hot.sum()))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -281,7 +386,20 @@ def statistics(pairs: DataFrame, words, known, hot_from: int) -> DataFrame:
                     names=["cell", "weight", "pair", "single"],
                 )
 
-    found = pairs.select("keys", "main", "held").mapInArrow(run, "cell long, weight double, pair double, single double")
+    def run_open(batches):
+        own, (main, _) = words.value, known.value
+        tokens = max(1.0, main[: own.rare + 1].sum())
+        for batch in batches:
+            before, word, m, weight = (c.to_numpy().astype(np.float64) for c in batch.columns)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in _grid(before, word, m, weight, tokens)], names=["cell", "weight", "pair", "single"]
+            )
+
+    fields = "cell long, weight double, pair double, single double"
+    found = pairs.select("keys", "main", "held").mapInArrow(run, fields)
+    if opened is not None:
+        left_out = opened.where("held > 0").select("before_main", "word_main", "main", "held")
+        found = found.unionByName(left_out.mapInArrow(run_open, fields))
     return found.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("weight", "pair", "single")])
 
 
@@ -333,10 +451,13 @@ class Scorer:
         """log10 of the mixture for pairs seen ``count`` times."""
         base = self.words.base
         context, word = (keys // _U(base)).astype(np.int64), (keys % _U(base)).astype(np.int64)
-        seen = self.total[context]
+        return self.log_of(self.total[context], self.total[word], count)
+
+    def log_of(self, seen: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """log10 of the mixture for contexts seen ``seen`` times, words seen ``word`` times, pairs ``count`` times."""
         mix = self.mix[bucket(seen)]
-        single = self.total[word] / self.tokens if self.tokens else np.zeros(len(word))
-        return np.log10(mix[:, 0] / (self.words.rare + 1) + mix[:, 1] * single + mix[:, 2] * count / np.maximum(seen, 1))
+        single = word / self.tokens if self.tokens else np.zeros(len(word))
+        return np.log10(mix[:, 0] / self.words.classes + mix[:, 1] * single + mix[:, 2] * count / np.maximum(seen, 1))
 
     def base_log(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 0.5) / (self.tokens + 0.5 * (self.kinds + 1)))
@@ -346,7 +467,10 @@ class Scorer:
         return np.log10((count + 0.5) / (self.words.rare_total + 0.5 * (self.words.rare_kinds + 1)))
 
 
-_ASK = "part int, block long, keys binary, docs binary, times binary, rare binary, rare_docs binary"
+_ASK = (
+    "part int, block long, keys binary, docs binary, times binary, rare binary, rare_docs binary, "
+    "open binary, open_docs binary"
+)
 _SUMS = "block long, docs binary, known binary, base binary, score binary"
 
 
@@ -367,21 +491,26 @@ def _asked(rows: DataFrame, scorer, parts: int) -> tuple[DataFrame, str]:
                 sizes = np.array([len(c) for c in classes], np.int64)
                 doc = np.repeat(np.arange(len(classes)), sizes)
                 flat = np.concatenate(classes) if classes else np.zeros(0, np.int64)
-                keys = np.concatenate([_pairs(c, words) for c in classes]) if classes else np.zeros(0, _U)
+                named = [_pairs(c, words) for c in classes]
+                keys = np.concatenate(named) if named else np.zeros(0, _U)
+                key_doc = np.repeat(np.arange(len(named)), [len(k) for k in named])
                 plain = flat < words.rare
                 base = _summed(doc[plain], own.base_log(own.total[flat[plain]]), len(sizes))
                 known = np.bincount(doc[plain], minlength=len(sizes))
                 late = [
                     (xxhash.xxh64_intdigest(split[d][k]) if k < len(split[d]) else END_HASH, d)
                     for d, c in enumerate(classes) for k in np.flatnonzero(c == words.rare)
-                ]
+                ] if not words.open else []
+                opened = [_open(w, c, words)[0] for w, c in zip(split, classes, strict=True)] if words.open else []
+                open_doc = np.repeat(np.arange(len(opened)), [len(o) for o in opened])
+                opened = np.concatenate(opened) if opened else np.zeros(0, _U)
                 spot = np.minimum(np.searchsorted(own.hot_keys, keys), max(len(own.hot_keys) - 1, 0))
                 hot = own.hot_keys[spot] == keys if len(own.hot_keys) else np.zeros(len(keys), bool)
-                score = _summed(doc[hot], own.logs(keys[hot], own.hot_counts[spot[hot]]), len(sizes))
+                score = _summed(key_doc[hot], own.logs(keys[hot], own.hot_counts[spot[hot]]), len(sizes))
                 # A pair and a document as one number: a batch holds fewer than 4096 documents.
-                both, times = np.unique(np.stack([keys[~hot], doc[~hot].astype(_U)]), axis=1, return_counts=True) if (
+                both, times = np.unique(np.stack([keys[~hot], key_doc[~hot].astype(_U)]), axis=1, return_counts=True) if (
                     words.base**2 >= 1 << 51
-                ) else _counted(keys[~hot], doc[~hot])
+                ) else _counted(keys[~hot], key_doc[~hot])
                 order, ends = _dealt(both[0], parts)
                 both, times = both[:, order], times[order]
                 rare = np.array([h for h, _ in late], _U)
@@ -390,9 +519,14 @@ def _asked(rows: DataFrame, scorer, parts: int) -> tuple[DataFrame, str]:
                 rare_order = np.argsort(rare_part, kind="stable")
                 rare, rare_doc = rare[rare_order], rare_doc[rare_order]
                 rare_ends = np.searchsorted(rare_part[rare_order], np.arange(parts + 1))
-                some = [p for p in range(parts) if ends[p] < ends[p + 1] or rare_ends[p] < rare_ends[p + 1]]
+                open_part = opened.view(np.int64) % parts
+                open_order = np.argsort(open_part, kind="stable")
+                opened, open_doc = opened[open_order], open_doc[open_order]
+                open_ends = np.searchsorted(open_part[open_order], np.arange(parts + 1))
+                some = [p for p in range(parts) if any(e[p] < e[p + 1] for e in (ends, rare_ends, open_ends))]
                 cut = [slice(ends[p], ends[p + 1]) for p in some]
                 rare_cut = [slice(rare_ends[p], rare_ends[p + 1]) for p in some]
+                open_cut = [slice(open_ends[p], open_ends[p + 1]) for p in some]
                 m = len(some)
                 asks = [
                     pa.array(some, pa.int32()), pa.array([block] * m, pa.int64()),
@@ -401,8 +535,10 @@ def _asked(rows: DataFrame, scorer, parts: int) -> tuple[DataFrame, str]:
                     pa.array([pack(times[c]) for c in cut], pa.binary()),
                     pa.array([rare[c].tobytes() for c in rare_cut], pa.binary()),
                     pa.array([pack(rare_doc[c]) for c in rare_cut], pa.binary()),
+                    pa.array([opened[c].tobytes() for c in open_cut], pa.binary()),
+                    pa.array([pack(open_doc[c]) for c in open_cut], pa.binary()),
                 ]
-                names = ["part", "block", "keys", "docs", "times", "rare", "rare_docs", "facts"]
+                names = ["part", "block", "keys", "docs", "times", "rare", "rare_docs", "open", "open_docs", "facts"]
                 fact = pa.struct([("doc_id", batch.schema.field(0).type), ("role", pa.int32()), ("n", pa.int64()),
                                   ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
                 yield pa.RecordBatch.from_arrays([*asks, pa.nulls(m, pa.list_(fact))], names=names)
@@ -412,7 +548,7 @@ def _asked(rows: DataFrame, scorer, parts: int) -> tuple[DataFrame, str]:
                     fields=list(fact),
                 )
                 held = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), facts)
-                none = [pa.nulls(1, pa.binary())] * 5
+                none = [pa.nulls(1, pa.binary())] * 7
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block % parts], pa.int32()), pa.array([block], pa.int64()), *none, held], names=names
                 )
@@ -437,6 +573,13 @@ def _answered(left: pa.Table, right: pa.Table, own: Scorer, kind: pa.DataType) -
     rare = words["rare"].to_numpy().astype(np.int64).view(_U)
     order = np.argsort(rare)
     rare, amount = rare[order], words["amount"].to_numpy().astype(np.float64)[order]
+    opened = right.filter(right["open"].is_valid())
+    named = opened["open"].to_numpy().astype(np.int64).view(_U)
+    order = np.argsort(named)
+    named = named[order]
+    open_seen, open_before, open_word, open_bare = (
+        opened[c].to_numpy().astype(np.float64)[order] for c in ("seen", "before", "word", "bare")
+    )
 
     def look(table, values, found):
         if not len(table):
@@ -445,24 +588,31 @@ def _answered(left: pa.Table, right: pa.Table, own: Scorer, kind: pa.DataType) -
         return np.where(table[spot] == found, values[spot], 0.0)
 
     out = {c: [] for c in ("block", "docs", "known", "base", "score", "facts")}
-    for row in left.select(["block", "keys", "docs", "times", "rare", "rare_docs", "facts"]).to_batches():
+    asked = ["block", "keys", "docs", "times", "rare", "rare_docs", "open", "open_docs"]
+    for row in left.select([*asked, "facts"]).to_batches():
         for i in range(row.num_rows):
-            block, keys, docs, times, late, late_docs = (row.column(k)[i].as_py() for k in range(6))
+            block, keys, docs, times, late, late_docs, bare, bare_docs = (row.column(k)[i].as_py() for k in range(8))
             out["block"].append(block)
             if keys is None:
-                out["facts"].append(row.column(6).slice(i, 1))
+                out["facts"].append(row.column(8).slice(i, 1))
                 for c in ("docs", "known", "base", "score"):
                     out[c].append(None)
                 continue
             out["facts"].append(pa.nulls(1, kind))
             keys, docs, times = unpack_sorted(keys), unpack(docs).astype(np.int64), unpack(times)
             late, late_docs = np.frombuffer(late, _U), unpack(late_docs).astype(np.int64)
+            bare, bare_docs = np.frombuffer(bare, _U), unpack(bare_docs).astype(np.int64)
             count = look(rare, amount, late)
-            every, place = np.unique(np.concatenate([docs, late_docs]), return_inverse=True)
-            first, second = place[: len(docs)], place[len(docs) :]
+            every, place = np.unique(np.concatenate([docs, late_docs, bare_docs]), return_inverse=True)
+            first, second, third = np.split(place, [len(docs), len(docs) + len(late_docs)])
             n = len(every)
             score = _summed(first, own.logs(keys, look(pairs, seen, keys)) * times, n)
             score += _summed(second, own.rare_log(count), n)
+            amounts = look(named, open_word, bare)
+            score += _summed(third, own.log_of(look(named, open_before, bare), amounts, look(named, open_seen, bare)), n)
+            # Numbered words are known where the document is.
+            alone = look(named, open_bare, bare) > 0
+            second, count = np.append(second, third[alone]), np.append(count, amounts[alone])
             out["docs"].append(pack(every))
             out["known"].append(pack(np.bincount(second, count > 0, n)))
             out["base"].append(_summed(second, own.base_log(count), n).astype("<f8").tobytes())
@@ -497,26 +647,30 @@ def _gathered(table: pa.Table) -> pa.Table:
 
 
 def scores(
-    docs: DataFrame, held_out: Column | None = None, doc_id: str = "doc_id", text: str = "text", most: int = WORDS,
-    part_tokens: int = PART_TOKENS, hot_pairs: int = HOT_PAIRS,
+    docs: DataFrame, held_out: Column | None = None, doc_id: str = "doc_id", text: str = "text", most: int | None = None,
+    part_tokens: int = PART_TOKENS, hot_pairs: int = HOT_PAIRS, cached: int = WORDS,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document.
 
-    ``held_out`` is a condition on ``docs``; the model learns from all other rows."""
+    ``held_out`` is a condition on ``docs``; the model learns from all other rows. Every word is a class
+    unless ``most`` limits them; ``cached`` is the number of words that are broadcast."""
     held_out = fold(F.col(doc_id)) == 1 if held_out is None else held_out
     context = docs.sparkSession.sparkContext
     rows = parts_of(docs, doc_id, text, held_out)
     kind = rows.schema["doc_id"].dataType.simpleString()
     counts = materialized(unigrams(rows))
-    words, least = frequent(counts, most)
+    words, least = frequent(counts, cached if most is None else most)
+    # Where every word is numbered, the rare class holds the unseen words alone.
+    words.open = most is None and words.rare_kinds > 0
     known = contexts(words, counts, rows, least)
     tokens = int(known[1][: words.rare + 1].sum())
     parts = max(16, tokens // part_tokens)
     shared, shared_known = context.broadcast(words), context.broadcast(known)
     pairs = materialized(pair_counts(rows, shared, parts))
-    grid = statistics(pairs, shared, shared_known, max(1, -(-tokens // hot_pairs))).collect()
+    opened = materialized(open_pairs(rows, counts, shared, shared_known, least)) if words.open else None
+    grid = statistics(pairs, shared, shared_known, max(1, -(-tokens // hot_pairs)), opened).collect()
     hot = sorted((-1 - r["cell"], r["weight"]) for r in grid if r["cell"] < 0)
-    mix = mixture([r for r in grid if r["cell"] >= 0], words.rare + 1)
+    mix = mixture([r for r in grid if r["cell"] >= 0], words.classes)
     own = Scorer(
         words, known[1], mix, np.array([k for k, _ in hot], _U), np.array([c for _, c in hot], np.float64),
         tokens, words.rare + words.rare_kinds,
@@ -527,7 +681,17 @@ def scores(
         F.pmod("hash", F.lit(parts)).cast("int").alias("part"), F.col("hash").alias("rare"),
         (F.col("main") + F.col("held")).alias("amount"),
     )
-    stored = pairs.unionByName(rare, allowMissingColumns=True)
+    if opened is not None:
+        rare = rare.limit(0)
+    found = (
+        opened.select(
+            F.pmod("pair", F.lit(parts)).cast("int").alias("part"), F.col("pair").alias("open"),
+            (F.col("main") + F.col("held")).alias("seen"), F.col("before_total").alias("before"),
+            F.col("word_total").alias("word"), F.col("word_open").cast("long").alias("bare"),
+        ) if opened is not None
+        else docs.sparkSession.createDataFrame([], "part int, open long, seen long, before long, word long, bare long")
+    )
+    stored = pairs.unionByName(rare, allowMissingColumns=True).unionByName(found, allowMissingColumns=True)
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         return _answered(left, right, scorer.value, left.schema.field("facts").type)

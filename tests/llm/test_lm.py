@@ -101,3 +101,20 @@ def test_empty_and_nothing_to_learn(documents):
     assert lm.scores(documents([])).count() == 0
     got = lm.scores(documents([(1, "a b", "s")]), F.lit(True)).collect()
     assert got[0]["train_tokens"] == 0 and got[0]["n_known"] == 0 and got[0]["score"] <= 0
+
+
+@pytest.mark.parametrize(("cached", "hot"), [(20, 50), (0, 50)])
+def test_words_past_the_cache_are_classes_of_their_own(documents, rng, cached, hot):
+    word = lambda: rng.choice("the of and a in") if rng.random() < 0.5 else f"W{int(rng.expovariate(0.05))}"
+    rows = [(i, " ".join(word() for _ in range(rng.randint(0, 40)))) for i in range(150)]
+    rows += [(500, None), (501, "new1 new2 new1 W3 the"), (502, "the of " * 4000), (None, "the of never W1"), (4, rows[4][1])]
+    docs = documents([(i, t, "s") for i, t in rows])
+    roles = {r["doc_id"]: r["role"] for r in lm.parts_of(docs, "doc_id", "text", F.col("doc_id") % 5 == 1).collect()}
+    expected = brute(rows, [roles[i] for i, _ in rows], 1 << 19)
+    got = lm.scores(docs, F.col("doc_id") % 5 == 1, cached=cached, part_tokens=100, hot_pairs=hot).collect()
+    columns = ("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    found = sorted((tuple(r[c] for c in columns) for r in got), key=lambda r: repr(r[:3]))
+    assert len(found) == len(expected)
+    for a, b in zip(found, sorted(expected, key=lambda r: repr(r[:3])), strict=True):
+        assert a[:4] == b[:4]
+        assert a[4:] == pytest.approx(b[4:], rel=1e-9)
