@@ -242,24 +242,32 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     )
 
 
-def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
-    """(node, label): the smallest node reachable along ``edges`` (a, b), by minima over neighbours and
-    pointer jumps until nothing changes. Each round is written out, so lineage stays short."""
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label): the smallest node reachable along ``edges`` (a, b).
+
+    In a round every node hears the labels of its neighbours' labels, and passes the lowest on to its own
+    label too (FastSV), so whole trees are hooked and rounds grow with the logarithm of a chain's length.
+    Labels only sink, and rounds end when none does: then no edge joins two labels. Each round is written
+    out, so lineage stays short."""
     both = materialized(edges.union(edges.select("b", "a")).toDF("node", "other").distinct())
     labels = materialized(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label")))
-    for _ in range(rounds):
+    while True:
+        far = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        jumped = materialized(labels.join(far, "label").select("node", "label", "far"))
         heard = (
-            both.join(labels.select(F.col("node").alias("other"), F.col("label").alias("heard")), "other")
+            both.join(jumped.select(F.col("node").alias("other"), "far"), "other")
             .groupBy("node")
-            .agg(F.min("heard").alias("heard"))
+            .agg(F.min("far").alias("heard"))
+            .join(jumped.select("node", "label"), "node")
+        )
+        heard = heard.select(F.explode(F.array_distinct(F.array("node", "label"))).alias("node"), "heard")
+        lowest = heard.groupBy("node").agg(F.min("heard").alias("heard"))
+        stepped = materialized(
+            jumped.join(lowest, "node", "left").select("node", "label", F.least("label", "far", "heard").alias("next"))
         )
-        lower = labels.join(heard, "node").select("node", "label", F.least("label", "heard").alias("low"))
-        far = labels.select(F.col("node").alias("low"), F.col("label").alias("far"))
-        stepped = materialized(lower.join(far, "low", "left").select("node", "label", F.least("low", "far").alias("next")))
         labels = stepped.select("node", F.col("next").alias("label"))
         if stepped.where(F.col("next") != F.col("label")).isEmpty():
             return labels
-    raise RuntimeError("components did not settle")
 
 
 def _bound(a: str, b: str):

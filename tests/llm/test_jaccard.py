@@ -101,6 +101,14 @@ def test_components(spark):
     assert jc.components(edges.limit(0)).count() == 0
 
 
+def test_components_of_a_long_chain(spark, rng):
+    names = list({rng.getrandbits(63) - (1 << 62) for _ in range(1000)})
+    rng.shuffle(names)
+    edges = spark.createDataFrame(list(zip(names[:-1], names[1:])), "a long, b long")
+    got = {r["node"]: r["label"] for r in jc.components(edges).collect()}
+    assert got == dict.fromkeys(names, min(names))
+
+
 def test_empty_table(documents):
     assert jc.component_ids(documents([])).count() == 0
     assert jc.keep_one(documents([]).where(F.lit(True))).count() == 0
