@@ -16,7 +16,8 @@ Defined results
 * A query never meets rows of its own identifier. Repeated rows are candidates each for
   itself; of several query rows with one identifier the smallest vector asks.
 * Ties go to the smaller identifier. Fewer candidates than k: all of them.
-* Scores beyond 64 bits are an error. An empty table gives an empty result.
+* A score beyond 64 bits that is met, or a component beyond 2 ** 500, is an error; any other score
+  is exact. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ QUERY_LEAF = 4
 BLOCK = 8192
 QUERY_BLOCK = 8192
 SEEDS = 4096
+#: Stands for no score; below every score.
+NONE = np.iinfo(np.int64).min
 
 
 @dataclass
@@ -106,9 +109,10 @@ class Best:
 
     def __init__(self, floors: np.ndarray, k: int):
         self.k = k
-        self.scores = np.full((len(floors), k), -np.inf)
+        self.scores = np.full((len(floors), k), NONE)
         self.ids = np.full((len(floors), k), np.iinfo(np.int64).max)
-        self.floors = floors
+        found = np.isfinite(floors)
+        self.floors = np.where(found, np.where(found, floors, 0).astype(np.int64), NONE)
 
     def worst(self, queries: np.ndarray) -> np.ndarray:
         return np.maximum(self.scores[queries, -1], self.floors[queries])
@@ -120,7 +124,7 @@ class Best:
             return
         scores = np.concatenate([self.scores[queries], scores], axis=1)
         ids = np.concatenate([self.ids[queries], np.broadcast_to(ids, (len(queries), len(ids)))], axis=1)
-        order = np.lexsort((ids, -scores), axis=1)[:, : self.k]
+        order = np.lexsort((ids, ~scores), axis=1)[:, : self.k]
         self.scores[queries] = np.take_along_axis(scores, order, axis=1)
         self.ids[queries] = np.take_along_axis(ids, order, axis=1)
 
@@ -137,8 +141,8 @@ def dual_search(
         if bound < best.worst(q.points).min():
             continue
         if not q.children and not d.children:
-            scores = queries[q.points] @ vectors[d.points].T
-            scores[query_ids[q.points][:, None] == ids[d.points][None, :]] = -np.inf
+            own = query_ids[q.points][:, None] == ids[d.points][None, :]
+            scores = exact_scores(queries[q.points], vectors[d.points], own)
             best.add(q.points, scores, ids[d.points])
             scored += scores.size
             continue
@@ -173,14 +177,41 @@ def _matrix(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def _exact(queries: np.ndarray, vectors: np.ndarray) -> bool:
-    """Whether every partial sum of the scores is a whole number that a double holds."""
+def exact_scores(queries: np.ndarray, vectors: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Inner products as 64-bit numbers, ``NONE`` where ``own`` holds: in doubles or 64 bits where every partial
+    sum fits, else in numbers of any size."""
     most = lambda m: float(np.abs(m).max(initial=0.0))
-    return queries.shape[1] * most(queries) * most(vectors) < 2**52
+    largest = queries.shape[1] * most(queries) * most(vectors)
+    if largest < 2**52:
+        scores = (queries @ vectors.T).astype(np.int64)
+    # A component meets zeros alone where the product is small, and may not fit by itself.
+    elif largest < 2**62 and max(most(queries), most(vectors)) < 2**62:
+        scores = queries.astype(np.int64) @ vectors.astype(np.int64).T
+    else:
+        scores = _integers(queries) @ _integers(vectors).T
+        scores[own] = NONE
+        if (np.abs(scores[~own]) >= 2**63).any():
+            raise OverflowError("a score does not fit 64 bits")
+        scores = scores.astype(np.int64)
+    scores[own] = NONE
+    return scores
+
+
+def _integers(values: np.ndarray) -> np.ndarray:
+    out = np.empty(values.size, object)
+    out[:] = [int(v) for v in values.ravel()]
+    return out.reshape(values.shape)
+
+
+def _bounded(vectors: np.ndarray) -> np.ndarray:
+    """``vectors``, whose squared distances must be finite."""
+    if np.abs(vectors).max(initial=0.0) >= 2.0**500:
+        raise OverflowError("a component is too large")
+    return vectors
 
 
 def top_of(
-    data: DataFrame, asking: list[tuple[int, list[float]]], floors: dict[int, float], k: int = K
+    data: DataFrame, asking: list[tuple[int, list[float]]], floors: dict[int, int], k: int = K
 ) -> DataFrame:
     """(query_id, vec_id, score): per task the best of its rows for each query of one block."""
     context = data.sparkSession.sparkContext
@@ -191,9 +222,9 @@ def top_of(
         trees = {}
         for size in {len(v) for _, v in asked}:
             own = [(i, v) for i, v in asked if len(v) == size]
-            matrix = np.floor(SCALE * np.array([v for _, v in own], np.float64).reshape(len(own), size))
+            matrix = _bounded(np.floor(SCALE * np.array([v for _, v in own], np.float64).reshape(len(own), size)))
             numbers = np.array([i for i, _ in own], np.int64)
-            limits = np.array([known.get(i, -np.inf) for i, _ in own])
+            limits = np.array([known.get(i, NONE) for i, _ in own], np.int64)
             trees[size] = matrix, numbers, cover_tree(matrix, QUERY_LEAF), Best(limits, k)
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
@@ -202,16 +233,14 @@ def top_of(
                 for size, (rows, vectors) in _matrix(part.column(1)).items():
                     if size in trees:
                         matrix, numbers, tree, best = trees[size]
-                        if not _exact(matrix, vectors):
-                            raise OverflowError("a score is too large to be exact")
-                        dual_search(tree, matrix, numbers, cover_tree(vectors), vectors, ids[rows], best)
+                        dual_search(tree, matrix, numbers, cover_tree(_bounded(vectors)), vectors, ids[rows], best)
         for _, numbers, _, best in trees.values():
-            keep = np.isfinite(best.scores) & (best.scores >= best.floors[:, None])
+            keep = (best.scores != NONE) & (best.scores >= best.floors[:, None])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.broadcast_to(numbers[:, None], keep.shape)[keep], pa.int64()),
                     pa.array(best.ids[keep], pa.int64()),
-                    pa.array(best.scores[keep].astype(np.int64), pa.int64()),
+                    pa.array(best.scores[keep], pa.int64()),
                 ],
                 names=["query_id", "vec_id", "score"],
             )
@@ -236,7 +265,7 @@ def search(
     found = None
     for block in _blocks(queries, query_block):
         first = ranked(top_of(seeds, block, {}, k), k).where(F.col("rank") == k).collect()
-        floors = {r["query_id"]: float(r["score"]) for r in first}
+        floors = {r["query_id"]: r["score"] for r in first}
         part = top_of(data, block, floors, k)
         found = part if found is None else found.unionByName(part)
     if found is None:

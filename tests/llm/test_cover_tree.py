@@ -58,3 +58,19 @@ def test_trees_cover_and_prune():
     scores[np.arange(100), np.arange(100)] = -np.inf
     assert (np.sort(scores, axis=1)[:, ::-1][:, :10] == best.scores).all()
     assert scored < scores.size / 2
+
+
+def test_large_components_are_exact(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=64) * (3e4 if i % 3 else 1e5)]) for i in range(200)]
+    rows += [(i, [2.0**20, *[0.0] * 62, i / 1024]) for i in range(200, 230)]
+    rows += [(230, [2.0**21, *[0.0] * 62, 1.0])]
+    exact = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows}
+    expected = []
+    for i in range(0, 231, 10):
+        found = sorted((-sum(a * b for a, b in zip(exact[i], exact[j], strict=True)), j) for j in exact if j != i)[:10]
+        expected += [(i, rank + 1, j, -s) for rank, (s, j) in enumerate(found)]
+    frame = spark.createDataFrame([(i, v, 0, "x", 1) for i, v in rows], SCHEMA)
+    got = ct.search(frame, F.col("vec_id") % 10 == 0).collect()
+    assert sorted(tuple(r) for r in got) == sorted(expected)
+    assert max(s for *_, s in expected) > 2**53
