@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perptide.llm import (
+    bpe,
     cover_tree,
     decontaminate,
+    filter_audit,
     jaccard,
     licenses,
     line_dedup,
@@ -18,6 +20,7 @@ from perptide.llm import (
     quality,
     sharding,
     url_filter,
+    whitening,
 )
 from perptide.llm import queries_sql as sql
 from perptide.llm.common import fold
@@ -143,3 +146,40 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log10 probability under the model and under plain word counts."""
     return lm.scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's coordinates along the leading components, scaled to variance one."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    error = whitening.identity_error(vectors, model)
+    explained = F.lit(model.explained).cast("array<double>")
+    rows = whitening.whitened(vectors, model, keep=["vec_id"])
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+@query("op12_filter_interaction_audit", sql.FILTER_AUDIT)
+def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source, order of the five filters and step: what the step's filter keeps, removes and loses."""
+    return filter_audit.audit(filter_audit.counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@query("op13_bpe_encoding_and_decoding")
+def op13_bpe_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the number and digest of its ids, and the digest of the text they decode to."""
+    ids = bpe.encoded(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return bpe.decoded(ids).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )

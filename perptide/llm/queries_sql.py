@@ -179,3 +179,52 @@ WITH RECURSIVE doc AS MATERIALIZED (
 SELECT doc.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc.doc_id, coalesce(m, doc.doc_id)) AS component_id
 FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least USING (doc_id)
 """
+
+FILTER_AUDIT = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), seen AS (
+  SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY t) AS first_id
+  FROM doc
+), mark AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), fail AS (
+  SELECT s.part, coalesce(m.good, false) AS good, coalesce(m.toxic, false) AS toxic,
+         concat(
+           CASE WHEN len(words) < 50 THEN 'A' ELSE '' END,
+           CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END,
+           CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END,
+           CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+           CASE WHEN s.doc_id > first_id THEN 'E' ELSE '' END) AS fails
+  FROM seen s LEFT JOIN mark m ON s.doc_id = m.doc_id
+), state AS (
+  SELECT part, good, toxic, fails, count(*) AS n FROM fail GROUP BY ALL
+), letter AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), ordering AS (
+  SELECT concat(a.x, b.x, c.x, d.x, e.x) AS filter_order
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), placed AS (
+  SELECT o.filter_order, s.*,
+         coalesce(list_min([instr(o.filter_order, f) FOR f IN string_split(s.fails, '') IF f <> '']), 6) AS gone_at
+  FROM ordering o, state s
+), stepped AS (
+  SELECT p.*, g.step, contains(p.fails, substr(p.filter_order, g.step, 1)) AS failing,
+         substr(p.filter_order, g.step, 1) AS filter
+  FROM placed p, (SELECT unnest(range(1, 6)) AS step) g
+), summed AS (
+  SELECT part, filter_order, step, filter,
+         coalesce(sum(n) FILTER (WHERE gone_at > step), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (WHERE gone_at = step), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE failing AND gone_at < step), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (WHERE fails = filter), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n) FILTER (WHERE gone_at = step AND good), 0)::BIGINT AS good_lost,
+         coalesce(sum(n) FILTER (WHERE gone_at = step AND toxic), 0)::BIGINT AS toxic_lost
+  FROM stepped GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
+FROM summed
+"""
