@@ -111,7 +111,7 @@ def best_backfill(rows: DataFrame, *extra_key: str) -> DataFrame:
     return _unpack(
         rows.filter(_is_backfill())
         .groupBy(*KEY, *extra_key)
-        .agg(F.min_by(F.struct(*payload), _backfill_rank()).alias("r")),
+        .agg(F.min_by(F.struct(*payload, *[c for c in ("stored",) if c in rows.columns]), _backfill_rank()).alias("r")),
         *extra_key,
     )
 
@@ -202,13 +202,22 @@ def upsert_backfill(target: DataFrame, stage: DataFrame, segments: DataFrame) ->
 
 
 # -- whole log at once ---------------------------------------------------------------
+FACTS = [c for c in COLUMNS if c not in (*KEY, "oi_usd")]
+
+
+def _stored_type() -> str:
+    return "struct<" + ",".join(f"{c}:{S.MARKET_1M[c]}" for c in [*FACTS, "oi_usd"]) + ">"
+
+
 def as_log(target: DataFrame) -> DataFrame:
-    """A stored table as the batch before the first one.
+    """A stored table as the batch before the first one; ``stored`` carries the row along.
 
     A live row is both lanes' observation at that point, a backfilled row is a
     backfill; replaying a table therefore gives the table back.
     """
-    return target.select(*COLUMNS, F.lit(-1).cast("bigint").alias("batch_seq"))
+    return target.select(
+        *COLUMNS, F.lit(-1).cast("bigint").alias("batch_seq"), F.struct(*FACTS, "oi_usd").alias("stored")
+    )
 
 
 def replay(
@@ -218,28 +227,23 @@ def replay(
 
     ``log`` is staged records plus ``batch_seq``. Inside a batch the fast
     statement runs first, then the slow one, then the backfill one.
+
+    Rows that no operation changed keep their stored ``oi_usd``: statements value what they write
+    at the segments of their day, and a fold must not value the rest anew, or the table
+    would depend on when it is compacted. The stored row travels through the
+    aggregation, so the target is read and shuffled once.
     """
-    ops = bucketed(log, "batch_seq")
+    ops = bucketed(log, "batch_seq").withColumn("stored", F.lit(None).cast(_stored_type()))
     if target is not None:
         ops = ops.unionByName(as_log(target))
-    live = _live_winners(ops)
+    live = _live_winners(ops, kept="stored")
     base = _applied_backfill(ops)
-    final = live.join(base, KEY, "full_outer")
-    out = with_oi_usd(_settled(final), segments).select(*COLUMNS)
-    return out if target is None else _stored_values_kept(out, target)
-
-
-def _stored_values_kept(out: DataFrame, target: DataFrame) -> DataFrame:
-    """``out`` with the stored ``oi_usd`` of the rows that no operation of the log changed.
-
-    Statements value what they write at the segments of their day; a fold must not value the
-    rest anew, or the table would depend on when it is compacted.
-    """
-    facts = F.struct(*[c for c in COLUMNS if c not in (*KEY, "oi_usd")])
-    old = target.select(*KEY, facts.alias("old_facts"), F.col("oi_usd").alias("old_oi_usd"))
-    unchanged = F.coalesce(F.col("old_facts") == facts, F.lit(False))
-    kept = F.when(unchanged, F.col("old_oi_usd")).otherwise(F.col("oi_usd"))
-    return out.join(old, KEY, "left").withColumn("oi_usd", kept).select(*COLUMNS)
+    out = with_oi_usd(_settled(live.join(base, KEY, "full_outer"), kept="stored"), segments)
+    if target is None:
+        return out.select(*COLUMNS)
+    unchanged = F.struct(*[F.col(f"stored.{c}").alias(c) for c in FACTS]) == F.struct(*FACTS)
+    kept = F.when(F.col("stored").isNotNull() & unchanged, F.col("stored.oi_usd")).otherwise(F.col("oi_usd"))
+    return out.withColumn("oi_usd", kept).select(*COLUMNS)
 
 
 def replay_live(log: DataFrame, segments: DataFrame) -> DataFrame:
@@ -256,7 +260,8 @@ def _base_type() -> str:
     return "struct<" + ",".join(f"{c}:{k}" for c, k in kinds.items()) + ">"
 
 
-def _live_winners(ops: DataFrame) -> DataFrame:
+def _live_winners(ops: DataFrame, kept: str | None = None) -> DataFrame:
+    """Winners of both lanes; a key has one row with ``kept`` at most, and it is passed on."""
     live = ops.filter(_is_live("fast") | _is_live("slow")).withColumn(
         "grid_s", F.coalesce("grid_s", F.lit(LIVE_GRID_S))
     )
@@ -274,7 +279,8 @@ def _live_winners(ops: DataFrame) -> DataFrame:
         at = F.col("batch_seq") * 2 + ORDER_OF_STATEMENTS[lane]
         return F.min(F.when(F.col(f"obs_ts_{lane}").isNotNull(), at)).alias(f"first_{lane}")
 
-    return live.groupBy(*KEY).agg(winner("fast"), winner("slow"), first("fast"), first("slow"))
+    passed = [F.first(kept, ignorenulls=True).alias(kept)] if kept else []
+    return live.groupBy(*KEY).agg(winner("fast"), winner("slow"), first("fast"), first("slow"), *passed)
 
 
 def _applied_backfill(ops: DataFrame) -> DataFrame:
@@ -307,16 +313,18 @@ def _applied_backfill(ops: DataFrame) -> DataFrame:
     folded = applied.groupBy(*KEY).agg(
         *[last_known(c) for c in [*FAST, *SLOW, "obs_ts_fast", "obs_ts_slow"]],
         F.max_by(F.struct(*SHARED), "batch_seq").alias("s"),
+        F.first("stored", ignorenulls=True).alias("base_stored"),
     )
     return folded.select(
         *KEY,
+        "base_stored",
         F.struct(
             *FAST, *SLOW, *[F.col(f"s.{c}").alias(c) for c in SHARED], "obs_ts_fast", "obs_ts_slow"
         ).alias("base"),
     )
 
 
-def _settled(final: DataFrame) -> DataFrame:
+def _settled(final: DataFrame, kept: str | None = None) -> DataFrame:
     fast, slow = F.col("fast"), F.col("slow")
     live = fast.isNotNull() | slow.isNotNull()
     fast_first = F.col("first_slow").isNull() | (F.col("first_fast") < F.col("first_slow"))
@@ -357,4 +365,5 @@ def _settled(final: DataFrame) -> DataFrame:
         ],
         *[shared(c) for c in SHARED],
         (~live).alias("backfilled"),
+        *([F.coalesce(kept, f"base_{kept}").alias(kept)] if kept else []),
     )

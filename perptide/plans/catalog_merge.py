@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from perptide.operators import asof, merge
@@ -9,6 +11,8 @@ from perptide.functions import scalars as C
 from perptide.plans import bridge
 from perptide.plans import bridge_sql as B
 from perptide.plans.registry import Registry
+from perptide.session import checkpoint_dir
+from perptide.sources.minute_store import MinuteStore
 from perptide.plans.common import big, market_out, ms, r6, replayed, stage_out
 
 query = Registry()
@@ -74,8 +78,12 @@ def a2(spark, sf_dir):
     )
 
 
-def _market_sql(seq="batch_seq", where="true"):
-    return B.with_ctes(*B.market_ctes(seq, where)) + B.MARKET_OUT + "FROM market"
+def _market_sql(seq="batch_seq", where="true", time="obs_ms"):
+    return B.with_ctes(*B.market_ctes(seq, where, time)) + B.MARKET_OUT + "FROM market"
+
+
+def _store(spark):
+    return MinuteStore(spark, f"{checkpoint_dir(spark)}/store-{uuid.uuid4().hex}")
 
 
 def _chain(spark, sf_dir):
@@ -111,6 +119,28 @@ def u3(spark, sf_dir):
     return market_out(target)
 
 
+@query("u1_u3_upserts_into_stored_months", _market_sql(CHAIN_SEQ, time="raw_ms"))
+def u1_u3_store(spark, sf_dir):
+    """The three statements one after another on a stored table; each rewrites the months it touches."""
+    stage, seg, store = bridge.stage(spark, sf_dir, "raw_ms"), bridge.segments(spark, sf_dir), _store(spark)
+    generation = None
+    for statement in ("backfill", "fast", "slow"):
+        generation = store.upsert(stage, seg, statement, generation)
+    return market_out(store.base(generation))
+
+
+@query("u4_compaction_by_months", _market_sql("late_seq // 7", time="raw_ms"))
+def u4_store(spark, sf_dir):
+    """Three batches in the log: one folded alone, one over it, the last read with the base."""
+    stage, seg, store = bridge.stage(spark, sf_dir, "raw_ms"), bridge.segments(spark, sf_dir), _store(spark)
+    for batch in range(3):
+        store.append(stage.filter(F.floor(F.col("late_seq") / 7) == batch), batch)
+    generation = None
+    for upto in (0, 1):
+        generation = store.compact(seg, upto, generation)
+    return market_out(store.read(seg, generation))
+
+
 @query("u4_replay_in_arrival_order", _market_sql())
 def u4(spark, sf_dir):
     return market_out(replayed(spark, sf_dir))
