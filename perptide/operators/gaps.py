@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from perptide import schemas as S
 from perptide.functions import scalars as C
-from perptide.operators.carry import islands, merge_intervals, running
+from perptide.operators.carry import chunk_of, islands, merge_intervals, running
 
 MINUTE_MS = 60_000
 
@@ -60,6 +60,28 @@ def expected_per_minute(
     ).select("minute_ms", "expected")
 
 
+def among_listed(market: DataFrame, spells: DataFrame, from_ms: int, to_ms: int) -> DataFrame:
+    """Minute rows of coins while they are in the universe; a coin outside it must not hide a missing one.
+
+    Spells are laid out by day, so a minute meets the spells of its coin and day only.
+    """
+    start = F.greatest(F.unix_millis("in_from"), F.lit(from_ms).cast("bigint"))
+    end = F.least(F.coalesce(F.unix_millis("in_to"), F.lit(to_ms).cast("bigint")), F.lit(to_ms).cast("bigint"))
+    days = (
+        spells.select(F.col("symbol").alias("_symbol"), start.alias("_from"), end.alias("_to"))
+        .filter(F.col("_from") < F.col("_to"))
+        .select("*", F.explode(F.sequence(chunk_of(F.col("_from")), chunk_of(F.col("_to") - 1))).alias("_of_day"))
+    )
+    ms = F.unix_millis("ts")
+    inside = (
+        (F.col("symbol") == F.col("_symbol"))
+        & (chunk_of(ms) == F.col("_of_day"))
+        & (ms >= F.col("_from"))
+        & (ms < F.col("_to"))
+    )
+    return market.join(days, inside, "left_semi")
+
+
 def present_per_minute(market: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Coins with a value, per (venue, minute, metric); one shuffle for all metrics."""
     counted = market.groupBy("venue", F.unix_millis("ts").alias("minute_ms")).agg(
@@ -77,7 +99,10 @@ def present_per_minute(market: DataFrame, metrics: Sequence[str]) -> DataFrame:
 def minute_status(
     expected: DataFrame, market: DataFrame, metrics: Sequence[str]
 ) -> DataFrame:
-    """(venue, metric, minute_ms, expected, present) over the whole lattice."""
+    """(venue, metric, minute_ms, expected, present) over the whole lattice.
+
+    ``market`` holds the rows that may count as present, see ``among_listed``.
+    """
     pairs = F.array(
         *[
             F.struct(F.lit(v).alias("venue"), F.lit(m).alias("metric"))

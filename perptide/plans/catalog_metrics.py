@@ -10,6 +10,7 @@ from perptide.operators import liquidations as L
 from perptide.operators import merge
 from perptide.plans import bridge
 from perptide.plans import bridge_sql as B
+from perptide.plans import payloads as P
 from perptide.plans.common import big, market, ms, r6
 from perptide.plans.registry import Registry
 
@@ -232,38 +233,51 @@ def u6_apply(spark, sf_dir):
     return instruments_out(H.scd2_apply(versions, now, key, ATTRIBUTES, cut))
 
 
-UNIVERSE = """
-tr AS (SELECT symbol, ts_ms FROM inst_rows WHERE status = 'trading'
-  GROUP BY symbol, ts_ms HAVING count(DISTINCT venue) = 2),
+LISTS = f"""
+li AS (
+  SELECT DISTINCT venue, symbol, sym_no, k, {bridge.T0} + off + k * every AS ts_ms FROM (
+    SELECT *, CAST(floor((obs_ms - {bridge.T0} - off) / every) AS BIGINT) AS k FROM (
+      SELECT *, CASE WHEN venue = 'binance' THEN 600000 ELSE 900000 END AS every,
+        CASE WHEN venue = 'binance' THEN 0 ELSE 433000 END AS off FROM ev))
+  WHERE NOT (venue = 'binance' AND sym_no = 4 AND k % 5 = 2)
+    AND NOT (venue = 'hyperliquid' AND sym_no = 1 AND k % 4 = 1)),
+tr AS (
+  SELECT DISTINCT venue, symbol, ts_ms FROM li WHERE venue = 'hyperliquid'
+    OR NOT ((sym_no = 2 AND k % 7 IN (3, 4)) OR (sym_no = 3 AND k % 11 = 5))),
+la AS (SELECT DISTINCT venue, ts_ms FROM li)"""
+UNIVERSE = LISTS + """,
 ui AS (SELECT ts_ms, lead(ts_ms) OVER (ORDER BY ts_ms) AS nxt, row_number() OVER (ORDER BY ts_ms) AS k
-  FROM (SELECT DISTINCT ts_ms FROM inst_rows)),
-us AS (SELECT t.symbol, t.ts_ms, u.nxt, u.k - row_number() OVER (PARTITION BY t.symbol ORDER BY t.ts_ms) AS g
-  FROM tr t JOIN ui u USING (ts_ms)),
+  FROM (SELECT DISTINCT ts_ms FROM la)),
+held AS (SELECT u.ts_ms, u.nxt, u.k, la.venue, max(la.ts_ms) AS list_ms
+  FROM ui u JOIN la ON la.ts_ms <= u.ts_ms GROUP BY ALL),
+us AS (SELECT h.ts_ms, h.nxt, h.k, t.symbol, h.k - row_number() OVER (PARTITION BY t.symbol ORDER BY h.ts_ms) AS g
+  FROM held h JOIN tr t ON t.venue = h.venue AND t.ts_ms = h.list_ms
+  GROUP BY h.ts_ms, h.nxt, h.k, t.symbol HAVING count(DISTINCT h.venue) = 2),
 universe AS (SELECT symbol, min(ts_ms) AS in_from, CASE WHEN count(*) FILTER (nxt IS NULL) = 0 THEN max(nxt) END AS in_to
   FROM us GROUP BY symbol, g)"""
 
 
 @query(
     "l3_universe_reconciliation",
-    B.with_ctes(B.EV, B.INSTRUMENTS, UNIVERSE) + """
+    B.with_ctes(B.EV, UNIVERSE) + """
 SELECT symbol, in_from AS in_from_ms, in_to AS in_to_ms,
   CASE WHEN in_to IS NULL THEN 'listed_on_both_venues' ELSE 'not_on_both_venues' END AS reason FROM universe""",
 )
 def l3(spark, sf_dir):
-    return L.universe(bridge.instrument_snapshots(spark, sf_dir)).select(
+    """Both venues' parsed lists, on clocks of their own, one of them without any status."""
+    return L.universe(P.lists(spark, sf_dir)).select(
         "symbol", ms("in_from", "in_from_ms"), ms("in_to", "in_to_ms"), "reason"
     )
 
 
 @query(
     "j10_listed_on_both_venues",
-    B.with_ctes(B.EV, B.INSTRUMENTS) + """
-SELECT symbol FROM instruments WHERE vt IS NULL AND status = 'trading'
+    B.with_ctes(B.EV, LISTS) + """
+SELECT symbol FROM tr WHERE (venue, ts_ms) IN (SELECT (venue, max(ts_ms)) FROM la GROUP BY venue)
 GROUP BY symbol HAVING count(DISTINCT venue) = 2""",
 )
 def j10(spark, sf_dir):
-    now = bridge.instruments(spark, sf_dir).filter("valid_to IS NULL AND status = 'trading'")
-    return L.listed_on_both(now)
+    return L.listed_now(P.lists(spark, sf_dir))
 
 
 @query(

@@ -15,6 +15,7 @@ from perptide.operators import liquidations as L
 from perptide.operators import usage as U
 from perptide.plans import bridge
 from perptide.plans import bridge_sql as B
+from perptide.plans import payloads as P
 from perptide.plans.catalog_metrics import UNIVERSE
 from perptide.plans.common import big, market, r6
 from perptide.plans.registry import Registry
@@ -205,13 +206,15 @@ def a8(spark, sf_dir):
     )
 
 
-THROTTLE_SQL = EVC + LOG_SQL + """, th AS (
+THROTTLE_CTE = """
+th AS (
   SELECT venue, bucket, at_ms, status, body, CASE WHEN status = 418 THEN 'ip_ban' ELSE 'rate_limit' END AS cause,
     CASE WHEN status = 418 THEN at_ms + CAST(coalesce(TRY_CAST(trim(retry_after) AS DOUBLE) * 1000, 259200000) AS BIGINT) END AS halt,
     status = 418 OR venue = 'hyperliquid' AS notify
   FROM log WHERE status IN (418, 429)),
 th2 AS (SELECT *, greatest(coalesce(halt, 0), at_ms + 3600000) AS frozen FROM th)
 """
+THROTTLE_SQL = EVC + LOG_SQL + "," + THROTTLE_CTE
 
 
 @query(
@@ -249,8 +252,10 @@ METRICS = ("mark", "oi_base")
 GAP_CTE = f"""
 lat AS (SELECT unnest(generate_series({T0}, {END - 60000}, 60000)) AS m),
 ex AS (SELECT m, (SELECT count(*) FROM universe u WHERE u.in_from <= m AND (u.in_to IS NULL OR u.in_to > m)) AS expected FROM lat),
-pr AS (SELECT venue, ts AS m, 'mark' AS metric, count(mark) AS present FROM market GROUP BY ALL
-  UNION ALL SELECT venue, ts, 'oi_base', count(oi_base) FROM market GROUP BY ALL),
+ml AS (SELECT * FROM market m WHERE EXISTS (SELECT 1 FROM universe u
+  WHERE u.symbol = m.symbol AND u.in_from <= m.ts AND (u.in_to IS NULL OR u.in_to > m.ts))),
+pr AS (SELECT venue, ts AS m, 'mark' AS metric, count(mark) AS present FROM ml GROUP BY ALL
+  UNION ALL SELECT venue, ts, 'oi_base', count(oi_base) FROM ml GROUP BY ALL),
 st AS (SELECT venue, metric, m, expected, coalesce(present, 0) AS present FROM (
     SELECT * FROM ex, (SELECT unnest(['binance','hyperliquid']) AS venue), (SELECT unnest(['mark','oi_base']) AS metric)) v
   LEFT JOIN pr USING (venue, metric, m)),
@@ -258,16 +263,18 @@ df AS (SELECT *, m - 60000 * row_number() OVER (PARTITION BY venue, metric ORDER
 gp AS (SELECT venue, metric, min(m) AS from_ms, max(m) + 60000 AS to_ms, count(*) AS minutes,
     max(expected) AS symbols_expected, min(present) AS symbols_present FROM df GROUP BY venue, metric, g)"""
 GAPS = [*B.market_ctes(), UNIVERSE, GAP_CTE]
+CAUSED = [*GAPS, LOG_SQL.removeprefix(", "), THROTTLE_CTE]
 
 
 def status(spark, sf_dir):
     """The minute lattice of the universe: as many rows as minutes, not as records."""
     def build():
         spells = bridge.stored(
-            spark, sf_dir, "universe", lambda: L.universe(bridge.instrument_snapshots(spark, sf_dir))
+            spark, sf_dir, "universe", lambda: L.universe(P.lists(spark, sf_dir))
         )
         expected = G.expected_per_minute(spark, spells, T0, END)
-        return G.minute_status(expected, market(spark, sf_dir), METRICS)
+        listed = G.among_listed(market(spark, sf_dir), spells, T0, END)
+        return G.minute_status(expected, listed, METRICS)
 
     return bridge.stored(spark, sf_dir, "status", build)
 
@@ -289,8 +296,9 @@ def _gap_out(df):
 CAUSE_CTE = """
 lg AS (SELECT venue, obs_ms AS f, obs_ms + 1000 * (1 + event_id % 3) AS t,
     ['power_loss','egress_down','rate_limit','ws_reconnect'][event_id // 50 % 4 + 1] AS cause
-  FROM ev WHERE event_type = 'error'),
-rk AS (SELECT unnest(['power_loss','egress_down','rate_limit','ws_reconnect']) AS cause, unnest([0, 2, 5, 6]) AS rank),
+  FROM ev WHERE event_type = 'error'
+  UNION ALL SELECT venue, at_ms, coalesce(halt, frozen), cause FROM th2),
+rk AS (SELECT unnest(['power_loss','egress_down','ip_ban','rate_limit','ws_reconnect']) AS cause, unnest([0, 2, 4, 5, 6]) AS rank),
 ga AS (SELECT gp.venue, gp.metric, gp.from_ms, gp.to_ms, gp.minutes, gp.symbols_expected, gp.symbols_present,
     coalesce(arg_min(lg.cause, rk.rank), 'unknown') AS cause
   FROM gp LEFT JOIN lg ON lg.venue = gp.venue AND lg.f < gp.to_ms AND lg.t > gp.from_ms LEFT JOIN rk ON rk.cause = lg.cause
@@ -298,23 +306,26 @@ ga AS (SELECT gp.venue, gp.metric, gp.from_ms, gp.to_ms, gp.minutes, gp.symbols_
 
 
 def cause_intervals(spark, sf_dir):
+    """What the operations log says, and the gaps that throttling owes."""
     eid = F.col("event_id")
-    return bridge.events(spark, sf_dir).filter("event_type = 'error'").select(
+    logged = bridge.events(spark, sf_dir).filter("event_type = 'error'").select(
         "venue",
         F.col("obs_ms").alias("from_ms"),
         (F.col("obs_ms") + 1000 * (1 + eid % 3)).alias("to_ms"),
         pick(["power_loss", "egress_down", "rate_limit", "ws_reconnect"], F.floor(eid / 50) % 4).alias("cause"),
     )
+    throttled = U.throttle_gaps(request_log(spark, sf_dir)).select("venue", "from_ms", "to_ms", "cause")
+    return logged.unionByName(throttled)
 
 
-@query("g2_gap_causes", B.with_ctes(*GAPS, CAUSE_CTE) + "SELECT * FROM ga")
+@query("g2_gap_causes", B.with_ctes(*CAUSED, CAUSE_CTE) + "SELECT * FROM ga")
 def g2(spark, sf_dir):
     return _gap_out(G.attribute_causes(G.gap_rows(status(spark, sf_dir)), cause_intervals(spark, sf_dir)))
 
 
 @query(
     "g3_availability",
-    B.with_ctes(*GAPS, CAUSE_CTE) + """, gm AS (
+    B.with_ctes(*CAUSED, CAUSE_CTE) + """, gm AS (
   SELECT venue, metric, cause IN ('power_loss','host_restart','egress_down','egress_change') AS ex,
     unnest(generate_series(from_ms, to_ms - 60000, 60000)) AS m FROM ga),
 j AS (SELECT st.venue, st.metric, present < expected AS miss, coalesce(gm.ex, false) AS ex, gm.ex IS NOT NULL AS expl

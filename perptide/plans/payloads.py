@@ -138,6 +138,61 @@ def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw(per_hour, "hyperliquid", "meta", F.to_json(F.struct("universe")))
 
 
+#: How often either venue's list is fetched, and how far its clock is from the other's.
+LIST_EVERY = {"binance": 600_000, "hyperliquid": 900_000}
+LIST_OFFSET = {"binance": 0, "hyperliquid": 433_000}
+
+
+def _listing(spark: SparkSession, sf_dir: str, venue: str) -> DataFrame:
+    """(sym_no, symbol, k, observed_ms) of the coins on list number k; either venue drops one for a while."""
+    every, offset = LIST_EVERY[venue], LIST_OFFSET[venue]
+    k = F.floor((F.col("obs_ms") - bridge.T0 - offset) / every).cast("bigint")
+    gone = (
+        (F.col("sym_no") == 4) & (F.col("k") % 5 == 2)
+        if venue == "binance"
+        else (F.col("sym_no") == 1) & (F.col("k") % 4 == 1)
+    )
+    seen = side(spark, sf_dir, venue).select("sym_no", "symbol", k.alias("k")).distinct()
+    return seen.filter(~gone).withColumn("observed_ms", F.lit(bridge.T0 + offset) + F.col("k") * every)
+
+
+def list_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Contract lists of both venues on clocks of their own; the second venue states no status."""
+    base = F.when(F.col("sym_no") == 0, "1000C0").otherwise(F.col("symbol"))
+    status = (
+        F.when((F.col("sym_no") == 2) & (F.col("k") % 7).isin(3, 4), "SETTLING")
+        .when((F.col("sym_no") == 3) & (F.col("k") % 11 == 5), "ODD")
+        .otherwise("TRADING")
+    )
+    tick = F.array(F.struct(F.lit("PRICE_FILTER").alias("filterType"), F.lit("0.10").alias("tickSize")))
+    contract = F.struct(
+        F.concat(base, F.lit("USDT")).alias("symbol"),
+        F.lit("PERPETUAL").alias("contractType"),
+        status.alias("status"),
+        base.alias("baseAsset"),
+        tick.alias("filters"),
+    )
+    first = _listing(spark, sf_dir, "binance").groupBy("observed_ms").agg(F.collect_list(contract).alias("symbols"))
+    coin = F.struct(
+        F.when(F.col("sym_no") == 0, "kC0").otherwise(F.col("symbol")).alias("name"),
+        F.col("sym_no").alias("szDecimals"),
+        F.lit(50).alias("maxLeverage"),
+    )
+    second = _listing(spark, sf_dir, "hyperliquid").groupBy("observed_ms").agg(F.collect_list(coin).alias("universe"))
+    return (
+        raw(first, "binance", "exchange_info",
+            F.to_json(F.struct(F.col("observed_ms").alias("serverTime"), "symbols"))),
+        raw(second, "hyperliquid", "meta", F.to_json(F.struct("universe"))),
+    )
+
+
+def lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the parsers of both contract lists make of ``list_documents``, with ``ts``."""
+    first, second = list_documents(spark, sf_dir)
+    rows = NB.instruments(first.unionByName(funding_info(spark, sf_dir))).unionByName(NH.instruments(second))
+    return rows.withColumn("ts", F.timestamp_millis("ts_ms"))
+
+
 def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = exchange_info(spark, sf_dir).unionByName(funding_info(spark, sf_dir))
     return NB.instruments(both).unionByName(NH.instruments(meta(spark, sf_dir)))
