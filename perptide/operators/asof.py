@@ -3,10 +3,17 @@
 The versions of a coin are turned into half-open segments of the time axis on
 which the answer does not change. A probe then meets exactly one segment, so the
 lookup emits one row per probe and needs no aggregation afterwards.
+
+Segments are laid out by month of 30 days between the first and the last change of their key;
+probes before and after meet the first and the last of these months. The join is an
+equality on key and month, so a probe is compared with the segments of its month only,
+however long the history of a key is.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,25 +110,52 @@ def multiplier_segments(instruments: DataFrame) -> DataFrame:
     return constant.unionByName(varying)
 
 
+MONTH_US = 30 * 86_400 * 1_000_000
+
+
+def _month(us: Column) -> Column:
+    return F.floor(us / F.lit(MONTH_US)).cast("bigint")
+
+
+def by_months(segments: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(key, first_month, last_month) of each key's changes, and its segments once for each month they touch.
+
+    A key that never changes has one row in either.
+    """
+    key = list(key)
+    spans = segments.groupBy(*key).agg(
+        F.min(_month(F.col("seg_to_us"))).alias("first_month"), F.max(_month(F.col("seg_from_us"))).alias("last_month")
+    )
+    never = F.col("first_month") > F.col("last_month")
+    spans = spans.select(
+        *key, *[F.when(never, F.lit(0)).otherwise(F.col(c)).cast("bigint").alias(c) for c in ("first_month", "last_month")]
+    )
+    first, last = F.col("first_month"), F.col("last_month")
+    start = F.greatest(_month(F.col("seg_from_us")), first)
+    start = F.least(start, last)
+    end = F.greatest(F.least(_month(F.col("seg_to_us") - 1), last), start)
+    laid = segments.join(spans, key).withColumn("month", F.explode(F.sequence(start, end)))
+    return spans, laid.drop("first_month", "last_month")
+
+
+def lookup(df: DataFrame, segments: DataFrame, key: Sequence[str], instant_us: Column, values: Sequence[str]) -> DataFrame:
+    """``df`` with ``values`` of the segment of its ``key`` that holds the instant; NULL where the key has none."""
+    key = list(key)
+    spans, laid = by_months(segments.select(*key, "seg_from_us", "seg_to_us", *values), key)
+    month = F.greatest(F.least(_month(F.col("_us")), F.col("last_month")), F.col("first_month"))
+    probe = df.withColumn("_us", instant_us).join(spans, key, "left")
+    probe = probe.withColumn("_month", F.when(F.col("first_month").isNotNull(), month)).drop("first_month", "last_month")
+    dim = laid.select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col("month").alias("_m"), "seg_from_us", "seg_to_us", *values)
+    on = (F.col("_month") == F.col("_m")) & (F.col("_us") >= F.col("seg_from_us")) & (F.col("_us") < F.col("seg_to_us"))
+    for k in key:
+        on = on & (F.col(k) == F.col(f"_k_{k}"))
+    return probe.join(dim, on, "left").drop("_us", "_month", "_m", *[f"_k_{k}" for k in key], "seg_from_us", "seg_to_us")
+
+
 def with_multiplier(df: DataFrame, segments: DataFrame, ts: Column | str = "ts") -> DataFrame:
     """Add ``mult`` as of ``ts``; NULL where the coin has no usable version."""
     instant = F.unix_micros(F.col(ts) if isinstance(ts, str) else ts)
-    probe = df.withColumn("_us", instant)
-    dim = segments.select(
-        F.col("venue").alias("_v"),
-        F.col("symbol").alias("_s"),
-        "seg_from_us",
-        "seg_to_us",
-        "mult",
-    )
-    return probe.join(
-        dim,
-        (F.col("venue") == F.col("_v"))
-        & (F.col("symbol") == F.col("_s"))
-        & (F.col("_us") >= F.col("seg_from_us"))
-        & (F.col("_us") < F.col("seg_to_us")),
-        "left",
-    ).drop("_us", "_v", "_s", "seg_from_us", "seg_to_us")
+    return lookup(df, segments, ["venue", "symbol"], instant, ["mult"]).select(*df.columns, "mult")
 
 
 def with_oi_usd(df: DataFrame, segments: DataFrame) -> DataFrame:

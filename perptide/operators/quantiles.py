@@ -1,8 +1,8 @@
 """Exact quantiles of groups of any size.
 
 The built-in exact percentile keeps every distinct value of a group in one task.
-Here values are counted, their ranks are running sums carried between slices of
-the value axis, and the two neighbours of each wanted rank are picked.
+Here values are counted, their ranks are running sums carried between slices of about
+equal numbers of values, and the two neighbours of each wanted rank are picked.
 """
 
 from __future__ import annotations
@@ -13,16 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perptide.operators.carry import running
-
-
-def value_slice(x: Column, per_octave: int = 64) -> Column:
-    """A slice number that never decreases as ``x`` grows."""
-    magnitude = F.floor(F.log2(F.abs(x)) * per_octave).cast("bigint") + 200_000
-    return F.when(x > 0, magnitude).when(x < 0, -magnitude).otherwise(0)
+from perptide.operators.ranks import ROWS_A_SLICE, sliced
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float], rows_a_slice: int = ROWS_A_SLICE
 ) -> DataFrame:
     """Linear-interpolation quantiles per key, plus ``n``. NULL values are left out."""
     keys = list(keys)
@@ -33,7 +28,7 @@ def exact_quantiles(
     )
     totals = counted.groupBy(*keys).agg(F.sum("_f").alias("n"))
     ranked = running(
-        counted, keys, ["_x"], F.col("_f"), "_upto", how="sum", chunk=value_slice(F.col("_x"))
+        sliced(counted, keys, F.col("_x"), rows_a_slice), keys, ["_x"], F.col("_f"), "_upto", how="sum", chunk=F.col("_slice")
     ).join(totals, keys)
 
     def at(rank: Column) -> Column:

@@ -12,6 +12,7 @@ from perptide.functions import scalars as C
 from perptide.operators import divergence as D
 from perptide.operators.carry import islands, running
 from perptide.operators.quantiles import exact_quantiles
+from perptide.operators.ranks import ROWS_A_SLICE, sliced, tie_ranks
 
 HIDE_VALUE_BELOW = 10
 HIDE_PERCENT_BELOW = 30
@@ -251,27 +252,32 @@ def scoreboard(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def benjamini_hochberg(tests: DataFrame, q: float = 0.05, buckets: int = 1000) -> DataFrame:
+def benjamini_hochberg(tests: DataFrame, q: float = 0.05, rows_a_slice: int = ROWS_A_SLICE) -> DataFrame:
     """Adjusted p-values per family: p * m / rank, made monotone from the tail.
 
-    Rank and tail minimum are running values over p, carried between slices of the
-    [0, 1] range, so a large family is not sorted in one task.
+    Of equal p-values the last rank gives the smallest figure, and the tail minimum gives it to
+    all of them. So both running values go over distinct p-values, in slices of about equal
+    size; a mass of p = 1 is one row there. Ranks among equal ones are counted in slices of their own.
     """
-    key = ["family"]
-    sizes = tests.groupBy(*key).agg(F.count("*").alias("m"))
-    ranked = running(
-        tests, key, ["p", "test_id"], F.lit(1), "rank", how="sum",
-        chunk=F.floor(F.col("p") * buckets).cast("bigint"),
-    ).join(sizes, key)
-    raw = ranked.withColumn("raw", F.col("p") * F.col("m") / F.col("rank")).withColumn(
-        "descending", -F.col("rank")
+    counted = tests.groupBy("family", "p").agg(F.count("*").alias("ties"))
+    sizes = counted.groupBy("family").agg(F.sum("ties").alias("m"))
+    dealt = sliced(counted, ["family"], F.col("p"), rows_a_slice)
+    upto = running(dealt, ["family"], ["p"], F.col("ties"), "upto", how="sum", chunk=F.col("_slice"))
+    raw = upto.join(sizes, "family").select(
+        "*", (F.col("p") * F.col("m") / F.col("upto")).alias("raw"), (-F.col("p")).alias("descending")
     )
-    adjusted = running(
-        raw, key, ["descending"], -F.col("raw"), "negated", how="max",
-        chunk=-F.floor(F.col("p") * buckets).cast("bigint"),
-    ).withColumn("p_adjusted", F.least(F.lit(1.0), -F.col("negated")))
-    return adjusted.select(
-        "family", "test_id", "p", "rank", "p_adjusted", (F.col("p_adjusted") <= q).alias("significant")
+    lowest = running(raw, ["family"], ["descending"], -F.col("raw"), "negated", how="max", chunk=-F.col("_slice"))
+    adjusted = lowest.select(
+        "family", "p", (F.col("upto") - F.col("ties")).alias("before"), F.least(F.lit(1.0), -F.col("negated")).alias("p_adjusted")
+    )
+    ranked = tie_ranks(tests, ["family", "p"], "test_id", "among", rows_a_slice)
+    return ranked.join(adjusted, ["family", "p"]).select(
+        "family",
+        "test_id",
+        "p",
+        (F.col("before") + F.col("among")).alias("rank"),
+        "p_adjusted",
+        (F.col("p_adjusted") <= q).alias("significant"),
     )
 
 

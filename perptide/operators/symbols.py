@@ -8,13 +8,16 @@ size the same plan runs as a shuffled join that adaptive execution can split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from perptide.operators.asof import FOREVER, FOREVER_AGO, lookup
+from perptide.operators.history import scd2_history
+
 DEFAULT_INTERVAL_H = {"binance": 8, "hyperliquid": 1}
 
 
-def symbol_dimension(instruments: DataFrame, quote_asset: str = "USDT") -> DataFrame:
+def symbol_dimension(instruments: DataFrame, quote_asset: str = "USDT", *extra: str) -> DataFrame:
     """(venue, venue_symbol) to (symbol, mult, funding_interval_h).
 
     Contracts of venue ``binance`` are narrowed to one quote asset so that a coin
@@ -29,6 +32,7 @@ def symbol_dimension(instruments: DataFrame, quote_asset: str = "USDT") -> DataF
         "symbol",
         "mult",
         F.coalesce(F.col("funding_interval_h"), fallback).alias("funding_interval_h"),
+        *extra,
     )
 
 
@@ -64,9 +68,40 @@ def one_to_one(dim: DataFrame) -> DataFrame:
     ).drop("conflicts")
 
 
+def symbol_history(lists: DataFrame, quote_asset: str = "USDT") -> DataFrame:
+    """The dimension as segments of time, from every contract list (with ``ts``) instead of the newest.
+
+    A name means what the last list not after the observation says that has it; before the first such list,
+    what that one says. So a delisted contract keeps its meaning for late rows.
+    """
+    attributes = ["symbol", "mult", "funding_interval_h"]
+    versions = scd2_history(
+        symbol_dimension(lists.select("venue", "venue_symbol", *attributes, "ts"), quote_asset, "ts"),
+        ["venue", "venue_symbol"], attributes, ["venue"],
+        instants=lists.select("venue", "ts"),
+    )
+    # As many rows per contract as its versions.
+    by_start = Window.partitionBy("venue", "venue_symbol").orderBy("valid_from")
+    start = F.unix_micros("valid_from")
+    return versions.select(
+        "venue",
+        "venue_symbol",
+        *attributes,
+        F.when(F.row_number().over(by_start) == 1, FOREVER_AGO).otherwise(start).alias("seg_from_us"),
+        F.lead(start, 1, FOREVER).over(by_start).alias("seg_to_us"),
+    )
+
+
 def resolve(entries: DataFrame, dim: DataFrame) -> DataFrame:
-    """Venue names to unified names; entries nobody has mapped are left out."""
-    return entries.join(dim, ["venue", "venue_symbol"], "inner")
+    """Venue names to unified names; entries nobody has mapped are left out.
+
+    Against a history of the dimension a name is read as of the entry's ``ts_ms``.
+    """
+    if "seg_from_us" not in dim.columns:
+        return entries.join(dim, ["venue", "venue_symbol"], "inner")
+    values = ["symbol", "mult", "funding_interval_h"]
+    at = F.col("ts_ms") * F.lit(1000)
+    return lookup(entries, dim, ["venue", "venue_symbol"], at, values).filter(F.col("symbol").isNotNull())
 
 
 def to_venue(df: DataFrame, dim: DataFrame) -> DataFrame:

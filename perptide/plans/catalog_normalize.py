@@ -122,6 +122,33 @@ def n5(spark, sf_dir):
     return stage_out(NB.funding_rate(P.funding_rate(spark, sf_dir), P.dimension(spark, sf_dir)))
 
 
+#: The interval of a contract as the last list not after the event says, or the first list that has it.
+INTERVAL_AT = """
+il AS (
+  SELECT DISTINCT sym_no, k, T0 + k * 600000 AS list_ms,
+    CASE WHEN sym_no = 3 AND CAST(floor(k / 4) AS BIGINT) % 2 = 0 THEN 4 WHEN sym_no = 1 AND k % 9 < 3 THEN 1 ELSE 8 END AS h
+  FROM (SELECT sym_no, CAST(floor((obs_ms - T0) / 600000) AS BIGINT) AS k FROM ev WHERE venue = 'binance')
+  WHERE NOT (sym_no = 4 AND k % 5 = 2)),
+ah AS (
+  SELECT e.event_id, coalesce(arg_max(il.h, il.list_ms) FILTER (il.list_ms <= e.obs_ms), arg_min(il.h, il.list_ms)) AS h
+  FROM ev e JOIN il ON il.sym_no = e.sym_no WHERE e.venue = 'binance' GROUP BY e.event_id)""".replace("T0", str(bridge.T0))
+
+
+@query(
+    "n5_settled_funding_as_of",
+    "WITH out AS (" + _stage_sql(
+        "venue = 'binance' AND event_type = 'signup'", source="binance_rest_funding_rate",
+        ingest=_block(), keep=KNOWN, funding_rate=RATE, funding_interval_h="-event_id",
+        grid_s="0", obs_fast_ms="obs_ms", backfilled="true",
+    ) + "), " + B.EV + "," + INTERVAL_AT + """
+SELECT out.* REPLACE (CAST(h AS BIGINT) AS funding_interval_h, CAST(h * 3600 AS BIGINT) AS grid_s)
+FROM out JOIN ah ON ah.event_id = -out.funding_interval_h""",
+)
+def n5_as_of(spark, sf_dir):
+    """Each settlement with the interval of its own time, from lists in which intervals change."""
+    return stage_out(NB.funding_rate(P.funding_rate(spark, sf_dir), P.symbol_history(spark, sf_dir)))
+
+
 @query(
     "n6_open_interest",
     _stage_sql(
@@ -370,6 +397,24 @@ def j1(spark, sf_dir):
     )
 
 
+@query(
+    "j1_venue_name_as_of",
+    B.with_ctes(B.EV, B.INSTRUMENTS) + """, p AS (
+  SELECT event_id, venue, symbol || CASE WHEN venue = 'binance' THEN 'USDT' ELSE '' END AS venue_symbol, obs_ms FROM ev)
+SELECT p.event_id, any_value(r.symbol) AS unified,
+  CAST(coalesce(arg_max(r.mult, r.ts_ms) FILTER (r.ts_ms <= p.obs_ms), arg_min(r.mult, r.ts_ms)) AS BIGINT) AS mult
+FROM p JOIN inst_rows r ON r.venue = p.venue AND r.venue_symbol = p.venue_symbol GROUP BY p.event_id""",
+)
+def j1_as_of(spark, sf_dir):
+    """Names read by the list of their time; one contract changes its multiplier again and again."""
+    name = F.concat(F.col("symbol"), F.when(F.col("venue") == "binance", "USDT").otherwise(""))
+    entries = bridge.events(spark, sf_dir).select(
+        "event_id", "venue", name.alias("venue_symbol"), F.col("obs_ms").alias("ts_ms")
+    )
+    history = symbols.symbol_history(bridge.instrument_snapshots(spark, sf_dir))
+    return symbols.resolve(entries, history).select("event_id", F.col("symbol").alias("unified"), big("mult"))
+
+
 @query(
     "j2_unified_name_to_venue",
     BASE + """

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from perptide.operators import normalize_binance as NB
 from perptide.operators import normalize_hyperliquid as NH
 from perptide.operators.symbols import symbol_dimension
+from perptide.operators.symbols import symbol_history as history_of
 from perptide.plans import bridge
 
 PER_DOCUMENT = 50  # entries of one response document
@@ -193,6 +194,30 @@ def lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("ts", F.timestamp_millis("ts_ms"))
 
 
+def interval_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An interval list with each contract list of venue 1; two contracts change their interval now and then."""
+    hours = (
+        F.when((F.col("sym_no") == 3) & (F.floor(F.col("k") / 4) % 2 == 0), 4)
+        .when((F.col("sym_no") == 1) & (F.col("k") % 9 < 3), 1)
+    )
+    entry = F.struct(F.concat("symbol", F.lit("USDT")).alias("symbol"), hours.alias("fundingIntervalHours"))
+    listed = _listing(spark, sf_dir, "binance").groupBy("observed_ms").agg(
+        F.collect_list(F.when(hours.isNotNull(), entry)).alias("entries")
+    )
+    return raw(listed, "binance", "funding_info", F.to_json("entries"))
+
+
+def symbol_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The symbol dimension over time, from every contract and interval list of both venues."""
+    def build() -> DataFrame:
+        first, second = list_documents(spark, sf_dir)
+        both = first.unionByName(interval_documents(spark, sf_dir))
+        rows = NB.instruments(both).unionByName(NH.instruments(second))
+        return history_of(rows.withColumn("ts", F.timestamp_millis("ts_ms")))
+
+    return bridge.stored(spark, sf_dir, "symbol-history", build)
+
+
 def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = exchange_info(spark, sf_dir).unionByName(funding_info(spark, sf_dir))
     return NB.instruments(both).unionByName(NH.instruments(meta(spark, sf_dir)))
