@@ -202,6 +202,17 @@ def touched_minutes(backfill_stage: DataFrame) -> DataFrame:
     )
 
 
+def touched_scopes(backfill_stage: DataFrame) -> DataFrame:
+    """(scope, from_ts, to_ts) of each series that a backfill batch makes stale, month by month."""
+    ts = C.epoch_ms(F.col("ts_ms"))
+    return (
+        backfill_stage.filter("backfilled")
+        .groupBy(C.scope(F.col("venue"), F.col("symbol")).alias("scope"), C.month_of(ts).alias("month"))
+        .agg(F.min(C.minute(ts)).alias("from_ts"), F.max(C.minute(ts)).alias("to_ts"))
+        .drop("month")
+    )
+
+
 def recompute(
     stored: DataFrame, market: DataFrame, segments: DataFrame, touched: DataFrame
 ) -> DataFrame:

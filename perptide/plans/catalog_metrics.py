@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
 from perptide.operators import divergence as D
@@ -13,6 +16,9 @@ from perptide.plans import bridge_sql as B
 from perptide.plans import payloads as P
 from perptide.plans.common import big, market, ms, r6
 from perptide.plans.registry import Registry
+from perptide.session import checkpoint_dir
+from perptide.sources.materialize import materialized
+from perptide.sources.point_store import PointStore, day_of
 
 query = Registry()
 DAY = 86_400_000
@@ -21,6 +27,10 @@ AS_OF = T0 + DAY // 2  # end of the compressed axis
 RAW_AS_OF = T0 + 20 * DAY
 
 
+def instant(instant_ms: int) -> dt.datetime:
+    return dt.datetime.fromtimestamp(instant_ms / 1000, dt.UTC)
+
+
 def at(instant_ms: int):
     return F.timestamp_millis(F.lit(instant_ms))
 
@@ -140,6 +150,54 @@ def d2_window(spark, sf_dir):
     return pctl_out(D.percentiles(raw_points(spark, sf_dir), at(RAW_AS_OF), window_days=10))
 
 
+def point_store(spark, points):
+    store = PointStore(spark, f"{checkpoint_dir(spark)}/points-{uuid.uuid4().hex}")
+    store.write_days(points)
+    return store
+
+
+@query(
+    "d2_percentiles_from_day_counts",
+    B.with_ctes(*RAW_MARKET, MARKET_POINTS, pctl_sql("mpt", RAW_AS_OF, 10))
+    + f"SELECT {PCTL_COLUMNS} FROM pctl",
+)
+def d2_days(spark, sf_dir):
+    """The same window from stored counts of its whole days and points of the days at its ends."""
+    return pctl_out(point_store(spark, raw_points(spark, sf_dir)).percentiles(instant(RAW_AS_OF), 10))
+
+
+@query(
+    "u5_percentiles_after_backfill",
+    B.with_ctes(*RAW_MARKET, MARKET_POINTS, pctl_sql("mpt", RAW_AS_OF, 10))
+    + f"SELECT {PCTL_COLUMNS} FROM pctl",
+)
+def u5_percentiles(spark, sf_dir):
+    """Percentiles of the live rows, then all backfill: its days are rewritten, the series it touched counted anew."""
+    stage, seg = bridge.stage(spark, sf_dir, "raw_ms"), bridge.segments(spark, sf_dir)
+    live = merge.replay_live(stage.filter("NOT backfilled"), seg)
+    store = point_store(spark, D.market_points(live, POINT_COLUMNS))
+    before = store.percentiles(instant(RAW_AS_OF), 10)
+    stored = materialized(before)
+    touched = D.touched_scopes(stage)
+    days = sorted(r["day"] for r in stage.filter("backfilled").select(day_of(F.timestamp_millis("ts_ms")).alias("day")).distinct().collect())
+    after = market(spark, sf_dir, "raw_ms").filter(day_of("ts").isin(*days))
+    store.write_days(D.market_points(after, POINT_COLUMNS))
+    return pctl_out(store.refreshed(stored, touched, instant(RAW_AS_OF), 10))
+
+
+@query(
+    "s8_expiry_of_stored_days",
+    B.with_ctes(*RAW_MARKET, MARKET_POINTS) + f"""
+SELECT strftime(make_timestamp(ts * 1000), '%Y%m%d') AS day, count(*) AS rows FROM mpt
+WHERE value IS NOT NULL AND ts >= {RAW_AS_OF} - 5 * {DAY} GROUP BY 1""",
+)
+def s8_stored(spark, sf_dir):
+    """A stored table after the days before the last five have expired."""
+    store = point_store(spark, raw_points(spark, sf_dir))
+    store.expire(instant(RAW_AS_OF - 5 * DAY).strftime("%Y%m%d"))
+    return store.points().groupBy("day").agg(F.count("*").alias("rows"))
+
+
 def coverage_sql(points: str, as_of: int) -> str:
     return f"""
 cov AS (
