@@ -6,8 +6,10 @@ through the same expressions. Looked up are the whole document and each of its l
 the latter as a text of its own. Built-in functions only; nothing but digests is shuffled,
 and the known texts are broadcast by Spark as long as they stay small.
 
-Spellings are many passes over a text, so they run only where the first and the last word of
-its normal form are those of a known text; a text of other ends cannot equal one.
+A text of other ends than those of a known text cannot equal one. So a short piece of its start
+decides first: where no copyright mark stands in a text its normal form starts with its first
+words, and only texts that start as a known one, or hold a copyright mark, are normalised
+as a whole. Spellings, many passes over a text, run only where the last word fits as well.
 
 Defined results
 * NULL and blank texts, and texts that hold nothing but copyright lines, match nothing.
@@ -30,6 +32,9 @@ COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]
 COPYRIGHT_MARKS = ("copyright", "(c)", "©", "all rights reserved")
 #: ASCII marks, dashes, quotes and the no-break space.
 PUNCTUATION = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F‐‑‒–—‘’“” ]+"
+FIRST_WORDS = f"^(?:{PUNCTUATION})?({PUNCTUATION.replace('[', '[^', 1)}(?:{PUNCTUATION}{PUNCTUATION.replace('[', '[^', 1)})?)"
+#: Stands for the first word where it is not known yet; no word holds a space.
+UNKNOWN_START = " "
 
 
 def plain(text: Column) -> Column:
@@ -53,6 +58,14 @@ def ends(words: Column) -> tuple[Column, Column]:
     return F.substring_index(first, " ", 1), F.substring_index(last, " ", -1)
 
 
+def beginning(text: Column) -> Column:
+    """First word of the normal form, from the first two words alone; NULL where a copyright mark may hide it."""
+    low = F.lower(text)
+    marked = reduce(lambda a, b: a | b, [F.contains(low, F.lit(m)) for m in COPYRIGHT_MARKS])
+    head = F.regexp_replace(F.regexp_extract(low, FIRST_WORDS, 1), PUNCTUATION, " ")
+    return F.when(~marked, F.substring_index(spelled(head), " ", 1))
+
+
 def known_digests(spark: SparkSession, texts: tuple = KNOWN_TEXTS) -> DataFrame:
     """(license, digest, first, last), one row per digest; stored, so that Spark knows how small it is."""
     frame = spark.createDataFrame(list(texts), "license string, text string").withColumn("plain", plain(F.col("text")))
@@ -71,12 +84,17 @@ def matched(texts: DataFrame, known: DataFrame) -> DataFrame:
     Keys are never NULL and nothing is filtered by the normal form, so Spark infers no condition
     that would compute it a second time below the projection. No known text has an empty end.
     """
-    words = texts.withColumn("body", plain(F.col("body")))
+    spark = texts.sparkSession
+    starts = known.select("first").union(spark.range(1).select(F.lit(UNKNOWN_START))).distinct()
+    begun = texts.withColumn("first", F.coalesce(beginning(F.col("body")), F.lit(UNKNOWN_START)))
+    started = begun.where(F.col("body").isNotNull()).join(F.broadcast(starts), "first", "left_semi").drop("first")
+    words = started.withColumn("body", plain(F.col("body")))
     first, last = (F.coalesce(x, F.lit("")) for x in ends(F.col("body")))
     likely = words.withColumns({"first": first, "last": last}).join(
         known.select("first", "last").distinct(), ["first", "last"], "left_semi"
     )
-    digests = likely.withColumn("digest", F.sha2(spelled(F.col("body")), 256)).drop("body", "first", "last")
+    digest = F.coalesce(F.sha2(spelled(F.col("body")), 256), F.lit(""))
+    digests = likely.withColumn("digest", digest).drop("body", "first", "last")
     return digests.join(known.select("digest", "license"), "digest").drop("digest")
 
 
