@@ -126,33 +126,56 @@ def examples(
     )
 
 
-def _learner(start):
-    """One learner's run over its share, from the broadcast state."""
+_STATE = "shard int, slots binary, z binary, n binary"
 
-    def run(table: pa.Table) -> pa.Table:
-        z, n = start.value
-        own, tokens = Ftrl(z.copy(), n.copy()), _Tokens()
-        table = table.sort_by("at")
-        for text, label in zip(bytes_of(table["text"]), table["label"].to_pylist(), strict=True):
-            own.learn(*features(text, tokens), label)
-        return pa.table({"z": [own.z.tobytes()], "n": [own.n.tobytes()]})
 
-    return run
+def _state_of(rows: pa.Table) -> Ftrl:
+    """The mean of the states in ``rows``; slots that a state does not list are zero in it."""
+    mean = Ftrl.empty()
+    for slots, z, n in zip(*(rows[c].to_pylist() for c in ("slots", "z", "n")), strict=True):
+        at = np.frombuffer(slots, np.int32)
+        mean.z[at] += np.frombuffer(z) / rows.num_rows
+        mean.n[at] += np.frombuffer(n) / rows.num_rows
+    return mean
+
+
+def _touched(state: Ftrl, shard: int) -> pa.Table:
+    """The state's slots that an example has touched, as one row."""
+    at = np.flatnonzero(state.n).astype(np.int32)
+    columns = [pa.array([x.tobytes()], pa.binary()) for x in (at, state.z[at], state.n[at])]
+    return pa.table([pa.array([shard], pa.int32()), *columns], names=["shard", "slots", "z", "n"])
+
+
+def _learn(key, examples: pa.Table, start: pa.Table) -> pa.Table:
+    """One learner's run over its share, from the state of the round before."""
+    if not examples.num_rows:
+        return start.slice(0, 0)
+    own, tokens = _state_of(start), _Tokens()
+    examples = examples.sort_by("at")
+    for text, label in zip(bytes_of(examples["text"]), examples["label"].to_pylist(), strict=True):
+        own.learn(*features(text, tokens), label)
+    return _touched(own, key[0].as_py())
+
+
+def _mean(states: pa.Table) -> pa.Table:
+    return _touched(_state_of(states), 0)
 
 
 def train(rows: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights learned from ``examples``. What returns to the driver is ``SHARDS`` states of fixed size."""
-    context = rows.sparkSession.sparkContext
+    """Weights learned from ``examples``.
+
+    States stay on the cluster: a round's ``SHARDS`` states, of fixed size, are averaged in one task,
+    and the stored mean starts the next round. The driver gets the last mean only.
+    """
+    spark = rows.sparkSession
     stored = materialized(rows)
-    state = Ftrl.empty()
+    every = F.explode(F.array(*map(F.lit, range(SHARDS)))).alias("shard")
+    mean = spark.createDataFrame([], _STATE)
     for _ in range(rounds):
-        start = context.broadcast((state.z, state.n))
-
-        states = stored.groupBy("shard").applyInArrow(_learner(start), "z binary, n binary").collect()
-        if not states:
-            break
-        state = Ftrl(*(np.mean([np.frombuffer(s[k]) for s in states], axis=0) for k in ("z", "n")))
-    return state.weights()
+        start = mean.select(every, "slots", "z", "n").groupBy("shard")
+        states = stored.groupBy("shard").cogroup(start).applyInArrow(_learn, _STATE)
+        mean = materialized(states.groupBy().applyInArrow(_mean, _STATE))
+    return _state_of(mean.toArrow()).weights()
 
 
 def scored(
