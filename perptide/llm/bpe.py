@@ -9,8 +9,8 @@ pairs picks the one, and following back-pointers from the end gives the ids. The
 linear in the bytes of a piece, for pieces of any length.
 
 Texts never leave their row: each batch is encoded where it is read, nothing is shuffled.
-A task holds the vocabulary and at most ``most`` pieces with their ids; long pieces are
-not held.
+A task holds the vocabulary, at most ``most`` pieces with their ids and twice as many tested
+pairs; long pieces are not held.
 
 Defined results
 * NULL and empty texts have no ids; no ids decode to the empty text.
@@ -77,7 +77,7 @@ class Vocabulary:
         self.own_parts = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.most = most
         self.held: dict[str, bytes] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # both ids in one number
         self._read(described["model"])
         self._added(described["added_tokens"])
 
@@ -125,9 +125,9 @@ class Vocabulary:
                 return True
 
     def _follows(self, left: int, right: int) -> bool:
-        if len(self.pairs) > 8 * self.most:
+        if len(self.pairs) > 2 * self.most:
             self.pairs.clear()
-        known = self.pairs[left, right] = self._apart(left, right)
+        known = self.pairs[left << 32 | right] = self._apart(left, right)
         return known
 
     def piece_ids(self, piece: bytes) -> list[int]:
@@ -139,7 +139,7 @@ class Vocabulary:
                 if end < size:
                     last[end] = token
                 elif (left := last[end - size]) >= 0:
-                    known = pairs.get((left, token))
+                    known = pairs.get(left << 32 | token)
                     if follows(left, token) if known is None else known:
                         last[end] = token
         out, at, bytes_of = [], len(piece) - 1, self.bytes_of
