@@ -35,7 +35,7 @@ from perptide.plans.registry import Registry
 from perptide.session import checkpoint_dir
 from perptide.sources import landed
 from perptide.sources.minute_store import MinuteStore
-from perptide.streaming import lanes
+from perptide.streaming import lanes, quarantine
 
 query = Registry()
 T0 = bridge.T0
@@ -635,6 +635,36 @@ def t1(spark, sf_dir):
     return _lane(spark, sf_dir, P.ws_mark_price(spark, sf_dir), "mark-frames", lanes.mark_price_lane)
 
 
+def _quarantine_lane(spark, sf_dir):
+    """Sound and faulty frames mixed in files, read in several batches."""
+    frames = P.ws_mark_price(spark, sf_dir).unionByName(P.bad_mark_frames(spark, sf_dir))
+    path = _landed(spark, frames.repartition(6), "mixed-frames")
+    store, refused = MinuteStore(spark, _folder(spark, "store")), _folder(spark, "quarantine")
+    stream = landed.stream_frames(spark, path, max_files_per_trigger=2)
+    quarantine.price_lane(
+        stream, P.dimension(spark, sf_dir), store, refused, _folder(spark, "progress"), "mark", available_now=True
+    ).awaitTermination()
+    return store, refused
+
+
+@query("t1_stream_among_faulty_frames", _lane_sql("n4_streamed_mark_frames"))
+def t1_faulty(spark, sf_dir):
+    """The sound rows land as if no faulty frame had come."""
+    store, _ = _quarantine_lane(spark, sf_dir)
+    return market_out(store.read(bridge.segments(spark, sf_dir)))
+
+
+@query(
+    "n19_quarantine_of_a_stream",
+    EVC + """SELECT max(obs_ms) AS observed_ms, ['frame_unreadable','name_missing','instant_unreadable',
+  'number_unreadable','mark_is_not_negative'][event_id // 50 % 5 + 1] AS reasons
+FROM ev WHERE venue = 'binance' AND event_type = 'view' GROUP BY event_id // 50""",
+)
+def n19_stream(spark, sf_dir):
+    _, refused = _quarantine_lane(spark, sf_dir)
+    return quarantine.quarantined(spark, refused).select("observed_ms", F.array_join("reasons", ",").alias("reasons"))
+
+
 @query("t2_mid_price_stream", _lane_sql("n17_all_mids_frames"))
 def t2(spark, sf_dir):
     return _lane(spark, sf_dir, P.ws_all_mids(spark, sf_dir), "mid-frames", lanes.mid_price_lane)

@@ -283,6 +283,28 @@ def ws_mark_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bad_mark_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One faulty frame beside each block of sound ones: cut off, nameless, without an instant, with a word
+    for a price, and with a price below zero."""
+    blocks = (
+        side(spark, sf_dir, "binance", "view")
+        .groupBy(F.floor(F.col("event_id") / F.lit(PER_DOCUMENT)).alias("block"))
+        .agg(F.max("obs_ms").alias("observed_ms"))
+    )
+    at = text(F.col("observed_ms"))
+    payload = F.element_at(
+        F.array(
+            F.lit('{"stream":"x","data":[{"E":'),
+            F.concat(F.lit('[{"p":"1","E":'), at, F.lit("}]")),
+            F.lit('{"s":"C1USDT","p":"1","E":"soon"}'),
+            F.concat(F.lit('{"stream":"x","data":[{"s":"C1USDT","p":"cheap","E":'), at, F.lit("}]}")),
+            F.concat(F.lit('[{"s":"C1USDT","p":"-5","E":'), at, F.lit("}]")),
+        ),
+        (F.col("block") % 5 + 1).cast("int"),
+    )
+    return raw(blocks, "binance", "ws_mark_price", payload)
+
+
 def funding_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.struct(
         binance_name().alias("symbol"),
