@@ -58,7 +58,8 @@ def judged_mark_frames(frames: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sound frames, quarantine) of streamed mark prices, entry by entry."""
     wanted = NB.unwrap_frames(NB.documents(frames, "ws_mark_price"))
     array = F.from_json("payload", f"array<{_TEXTS}>")
-    lone = F.when(F.ltrim("payload").startswith("{"), F.array(F.from_json("payload", _TEXTS)))
+    one = F.from_json("payload", _TEXTS)
+    lone = F.when(F.ltrim("payload").startswith("{") & one.isNotNull(), F.array(one))
     return _judged(wanted.withColumn("entries", F.coalesce(lone, array)), mark_entry_reasons, F.to_json)
 
 
