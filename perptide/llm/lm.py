@@ -55,8 +55,11 @@ BUCKETS = 64
 CELLS = 4
 EM_ROUNDS = 100
 
+#: Texts of about so many bytes are worked on at once.
+TEXT_BYTES = 1 << 23
 #: The end of a text as a token; no word holds white space.
-END_HASH = xxhash.xxh64_intdigest(b" ")
+END = b" "
+END_HASH = xxhash.xxh64_intdigest(END)
 #: The start of a text as a context.
 START_HASH = xxhash.xxh64_intdigest(b"\n")
 _U = np.uint64
@@ -116,22 +119,103 @@ class Words:
         """Pairs are numbered context * base + word."""
         return len(self.hashes) + 2
 
-    def find(self, h: int) -> int:
-        at = int(np.searchsorted(self.hashes, _U(h)))
-        return at if at < len(self.hashes) and int(self.hashes[at]) == h else self.rare
+    def classes_of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(hashes), self.rare)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, self.rare)
 
 
-class _Ids(WordHashes):
-    """Class of each word, remembered for a bounded number of words."""
+class _Ids(dict):
+    """Place of each word in this task's arrays of hashes and classes; a bounded number is remembered."""
 
-    def __init__(self, words: Words):
-        super().__init__(1 << 18)
-        self.words = words
+    def __init__(self, words: Words, most: int = 1 << 18):
+        super().__init__()
+        self.words, self.most = words, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.clear()
+        self.late: list[int] = []
+        self.hashes, self.classes = np.zeros(0, _U), np.zeros(0, np.int64)
 
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = self.words.find(xxhash.xxh64_intdigest(word))
+        value = self[word] = len(self)
+        self.late.append(xxhash.xxh64_intdigest(word))
         return value
 
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and classes of the words."""
+        if len(self) > self.most:
+            self._forget()
+        places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.late:
+            late = np.array(self.late, _U)
+            self.hashes = np.concatenate([self.hashes, late])
+            self.classes = np.concatenate([self.classes, self.words.classes_of(late)])
+            self.late = []
+        return self.hashes[places], self.classes[places]
+
+
+@dataclass
+class Tokens:
+    """The tokens of some texts one after the other, each text closed by its end, and what stands before each."""
+
+    words: Words
+    text: np.ndarray
+    sizes: np.ndarray
+    hashes: np.ndarray
+    classes: np.ndarray
+    hash_before: np.ndarray
+    class_before: np.ndarray
+
+    @staticmethod
+    def of(texts: list[bytes | None], ids: _Ids) -> Tokens:
+        split, sizes = [], np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            found = lowered_words(text)
+            split += found
+            split.append(END)
+            sizes[i] = len(found) + 1
+        hashes, classes = ids.of(split)
+        starts = np.cumsum(sizes) - sizes
+        hash_before, class_before = np.roll(hashes, 1), np.roll(classes, 1)
+        hash_before[starts], class_before[starts] = START_HASH, ids.words.start
+        text = np.repeat(np.arange(len(texts)), sizes)
+        return Tokens(ids.words, text, sizes, hashes, classes, hash_before, class_before)
+
+    @property
+    def bare(self) -> np.ndarray:
+        """Whether a token's word has no number, and whether the one before it has none."""
+        return np.stack([self.classes, self.class_before]) == self.words.rare
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs by number, and the text of each; open pairs are left out where they have names."""
+        keys = (self.class_before * self.words.base + self.classes).astype(_U)
+        if not self.words.open:
+            return keys, self.text
+        numbered = ~self.bare.any(axis=0)
+        return keys[numbered], self.text[numbered]
+
+    def open_pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Names of the open pairs, and the places of their tokens."""
+        at = np.flatnonzero(self.bare.any(axis=0))
+        return mixed(mixed(self.hash_before[at]) * _U(0x9E3779B97F4A7C15) + self.hashes[at]), at
+
+
+def _groups(batch: pa.RecordBatch, column: int, rows: int = 4096):
+    """Slices of a batch of at most ``rows`` rows and, but for a longer text, ``TEXT_BYTES``, with their texts."""
+    texts = bytes_of(batch.column(column))
+    start, taken = 0, 0
+    for i, text in enumerate(texts):
+        size = len(text or b"")
+        if i > start and (taken + size > TEXT_BYTES or i - start == rows):
+            yield batch.slice(start, i - start), texts[start:i]
+            start, taken = i, 0
+        taken += size
+    if texts:
+        yield batch.slice(start), texts[start:]
+
 
 def _summed(place: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
     """Sums of the weights by place; bincount alone gives whole numbers where nothing is summed."""
@@ -208,70 +292,44 @@ def contexts(words: Words, counts: DataFrame, rows: DataFrame, least: int) -> tu
     )
 
 
-def _classes(text: bytes | None, ids: _Ids, end: int) -> np.ndarray:
-    return np.append(ids.of(lowered_words(text)).astype(np.int64), end)
+def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (mixed(keys) % _U(parts)).astype(np.int64)
 
 
-def _pairs(classes: np.ndarray, words: Words) -> np.ndarray:
-    before = np.concatenate([[words.start], classes[:-1]])
-    keys = (before * words.base + classes).astype(_U)
-    return keys[(before != words.rare) & (classes != words.rare)] if words.open else keys
+def _dealt(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order by part (and as before within one), and the parts in that order."""
+    order = np.argsort(part.astype(np.min_scalar_type(parts)), kind="stable")
+    return order, part[order]
 
 
-def _open(text_words: list[bytes], classes: np.ndarray, words: Words) -> tuple[np.ndarray, ...]:
-    """Open pairs of a text: their names, and the words before and the words predicted, each as
-    (hash, or number of a numbered word) and whether it has no number."""
-    bare = classes == words.rare
-    touched = np.flatnonzero(bare | np.concatenate([[False], bare[:-1]]))
-    if not len(touched):
-        return tuple(np.zeros(0, t) for t in (_U, _U, bool, _U, bool))
-    hashes = np.append(words.hashes, _U([0, START_HASH]))[classes]
-    for k in np.flatnonzero(bare):
-        hashes[k] = xxhash.xxh64_intdigest(text_words[k]) if k < len(text_words) else END_HASH
-    before = np.concatenate([_U([START_HASH]), hashes[:-1]])[touched]
-    word = hashes[touched]
-    named = np.where(bare, hashes, classes.astype(_U))
-    return (
-        mixed(mixed(before) * _U(0x9E3779B97F4A7C15) + word),
-        np.concatenate([_U([words.start]), named[:-1]])[touched],
-        np.concatenate([[False], bare[:-1]])[touched],
-        named[touched],
-        bare[touched],
-    )
-
-
-def _dealt(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the keys by part (and as before within one), and the ends of the parts."""
-    part = (mixed(keys) % _U(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    return order, np.searchsorted(part[order], np.arange(parts + 1))
+def _cuts(dealt: np.ndarray, some: np.ndarray) -> list[slice]:
+    """Where each of the parts ``some`` stands in ``dealt``."""
+    return [slice(a, b) for a, b in zip(
+        np.searchsorted(dealt, some).tolist(), np.searchsorted(dealt, some, "right").tolist(), strict=True
+    )]
 
 
 def pair_counts(rows: DataFrame, words, parts: int) -> DataFrame:
     """(part, keys, main, held): the pairs of each part, sorted, with their counts, packed."""
 
     def gather(batches):
-        own = words.value
-        ids, end = _Ids(own), own.find(END_HASH)
+        ids = _Ids(words.value)
         for batch in batches:
-            keys = [
-                _pairs(_classes(t, ids, end), own) * _U(2) + _U(role == 2)
-                for t, role in zip(bytes_of(batch.column(0)), batch.column(1).to_pylist(), strict=True)
-            ]
-            if not keys:
-                continue
-            values, n = np.unique(np.concatenate(keys), return_counts=True)
-            order, ends = _dealt(values >> _U(1), parts)
-            values, n = values[order], n[order]
-            some = [p for p in range(parts) if ends[p] < ends[p + 1]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(some, pa.int32()),
-                    pa.array([pack_sorted(values[ends[p] : ends[p + 1]]) for p in some], pa.binary()),
-                    pa.array([pack(n[ends[p] : ends[p + 1]]) for p in some], pa.binary()),
-                ],
-                names=["part", "keys", "counts"],
-            )
+            for rows, texts in _groups(batch, 0):
+                keys, text = Tokens.of(texts, ids).pairs()
+                held = rows.column(1).to_numpy()[text] == 2
+                values, n = np.unique(keys * _U(2) + held.astype(_U), return_counts=True)
+                order, dealt = _dealt(_part_of(values >> _U(1), parts), parts)
+                values, n, some = values[order], n[order], np.unique(dealt)
+                cuts = _cuts(dealt, some)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(some, pa.int32()),
+                        pa.array([pack_sorted(values[c]) for c in cuts], pa.binary()),
+                        pa.array([pack(n[c]) for c in cuts], pa.binary()),
+                    ],
+                    names=["part", "keys", "counts"],
+                )
 
     def add(table: pa.Table) -> pa.Table:
         keys = np.concatenate([unpack_sorted(b) for b in table["keys"].to_pylist()])
@@ -295,27 +353,23 @@ def open_pairs(rows: DataFrame, counts: DataFrame, words, known, least: int) ->
     all documents, with the counts of their words. A pair that no training document holds counts 0."""
 
     def gather(batches):
-        own = words.value
-        ids, end = _Ids(own), own.find(END_HASH)
+        ids = _Ids(words.value)
         for batch in batches:
-            found, roles = [], []
-            for t, role in zip(bytes_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                split = lowered_words(t)
-                one = _open(split, np.append(ids.of(split).astype(np.int64), end), own)
-                if len(one[0]):
-                    found.append(one)
-                    roles.append(np.full(len(one[0]), role))
-            if not found:
-                continue
-            pair, before, before_open, word, word_open = (np.concatenate(c) for c in zip(*found, strict=True))
-            values, first, place = np.unique(pair, return_index=True, return_inverse=True)
-            role = np.concatenate(roles)
-            main, held = (np.bincount(place, role == r, len(values)).astype(np.int64) for r in (1, 2))
-            columns = {
-                "pair": values.view(np.int64), "before": before[first].view(np.int64), "before_open": before_open[first],
-                "word": word[first].view(np.int64), "word_open": word_open[first], "main": main, "held": held,
-            }
-            yield pa.RecordBatch.from_pydict(columns)
+            for rows, texts in _groups(batch, 0):
+                tokens = Tokens.of(texts, ids)
+                pair, at = tokens.open_pairs()
+                values, first, place = np.unique(pair, return_index=True, return_inverse=True)
+                role = rows.column(1).to_numpy()[tokens.text[at]]
+                main, held = (np.bincount(place, role == r, len(values)).astype(np.int64) for r in (1, 2))
+                at = at[first]
+                word_open, before_open = tokens.bare[:, at]
+                yield pa.RecordBatch.from_pydict({
+                    "pair": values.view(np.int64),
+                    "before": np.where(before_open, tokens.hash_before[at].view(np.int64), tokens.class_before[at]),
+                    "before_open": before_open,
+                    "word": np.where(word_open, tokens.hashes[at].view(np.int64), tokens.classes[at]),
+                    "word_open": word_open, "main": main, "held": held,
+                })
 
     fields = "pair long, before long, before_open boolean, word long, word_open boolean, main long, held long"
     found = rows.select("text", "role").mapInArrow(gather, fields)
@@ -481,52 +535,35 @@ def _asked(rows: DataFrame, scorer, parts: int) -> tuple[DataFrame, str]:
     def run(batches):
         own: Scorer = scorer.value
         words, task, number = own.words, TaskContext.get().partitionId(), 0
-        ids, end = _Ids(words), words.find(END_HASH)
+        ids = _Ids(words)
         for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                batch = whole.slice(at, 4096)
+            for batch, texts in _groups(whole, 1):
                 block, number = (task << 24) + number, number + 1
-                split = [lowered_words(t) for t in bytes_of(batch.column(1))]
-                classes = [np.append(ids.of(w).astype(np.int64), end) for w in split]
-                sizes = np.array([len(c) for c in classes], np.int64)
-                doc = np.repeat(np.arange(len(classes)), sizes)
-                flat = np.concatenate(classes) if classes else np.zeros(0, np.int64)
-                named = [_pairs(c, words) for c in classes]
-                keys = np.concatenate(named) if named else np.zeros(0, _U)
-                key_doc = np.repeat(np.arange(len(named)), [len(k) for k in named])
-                plain = flat < words.rare
-                base = _summed(doc[plain], own.base_log(own.total[flat[plain]]), len(sizes))
+                tokens = Tokens.of(texts, ids)
+                sizes, doc = tokens.sizes, tokens.text
+                keys, key_doc = tokens.pairs()
+                plain = tokens.classes < words.rare
+                base = _summed(doc[plain], own.base_log(own.total[tokens.classes[plain]]), len(sizes))
                 known = np.bincount(doc[plain], minlength=len(sizes))
-                late = [
-                    (xxhash.xxh64_intdigest(split[d][k]) if k < len(split[d]) else END_HASH, d)
-                    for d, c in enumerate(classes) for k in np.flatnonzero(c == words.rare)
-                ] if not words.open else []
-                opened = [_open(w, c, words)[0] for w, c in zip(split, classes, strict=True)] if words.open else []
-                open_doc = np.repeat(np.arange(len(opened)), [len(o) for o in opened])
-                opened = np.concatenate(opened) if opened else np.zeros(0, _U)
+                late = np.flatnonzero(~plain) if not words.open else np.zeros(0, np.int64)
+                rare, rare_doc = tokens.hashes[late], doc[late]
+                opened, open_at = tokens.open_pairs() if words.open else (np.zeros(0, _U), np.zeros(0, np.int64))
+                open_doc = doc[open_at]
                 spot = np.minimum(np.searchsorted(own.hot_keys, keys), max(len(own.hot_keys) - 1, 0))
                 hot = own.hot_keys[spot] == keys if len(own.hot_keys) else np.zeros(len(keys), bool)
                 score = _summed(key_doc[hot], own.logs(keys[hot], own.hot_counts[spot[hot]]), len(sizes))
-                # A pair and a document as one number: a batch holds fewer than 4096 documents.
+                # A pair and a document as one number: a group holds at most 4096 documents.
                 both, times = np.unique(np.stack([keys[~hot], key_doc[~hot].astype(_U)]), axis=1, return_counts=True) if (
                     words.base**2 >= 1 << 51
                 ) else _counted(keys[~hot], key_doc[~hot])
-                order, ends = _dealt(both[0], parts)
+                order, dealt = _dealt(_part_of(both[0], parts), parts)
                 both, times = both[:, order], times[order]
-                rare = np.array([h for h, _ in late], _U)
-                rare_doc = np.array([d for _, d in late], np.int64)
-                rare_part = rare.view(np.int64) % parts
-                rare_order = np.argsort(rare_part, kind="stable")
+                rare_order, rare_dealt = _dealt(rare.view(np.int64) % parts, parts)
                 rare, rare_doc = rare[rare_order], rare_doc[rare_order]
-                rare_ends = np.searchsorted(rare_part[rare_order], np.arange(parts + 1))
-                open_part = opened.view(np.int64) % parts
-                open_order = np.argsort(open_part, kind="stable")
+                open_order, open_dealt = _dealt(opened.view(np.int64) % parts, parts)
                 opened, open_doc = opened[open_order], open_doc[open_order]
-                open_ends = np.searchsorted(open_part[open_order], np.arange(parts + 1))
-                some = [p for p in range(parts) if any(e[p] < e[p + 1] for e in (ends, rare_ends, open_ends))]
-                cut = [slice(ends[p], ends[p + 1]) for p in some]
-                rare_cut = [slice(rare_ends[p], rare_ends[p + 1]) for p in some]
-                open_cut = [slice(open_ends[p], open_ends[p + 1]) for p in some]
+                some = np.unique(np.concatenate([dealt, rare_dealt, open_dealt]))
+                cut, rare_cut, open_cut = (_cuts(d, some) for d in (dealt, rare_dealt, open_dealt))
                 m = len(some)
                 asks = [
                     pa.array(some, pa.int32()), pa.array([block] * m, pa.int64()),
@@ -669,6 +706,9 @@ def scores(
     pairs = materialized(pair_counts(rows, shared, parts))
     opened = materialized(open_pairs(rows, counts, shared, shared_known, least)) if words.open else None
     grid = statistics(pairs, shared, shared_known, max(1, -(-tokens // hot_pairs)), opened).collect()
+    # Pairs are written, so nothing reads these again.
+    shared.destroy()
+    shared_known.destroy()
     hot = sorted((-1 - r["cell"], r["weight"]) for r in grid if r["cell"] < 0)
     mix = mixture([r for r in grid if r["cell"] >= 0], words.classes)
     own = Scorer(
