@@ -5,15 +5,18 @@
    Documents of one digest are one class from here on; classes are the nodes of the join.
 2. A second pass emits, per class, the tokens of the set's prefix: two sets that are alike share
    at least one token of their prefixes (size minus the least overlap, plus one, in one common
-   order of tokens). Frequent tokens come last in the order, so shared passages make no large
-   buckets. A bucket is the classes that emitted one token.
+   order of tokens). The order is rarest first by a sketch of token counts of fixed size, so
+   shared passages make no large buckets. A bucket is the classes that emitted one token.
 3. Stars: each class is compared with the bucket pivots that it meets most often. Verified links
    are joined to components. A group of near copies is settled here with a few links for each.
 4. Count-vector R-tree: a bucket that still holds several components is indexed. Its points are
    the count vectors, sorted by set size and cut into leaves; a leaf pair whose summed coordinate
    minima of the upper corners fall short of the least overlap is left out, then points pairwise
    by the minima of their own vectors, and only pairs across components survive.
-5. Survivors are verified with the whole sets, and components are joined once more.
+   Buckets of nearly the same classes go to one call, which names a pair once for all of them.
+5. Survivors are verified with the whole sets in rounds: each class tries its best partner in
+   another component, components are joined, and pairs inside one are dropped. Once a round
+   settles less than half of the pairs, all that are left are verified.
 
 No link between different sets is lost: the prefix filter, the size filter and the bound are all
 necessary conditions, and a pair inside one component needs no further link.
@@ -38,21 +41,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perptide.llm.common import WordHashes, bytes_of, fresh, left_by, lowered_words, materialized, mixed, numbered
+from perptide.llm.common import WordHashes, bytes_of, fresh, left_by, lowered_words, materialized, mixed, ordered_hash
 
 NGRAM = 5
 #: Links need 100 * overlap >= PERCENT * union.
 PERCENT = 80
 GROUPS = 64
-#: At most so many tokens count as frequent; the list is broadcast.
-HOT_TOKENS = 1 << 16
-#: A token is frequent when one class of so many holds it.
+#: Cells of the sketch of token counts; a token's cell is its first bits. The sketch is broadcast.
+CELL_BITS = 18
+#: A token is frequent when its cell counts one class of so many, and twice the mean of all cells.
 HOT_SHARE = 1 << 14
 #: Pivots of a bucket, each the first by an order of its own.
 PIVOTS = 3
 #: Points of a stored leaf, and of a node inside a task.
 LEAF = 1024
 INNER = 32
+#: Points that one call takes, and rows of pairs that it holds before it counts them.
+CALL_POINTS = 1 << 15
+HELD_PAIRS = 1 << 20
 
 _SET_FIELDS = "n long, hi long, lo long, vector array<int>"
 #: Bits of the filter that picks the documents whose sets are fetched, and tokens counted at once.
@@ -89,14 +95,15 @@ def least_overlap(a, b, percent: int = PERCENT):
 
 
 def _sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows of two kinds from one pass: documents (token NULL) and locally frequent tokens (count in n)."""
+    """Rows of two kinds from one pass: documents (token NULL) and cells of the sketch (cell in token, count in n)."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     names = ["doc_id", "text_key", "n", "hi", "lo", "vector", "token"]
     vectors = pa.list_(pa.int32())
 
     def run(batches):
-        hashes, seen, counts, held, waiting, kind = WordHashes(), set(), {}, [], 0, pa.int64()
+        hashes, seen, held, waiting, kind = WordHashes(), set(), [], 0, pa.int64()
+        counts = np.zeros(1 << CELL_BITS, np.int64)
         for batch in batches:
             kind = batch.schema.field(0).type
             facts, grouped = [], np.zeros((batch.num_rows, GROUPS), np.int32)
@@ -110,47 +117,40 @@ def _sets(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                     held.append(tokens)
                     waiting += len(tokens)
                     if waiting > FLUSH_TOKENS:
-                        _count_frequent(held, counts)
-                        waiting = 0
+                        counts += _cell_counts(held)
+                        held, waiting = [], 0
             n, hi, lo = (pa.array([f[k] for f in facts], pa.int64()) for k in range(3))
             ends = pa.array(np.arange(0, GROUPS * len(facts) + 1, GROUPS), pa.int32())
             vector = pa.ListArray.from_arrays(ends, pa.array(grouped.reshape(-1)))
             columns = [batch.column(0), batch.column(2), n, hi, lo, vector, pa.nulls(len(facts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
-        _count_frequent(held, counts)
-        m = len(counts)
-        token = pa.array(np.array(list(counts), np.uint64).view(np.int64))
-        none = [pa.nulls(m, pa.int64())] * 2
-        often = pa.array(list(counts.values()), pa.int64())
+        counts += _cell_counts(held)
+        cells = np.flatnonzero(counts)
+        m, none = len(cells), [pa.nulls(len(cells), pa.int64())] * 2
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(m, kind), pa.nulls(m, pa.int64()), often, *none, pa.nulls(m, vectors), token], names=names
+            [pa.nulls(m, kind), none[0], pa.array(counts[cells]), *none, pa.nulls(m, vectors), pa.array(cells)],
+            names=names,
         )
 
     source = docs.select(F.col(doc_id), F.col(text), F.xxhash64(F.col(text)))
     return source.mapInArrow(run, f"doc_id {kind}, text_key long, {_SET_FIELDS}, token long")
 
 
-def _count_frequent(held: list[np.ndarray], counts: dict[int, int]) -> None:
-    """Add the tokens that many of the sets ``held`` hold to ``counts``, and empty ``held``."""
-    if not held:
-        return
-    values, number = np.unique(np.concatenate(held), return_counts=True)
-    often = number > max(2, len(held) // (2 * HOT_SHARE))
-    for token, more in zip(values[often].tolist(), number[often].tolist(), strict=True):
-        counts[token] = counts.get(token, 0) + more
-    held.clear()
-    if len(counts) > 8 * HOT_TOKENS:
-        least = sorted(counts.values())[-4 * HOT_TOKENS]
-        for token in [t for t, c in counts.items() if c <= least]:
-            del counts[token]
+def _cell(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
-def _prefixes(docs: DataFrame, text: str, hot: np.ndarray) -> DataFrame:
-    """(token, node, hot) of the prefixes; each class once a task."""
-    frequent = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
+def _cell_counts(held: list[np.ndarray]) -> np.ndarray:
+    tokens = np.concatenate([np.zeros(0, np.uint64), *held])
+    return np.bincount(_cell(tokens), minlength=1 << CELL_BITS)
+
+
+def _prefixes(docs: DataFrame, text: str, counts: np.ndarray, hot: float) -> DataFrame:
+    """(token, node, hot) of the prefixes, rarest cells first; each class once a task."""
+    sketch = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
-        hashes, seen, last = WordHashes(), set(), frequent.value
+        hashes, seen, often = WordHashes(), set(), sketch.value
         for batch in batches:
             parts = []
             for body in bytes_of(batch.column(0)):
@@ -161,19 +161,16 @@ def _prefixes(docs: DataFrame, text: str, hot: np.ndarray) -> DataFrame:
                 if node in seen:
                     continue
                 seen.add(node)
-                late = _among(tokens, last)
-                take = prefix_length(len(tokens))
-                cold = tokens[~late][:take]
-                warm = tokens[late][: take - len(cold)]
-                parts.append((node, np.concatenate([cold, warm]), len(cold)))
+                held = often[_cell(tokens)]
+                first = np.argsort(held, kind="stable")[: prefix_length(len(tokens))]
+                parts.append((node, tokens[first], held[first] >= hot))
             if parts:
                 sizes = np.array([len(t) for _, t, _ in parts])
-                place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([t for _, t, _ in parts]).view(np.int64)),
                         pa.array(np.repeat(np.array([n for n, _, _ in parts], np.int64), sizes)),
-                        pa.array(place >= np.repeat(np.array([c for _, _, c in parts]), sizes)),
+                        pa.array(np.concatenate([h for _, _, h in parts])),
                     ],
                     names=["token", "node", "hot"],
                 )
@@ -181,13 +178,6 @@ def _prefixes(docs: DataFrame, text: str, hot: np.ndarray) -> DataFrame:
     return docs.select(F.col(text)).mapInArrow(run, "token long, node long, hot boolean")
 
 
-def _among(tokens: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(tokens), bool)
-    at = np.minimum(np.searchsorted(ordered, tokens), len(ordered) - 1)
-    return ordered[at] == tokens
-
-
 def _filter(wanted: DataFrame) -> np.ndarray:
     """A bitmap of fixed size that holds the hash of every row in ``wanted`` (column row)."""
     spot = F.pmod(F.col("row"), F.lit(FILTER_BITS))
@@ -327,58 +317,85 @@ def _survivors(x: dict, y: dict | None, percent: int) -> tuple[np.ndarray, np.nd
 
 
 def rtree_pairs(points: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b), distinct: pairs of ``points`` (token, node, n, label, vector) that share a token, lie in
+    """(a, b, shared), distinct: pairs of ``points`` (token, node, n, label, vector) that share a token, lie in
     different components and pass the bounds, also that of the tokens which their prefixes share:
-    ``points`` must hold every prefix token of two components. Leaves hold ``LEAF`` points of one
-    token by size."""
-    points = materialized(points)
-    amount = points.groupBy("token").agg(F.count("*").alias("points"))
-    large = amount.where(F.col("points") > LEAF)
-    small = points.join(large, "token", "left_anti").select("token", "node", "n", "label", "vector")
-    many = numbered(_by_size(points.join(large.select("token"), "token", "left_semi")), "place", ["token", "cell"], ["node"])
-    many = many.withColumn("leaf", F.col("cell") * (1 << 32) + F.floor(F.col("place") / LEAF)).drop("place", "cell")
-    leaves = materialized(many)
+    ``points`` must hold every prefix token of two components. A bucket of more than ``LEAF`` points is
+    cut into leaves of about so many by size and by hash of the node, so leaves of buckets alike are alike."""
+    points, mark = materialized(points), ordered_hash(F.col("node"))
+    amount = points.groupBy("token").agg(F.count("*").alias("points"), F.min(mark).alias("key"))
+    amount = materialized(amount)
+    small = amount.where(F.col("points") <= LEAF)
+    whole = points.join(_dealt(small, ["token"]), "token").withColumn("unit", F.lit(0).cast("long"))
+
+    many = _by_size(points.join(amount.where(F.col("points") > LEAF).select("token"), "token", "left_semi"))
+    cells = many.groupBy("token", "cell").agg(F.count("*").alias("points"))
+    leaf = F.col("cell") * (1 << 32) + F.floor(mark / F.lit(float(1 << 62)) * F.col("leaves"))
+    leaves = cells.withColumn("leaves", F.pow(F.lit(2), F.ceil(F.log2(F.col("points") / LEAF))))
+    leaves = many.join(leaves.drop("points"), ["token", "cell"]).withColumn("leaf", leaf.cast("long"))
+    leaves = materialized(leaves.drop("cell", "leaves"))
     corners = leaves.groupBy("token", "leaf").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"),
+        F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("points"), F.min(mark).alias("key"),
         F.array(*[F.max(F.col("vector")[k]) for k in range(GROUPS)]).alias("corner"),
     )
     corners = materialized(corners)
-    first, second = (corners.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("leaf", "low", "high", "corner")]) for k in "ab")
+    kinds = ("leaf", "low", "high", "corner", "points", "key")
+    first, second = (corners.select("token", *[F.col(c).alias(f"{c}_{k}") for c in kinds]) for k in "ab")
     fits = (
         (F.col("leaf_a") <= F.col("leaf_b"))
         & (F.least("high_a", "high_b") * 100 >= F.greatest("low_a", "low_b") * percent)
         & (_bound("corner_a", "corner_b") * (100 + percent) >= (F.col("low_a") + F.col("low_b")) * percent)
     )
-    pairs = first.join(second, "token").where(fits).select("token", "leaf_a", "leaf_b")
-    sides = pairs.select("token", "leaf_a", "leaf_b", F.explode(F.array_distinct(F.array("leaf_a", "leaf_b"))).alias("leaf"))
-    dealt = sides.join(leaves, ["token", "leaf"])
-
-    def between(table: pa.Table) -> pa.Table:
-        columns = _columns(table.sort_by([("leaf", "ascending"), ("n", "ascending")]))
-        sides = [{c: v[columns["leaf"] == k] for c, v in columns.items()} for k in np.unique(columns["leaf"])]
-        r, s = _survivors(sides[0], sides[1] if len(sides) > 1 else None, percent)
-        return _counted([_ends(sides[0], r, sides[-1], s)])
-
-    def inside(table: pa.Table) -> pa.Table:
-        columns = _columns(table.sort_by([("token", "ascending"), ("n", "ascending")]))
-        ends = np.append(np.flatnonzero(np.diff(columns["token"], prepend=columns["token"][:1] - 1)), table.num_rows)
-        found = []
+    pairs = first.join(second, "token").where(fits).select(
+        "token", "leaf_a", "leaf_b", F.xxhash64("key_a", "key_b").alias("key"),
+        (F.col("points_a") + F.col("points_b")).alias("points"),
+    )
+    pairs = _dealt(materialized(pairs), ["token", "leaf_a", "leaf_b"])
+    unit = F.xxhash64("token", "leaf_a", "leaf_b").alias("unit")
+    sides = pairs.select("token", "call", unit, F.explode(F.array_distinct(F.array("leaf_a", "leaf_b"))).alias("leaf"))
+    across = sides.join(leaves, ["token", "leaf"])
+
+    def met(table: pa.Table) -> pa.Table:
+        columns = _columns(table.sort_by([(c, "ascending") for c in ("unit", "token", "leaf", "n")]))
+        edge = (np.diff(columns["unit"], prepend=0) != 0) | (np.diff(columns["token"], prepend=0) != 0)
+        edge[:1] = True
+        ends = np.append(np.flatnonzero(edge), table.num_rows)
+        leaf, found = columns["leaf"], [np.zeros((0, 5), np.int64)]
+        columns = {c: columns[c] for c in ("label", "node", "n", "vector")}
         for start, end in zip(ends[:-1], ends[1:], strict=True):
-            if columns["label"][start:end].min() < columns["label"][start:end].max():
-                one = {c: v[start:end] for c, v in columns.items()}
-                r, s = _survivors(one, None, percent)
-                found.append(_ends(one, r, one, s))
-        return _counted(found)
-
-    # Buckets of one leaf need no corner; many of them share a task's call.
-    calls = max(64, points.count() // (1 << 15))
-    schema = "a long, b long, n_a long, n_b long, shared long"
-    whole = small.withColumn("call", F.pmod(F.xxhash64("token"), F.lit(calls))).groupBy("call").applyInArrow(inside, schema)
-    across = dealt.groupBy("token", "leaf_a", "leaf_b").applyInArrow(between, schema)
-    met = whole.unionByName(across).groupBy("a", "b").agg(
+            one = {c: v[start:end] for c, v in columns.items()}
+            if one["label"].min() == one["label"].max():
+                continue
+            x, y = one, None
+            if leaf[start] != leaf[end - 1]:
+                cut = int(np.searchsorted(leaf[start:end], leaf[end - 1]))
+                x, y = ({c: v[k] for c, v in one.items()} for k in (slice(0, cut), slice(cut, None)))
+            r, s = _survivors(x, y, percent)
+            found.append(_ends(x, r, x if y is None else y, s))
+            if sum(map(len, found[1:])) > HELD_PAIRS:
+                found = [_counted(found)]
+        names = ("a", "b", "n_a", "n_b", "shared")
+        return pa.table(dict(zip(names, np.ascontiguousarray(_counted(found).T), strict=True)))
+
+    # One leaf, or one pair of leaves, is a unit; units of one key are of nearly the same classes.
+    fields = ["call", "unit", "token", "leaf", "node", "n", "label", "vector"]
+    dealt = whole.withColumn("leaf", F.lit(0).cast("long")).select(fields).unionByName(across.select(fields))
+    named = dealt.groupBy("call").applyInArrow(met, "a long, b long, n_a long, n_b long, shared long")
+    named = named.groupBy("a", "b").agg(
         F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b"), F.sum("shared").alias("shared")
     )
-    return met.where(_prefix_bound(percent) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent).select("a", "b")
+    fits = _prefix_bound(percent) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    return named.where(fits).select("a", "b", "shared")
+
+
+def _dealt(units: DataFrame, names: list[str]) -> DataFrame:
+    """``names`` of the units (with key and points) and their call: units of one key share it until it holds
+    ``CALL_POINTS`` points; keys of few points share calls."""
+    heavy = units.groupBy("key").agg(F.sum("points").alias("all"))
+    total = heavy.agg(F.sum("all")).first()[0] or 0
+    calls = max(64, 2 * total // CALL_POINTS)
+    piece = F.pmod(F.xxhash64(*names), F.ceil(F.col("all") / CALL_POINTS))
+    call = F.when(F.col("all") <= CALL_POINTS // 4, F.pmod(F.xxhash64("key"), F.lit(calls)))
+    return units.join(heavy, "key").select(*names, call.otherwise(F.xxhash64("key", piece)).alias("call"))
 
 
 def _prefix_bound(percent: int):
@@ -395,18 +412,24 @@ def _prefix_bound(percent: int):
 
 
 def _ends(x: dict, r: np.ndarray, y: dict, s: np.ndarray) -> np.ndarray:
-    """Rows (a, b, n_a, n_b) of the pairs, the smaller node first; a node never meets itself."""
-    rows = np.stack([x["node"][r], y["node"][s], x["n"][r], y["n"][s]], axis=1).astype(np.int64)
+    """Rows (a, b, n_a, n_b, 1) of the pairs, the smaller node first; a node never meets itself."""
+    ones = np.ones(len(r), np.int64)
+    rows = np.stack([x["node"][r], y["node"][s], x["n"][r], y["n"][s], ones], axis=1).astype(np.int64)
     swap = rows[:, 0] > rows[:, 1]
-    rows[swap] = rows[swap][:, [1, 0, 3, 2]]
+    rows[swap] = rows[swap][:, [1, 0, 3, 2, 4]]
     return rows[rows[:, 0] < rows[:, 1]]
 
 
-def _counted(found: list[np.ndarray]) -> pa.Table:
-    rows = np.concatenate([np.zeros((0, 4), np.int64), *found])
-    rows, shared = np.unique(rows, axis=0, return_counts=True)
-    names = ("a", "b", "n_a", "n_b")
-    return pa.table({**{c: rows[:, i] for i, c in enumerate(names)}, "shared": shared.astype(np.int64)})
+def _counted(found: list[np.ndarray]) -> np.ndarray:
+    """Each pair once, with the sum of its last column."""
+    rows = np.concatenate(found)
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    starts = np.flatnonzero((np.diff(rows[:, :2], axis=0, prepend=rows[:1, :2]) != 0).any(axis=1))
+    starts = np.concatenate([np.zeros(min(1, len(rows)), np.int64), starts])
+    out = rows[starts]
+    if len(rows):
+        out[:, 4] = np.add.reduceat(rows[:, 4], starts)
+    return out
 
 
 def _columns(table: pa.Table) -> dict[str, np.ndarray]:
@@ -433,12 +456,11 @@ def linked(
             F.min_by(F.xxhash64("doc_id", "text_key"), F.struct("doc_id", "text_key")).alias("row"),
         )
     )
-    hot = (
-        facts.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))
-        .where(F.col("n") * 2 * HOT_SHARE >= classes.count()).orderBy(F.desc("n"), "token").limit(HOT_TOKENS)
-    )
-    hot = np.array([r["token"] for r in hot.collect()], np.int64).view(np.uint64)
-    prefixes = _prefixes(docs, text, hot).withColumn(
+    sketch = facts.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << CELL_BITS, np.int64)
+    counts[sketch["token"].to_numpy()] = sketch["n"].to_numpy()
+    hot = max(2, classes.count() / HOT_SHARE, 2 * counts.mean())
+    prefixes = _prefixes(docs, text, counts, hot).withColumn(
         "salt", F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(256))).otherwise(0)
     )
     together = Window.partitionBy("token", "salt")
@@ -458,8 +480,41 @@ def linked(
     )
     pairs = materialized(rtree_pairs(points, percent))
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    more = materialized(verified(pairs, materialized(_fetched(docs, classes, ends, doc_id, text)), percent))
-    return rows, classes, components(edges.unionByName(more)) if not more.isEmpty() else labels
+    sets = materialized(_fetched(docs, classes, ends, doc_id, text))
+    return rows, classes, _settled(pairs, sets, edges, labels, percent)
+
+
+def _settled(pairs: DataFrame, sets: DataFrame, edges: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Labels after every link among ``pairs`` (a, b, shared) counts; ``edges`` and their ``labels`` come before.
+
+    A round verifies the best pair of each class and drops the pairs that its links put inside one
+    component. It is worth its jobs as long as it settles half of the pairs; then all others follow.
+    """
+    left = pairs.count()
+    while left:
+        ends = pairs.withColumn("node", F.explode(F.array("a", "b")))
+        best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("shared", F.xxhash64("a", "b"))).alias("pair"))
+        tried = materialized(best.select("pair.*").distinct())
+        found = materialized(verified(tried, sets, percent))
+        if not found.isEmpty():
+            edges = materialized(edges.unionByName(found))
+            labels = components(edges)
+        pairs, before = materialized(_apart(pairs.join(tried, ["a", "b"], "left_anti"), labels)), left
+        left = pairs.count()
+        if 2 * left > before:
+            break
+    if not left:
+        return labels
+    more = materialized(verified(pairs, sets, percent))
+    return labels if more.isEmpty() else components(edges.unionByName(more))
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs between two components."""
+    for end in "ab":
+        of = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+        pairs = pairs.join(of, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
+    return pairs.where("label_a <> label_b").drop("label_a", "label_b")
 
 
 def component_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
