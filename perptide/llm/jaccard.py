@@ -58,12 +58,14 @@ LEAF = 1024
 INNER = 32
 #: Points that one call takes, and rows of pairs that it holds before it counts them.
 CALL_POINTS = 1 << 15
-HELD_PAIRS = 1 << 20
+HELD_PAIRS = 1 << 18
+#: Leaves of at most so many points are compared many at a time.
+FEW = 8
 
 _SET_FIELDS = "n long, hi long, lo long, vector array<int>"
 #: Bits of the filter that picks the documents whose sets are fetched, and tokens counted at once.
 FILTER_BITS = 1 << 26
-FLUSH_TOKENS = 1 << 22
+FLUSH_TOKENS = 1 << 20
 
 
 def shingles(text: bytes | None, hashes: WordHashes, size: int = NGRAM) -> np.ndarray:
@@ -316,6 +318,19 @@ def _survivors(x: dict, y: dict | None, percent: int) -> tuple[np.ndarray, np.nd
     return join(out[0]), join(out[1])
 
 
+def _few(points: dict, unit: np.ndarray, few: np.ndarray, percent: int):
+    """The pairs of ``_survivors`` inside the units of at most ``FEW`` points, block by block."""
+    for gap in range(1, FEW):
+        first = np.flatnonzero((unit[gap:] == unit[:-gap]) & few[gap:])
+        first = first[points["label"][first] != points["label"][first + gap]]
+        for start in range(0, len(first), 1 << 12):
+            r = first[start : start + (1 << 12)]
+            n, m = points["n"][r], points["n"][r + gap]
+            bound = np.minimum(points["vector"][r], points["vector"][r + gap]).sum(axis=1)
+            r = r[(bound >= least_overlap(n, m, percent)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))]
+            yield _ends(points, r, points, r + gap)
+
+
 def rtree_pairs(points: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b, shared), distinct: pairs of ``points`` (token, node, n, label, vector) that share a token, lie in
     different components and pass the bounds, also that of the tokens which their prefixes share:
@@ -361,7 +376,9 @@ def rtree_pairs(points: DataFrame, percent: int = PERCENT) -> DataFrame:
         ends = np.append(np.flatnonzero(edge), table.num_rows)
         leaf, found = columns["leaf"], [np.zeros((0, 5), np.int64)]
         columns = {c: columns[c] for c in ("label", "node", "n", "vector")}
-        for start, end in zip(ends[:-1], ends[1:], strict=True):
+        few = (np.diff(ends) <= FEW) & (leaf[ends[:-1]] == leaf[ends[1:] - 1])
+        found.extend(_few(columns, np.repeat(np.arange(len(few)), np.diff(ends)), np.repeat(few, np.diff(ends)), percent))
+        for start, end in zip(ends[:-1][~few], ends[1:][~few], strict=True):
             one = {c: v[start:end] for c, v in columns.items()}
             if one["label"].min() == one["label"].max():
                 continue
