@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 DAY_MS = 86_400_000
 
@@ -71,33 +72,57 @@ def trailing_sums(
     at_ms: str,
     frame_ms: int,
     sums: Sequence[str],
-    chunk_ms: int | None = None,
 ) -> DataFrame:
     """Sum each column over the open-left frame (at - frame_ms, at].
 
-    Points are summed per (key, instant) first, so a chunk holds at most one row
-    per instant. Each point also joins the next chunk when its frame reaches it,
-    so no window spans more than one chunk.
+    Points are summed per (key, instant) first, then each key is cut into blocks of one
+    frame. A frame is its own block up to the instant and what the block before holds
+    behind (at - frame_ms). Both are running sums, so no frame is added up anew and the
+    work grows with the points, not with the points of a frame. Nothing is subtracted.
     """
     keys = list(keys)
-    chunk_ms = max(chunk_ms or 0, 10 * frame_ms)
-    instants = points.groupBy(*keys, at_ms).agg(*[F.sum(c).alias(c) for c in sums])
-    own = chunk_of(F.col(at_ms), chunk_ms)
-    reaches = F.pmod(F.col(at_ms), F.lit(chunk_ms)) > chunk_ms - frame_ms
-    spread = instants.withColumn(
-        "_chunk",
-        F.explode(F.when(reaches, F.array(own, own + 1)).otherwise(F.array(own))),
+    instants = points.filter(F.col(at_ms).isNotNull()).groupBy(*keys, at_ms).agg(*[F.sum(c).alias(c) for c in sums])
+    block = Window.partitionBy(*keys, "_block")
+    forward, backward = block.orderBy(at_ms), block.orderBy(F.desc(at_ms))
+
+    def totals(window):
+        return F.struct(*[F.sum(c).over(window).alias(c) for c in sums])
+
+    parts = instants.withColumn("_block", chunk_of(F.col(at_ms), frame_ms)).select(
+        *keys,
+        at_ms,
+        "_block",
+        totals(forward.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
+        totals(backward.rowsBetween(Window.unboundedPreceding, 0)).alias("_from_here"),
+        totals(backward.rowsBetween(Window.unboundedPreceding, -1)).alias("_behind"),
+        F.row_number().over(forward).alias("_nth"),
     )
-    frame = (
-        Window.partitionBy(*keys, "_chunk").orderBy(at_ms).rangeBetween(-(frame_ms - 1), 0)
-    )
-    return (
-        spread.select(
-            *keys, at_ms, "_chunk", *[F.sum(c).over(frame).alias(c) for c in sums]
-        )
-        .filter(F.col("_chunk") == own)
-        .drop("_chunk")
+
+    def step(block_no, since, at, own, rest):
+        named = {"_block": block_no, "_since": since, at_ms: at, "_own": own, "_rest": rest}
+        return F.struct(*[c.alias(name) for name, c in named.items()])
+
+    # A block leaves the frames of the next one point by point, a frame after each.
+    at, next_no, none = F.col(at_ms), F.col("_block") + 1, F.lit(None)
+    own = step(F.col("_block"), at.cast("bigint"), at, F.col("_upto"), none)
+    whole = step(next_no, next_no * frame_ms - 1, none, none, F.col("_from_here"))
+    left = step(next_no, at.cast("bigint") + frame_ms, none, none, F.col("_behind"))
+    steps = parts.select(
+        *keys, F.inline(F.when(F.col("_nth") == 1, F.array(own, whole, left)).otherwise(F.array(own, left)))
     )
+    so_far = block.orderBy("_since").rangeBetween(Window.unboundedPreceding, 0)
+    held = steps.withColumn("_rest", F.last("_rest", ignorenulls=True).over(so_far)).filter(F.col("_own").isNotNull())
+    types = held.schema["_own"].dataType
+    return held.select(*keys, at_ms, *[_added(F.col("_own")[c], F.col("_rest")[c], types[c].dataType).alias(c) for c in sums])
+
+
+def _added(a: Column, b: Column, kind: DataType) -> Column:
+    """The sum of both in their own type, of one where the other is NULL."""
+    if isinstance(kind, DecimalType):
+        # A decimal of 38 digits would lose one of its scale to the sum's carry.
+        room = DecimalType(min(kind.precision, 37), kind.scale)
+        return F.coalesce((a.cast(room) + b.cast(room)).cast(kind), a, b)
+    return F.coalesce(a + b, a, b)
 
 
 def islands(

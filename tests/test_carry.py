@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+from decimal import Decimal
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -51,6 +53,35 @@ def test_sixty_charges_leave_after_the_window(spark):
     assert out[59] == 60 and out[60_059] == 0
 
 
+def test_trailing_sums_add_up_no_frame_anew(spark):
+    df = spark.createDataFrame([("k", i, 1) for i in range(10)], "k string, at_ms bigint, cost bigint")
+    plan = carry.trailing_sums(df, ["k"], "at_ms", 60_000, ["cost"])._jdf.queryExecution().executedPlan().toString()
+    assert "specifiedwindowframe" in plan and "-59999" not in plan
+
+
+def test_trailing_sums_of_unknown_huge_and_decimal_values(spark):
+    rng = random.Random(4)
+    rows = [
+        (rng.choice(["k", None]), rng.randint(-500, 500), rng.choice([None, 1, 1 << 40]), rng.choice([None, 1e17, 0.25]),
+         rng.choice([None, Decimal("0.0000000001"), Decimal("9999999999.9999999999")]))
+        for _ in range(400)
+    ]
+    rows += [("k", None, 7, 7.0, Decimal(7)), ("late", 10_000, None, None, None)]
+    df = spark.createDataFrame(rows, "k string, at_ms bigint, a bigint, b double, c decimal(20,10)")
+    out = carry.trailing_sums(df, ["k"], "at_ms", 100, ["a", "b", "c"])
+    assert [f.dataType.simpleString() for f in out.schema] == ["string", "bigint", "bigint", "double", "decimal(38,10)"]
+    got = {(r.k, r.at_ms): r for r in out.collect()}
+    assert got.keys() == {r[:2] for r in rows if r[1] is not None}
+    for (k, at), r in got.items():
+        frame = [x for x in rows if x[0] == k and x[1] is not None and at - 100 < x[1] <= at]
+        for i, name in enumerate("abc", 2):
+            values = [x[i] for x in frame if x[i] is not None]
+            if name == "b" and values:
+                assert abs(r.b - math.fsum(values)) <= 1e-12 * math.fsum(values)
+            else:
+                assert r[name] == (sum(values) if values else None)
+
+
 def test_islands_cross_day_boundaries(spark):
     day = carry.DAY_MS
     steps = [("a", day - 120_000 + 60_000 * i) for i in range(6)] + [("a", day + 3_600_000), ("b", day)]
