@@ -21,6 +21,7 @@ from perptide.plans.common import big, market, r6
 from perptide.plans.registry import Registry
 from perptide.session import checkpoint_dir
 from perptide.sources import export, minute_store, partitions
+from perptide.sources.materialize import materialized
 
 query = Registry()
 T0 = bridge.T0
@@ -97,7 +98,7 @@ SELECT venue, bucket, at_ms, used_fast_lane + used_resident AS resident_used,
 )
 def a5(spark, sf_dir):
     log = request_log(spark, sf_dir)
-    return U.opportunistic_available(U.rolling_spend(log), budgets(log)).select(
+    return U.opportunistic_available(U.rolling_spend(log), materialized(budgets(log))).select(
         "venue", "bucket", "at_ms", "resident_used", big("available")
     )
 

@@ -249,6 +249,21 @@ def test_query_equals_its_sql(spark, name):
     assert got == want
 
 
+@pytest.mark.parametrize("name", ["a5_opportunistic_availability"])
+def test_limits_meet_usage_without_a_shuffle_by_their_few_keys(spark, name):
+    """Two venues and two buckets would put all rows into as many tasks."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "8000")
+    try:
+        query = entry_module.queries()[name](spark, "/root/testdata/sf0.001")
+        plan = query._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(threshold)
+    joins = [line for line in plan.splitlines() if "Join [venue#" in line]
+    limits = [line for line in joins if "at_ms#" not in line and "_chunk#" not in line]
+    assert limits and all("BroadcastHashJoin" in line for line in limits)
+
+
 def test_bootstrap_width_is_that_of_independent_draws(spark):
     rng = np.random.default_rng(11)
     n, block, replicates = 60_000, 20, 800
