@@ -143,7 +143,7 @@ def a6(spark, sf_dir):
         F.lit(10).alias("max_connections"),
         F.lit(1000).alias("max_subscriptions"),
     )
-    return U.connection_usage(sockets(spark, sf_dir), caps)
+    return U.connection_usage(sockets(spark, sf_dir), materialized(caps))
 
 
 @query(

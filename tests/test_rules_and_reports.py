@@ -249,7 +249,7 @@ def test_query_equals_its_sql(spark, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["a5_opportunistic_availability"])
+@pytest.mark.parametrize("name", ["a5_opportunistic_availability", "a6_connection_usage"])
 def test_limits_meet_usage_without_a_shuffle_by_their_few_keys(spark, name):
     """Two venues and two buckets would put all rows into as many tasks."""
     threshold = "spark.sql.autoBroadcastJoinThreshold"
