@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -357,16 +358,20 @@ def cooled_down(candidates: DataFrame, cooldown_ms: int = 1_800_000) -> DataFram
     )
     runs = running(prior, ["rule"], ["at_ms"], opens, "run_ms").select("rule", "run_ms", "at_ms")
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("at_ms")
-        last, sent = None, []
-        for at in pdf["at_ms"]:
-            take = last is None or at - last >= cooldown_ms
-            sent.append(take)
-            last = at if take else last
-        return pdf.loc[sent, ["rule", "at_ms"]]
-
-    return runs.groupBy("rule", "run_ms").applyInPandas(walk, "rule string, at_ms bigint")
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            sent = []
+            for at, run in zip(batch["at_ms"].to_pylist(), batch["run_ms"].to_pylist(), strict=True):
+                # The first minute of a run is its name; a minute that is unknown is a run.
+                take = at is None or at == run or at - last >= cooldown_ms
+                sent.append(take)
+                last = at if take else last
+            yield batch.select(["rule", "at_ms"]).filter(pa.array(sent, pa.bool_()))
+
+    # Runs lie one behind the other in a task, which holds a batch of them and one instant.
+    ordered = runs.repartition("rule", "run_ms").sortWithinPartitions("rule", "run_ms", "at_ms")
+    return ordered.mapInArrow(walk, "rule string, at_ms bigint")
 
 
 def crossing_candidates(

@@ -180,6 +180,19 @@ def test_cooldown_stream_and_batch_agree(spark, tmp_path):
     assert {(r.rule, r.at_ms) for r in run(spark, alerts.cooled_down_alerts(stream), "cooldown", tmp_path, availableNow=True)} == want
 
 
+def test_cooldown_batch_walks_many_runs_in_one_call(spark):
+    rng = random.Random(6)
+    minute, half_hour = 60_000, 1_800_000
+    rows = {f"r{i}": [rng.randint(0, 600) * minute for _ in range(12)] for i in range(400)}
+    rows["dense"] = [i * minute for i in range(5000)]
+    df = spark.createDataFrame([(r, at) for r, xs in rows.items() for at in xs] + [("dense", None)], "rule string, at_ms bigint")
+    out = R.cooled_down(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+    want = [(r, at) for r, xs in rows.items() for at in greedy(xs, half_hour)] + [("dense", None)]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+
+
 def test_documents_and_export_round_trip(spark, tmp_path):
     line = {"source": "documented", "endpoint": "meta", "note": "n", "venue": "hyperliquid", "observed_ms": 1,
             "ingest_ms": 2, "payload": "{\"universe\":[]}"}
