@@ -13,16 +13,17 @@
    the count vectors, sorted by set size and cut into leaves; a leaf pair whose summed coordinate
    minima of the upper corners fall short of the least overlap is left out, then points pairwise
    by the minima of their own vectors, and only pairs across components survive.
-   Buckets of nearly the same classes go to one call, which names a pair once for all of them.
-5. Survivors are verified with the whole sets in rounds: each class tries its best partner in
-   another component, components are joined, and pairs inside one are dropped. Once a round
-   settles less than half of the pairs, all that are left are verified.
+   Buckets of nearly the same classes go to one call. A first turn of the calls tells the classes
+   that any such pair holds; their whole sets are fetched.
+5. In a second turn each call verifies its surviving pairs with the whole sets, a pair once and none
+   inside one component, and gives the links that join components: fewer than it has classes,
+   however many pairs it met.
 
 No link between different sets is lost: the prefix filter, the size filter and the bound are all
 necessary conditions, and a pair inside one component needs no further link.
 
 Large buckets are cut into leaves and leaf pairs before they reach a task, hot tokens are dealt
-by a salt, and texts are fetched only for classes that a pair names.
+by a salt, and texts are fetched only for classes that a pair holds.
 
 Defined results
 * Words are parted by ASCII white space, A-Z lower-cased. Fewer than five words make one shingle;
@@ -56,9 +57,12 @@ PIVOTS = 3
 #: Points of a stored leaf, and of a node inside a task.
 LEAF = 1024
 INNER = 32
-#: Points that one call takes, and rows of pairs that it holds before it counts them.
+#: Points that one call takes, and rows of pairs that it holds before it counts or verifies them.
 CALL_POINTS = 1 << 15
 HELD_PAIRS = 1 << 18
+#: A longer set counts as a point for each so many tokens, and so many tokens are looked up at once.
+POINT_TOKENS = 512
+LOOKED_TOKENS = 1 << 18
 #: Leaves of at most so many points are compared many at a time.
 FEW = 8
 
@@ -310,10 +314,9 @@ def _survivors(x: dict, y: dict | None, percent: int) -> tuple[np.ndarray, np.nd
             if same and i == j:
                 fits &= np.arange(len(a["n"]))[:, None] < np.arange(len(b["n"]))[None, :]
             r, s = np.nonzero(fits)
-            bound = np.minimum(a["vector"][r], b["vector"][s]).sum(axis=1)
-            keep = bound >= least_overlap(a["n"][r], b["n"][s], percent)
-            out[0].append(r[keep] + i)
-            out[1].append(s[keep] + j)
+            r, s = _bounded(a, r, b, s, percent)
+            out[0].append(r + i)
+            out[1].append(s + j)
     join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
     return join(out[0]), join(out[1])
 
@@ -326,30 +329,143 @@ def _few(points: dict, unit: np.ndarray, few: np.ndarray, percent: int):
         for start in range(0, len(first), 1 << 12):
             r = first[start : start + (1 << 12)]
             n, m = points["n"][r], points["n"][r + gap]
-            bound = np.minimum(points["vector"][r], points["vector"][r + gap]).sum(axis=1)
-            r = r[(bound >= least_overlap(n, m, percent)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))]
-            yield _ends(points, r, points, r + gap)
+            r = r[100 * np.minimum(n, m) >= percent * np.maximum(n, m)]
+            yield _bounded(points, r, points, r + gap, percent)
+
+
+def _bounded(x: dict, r: np.ndarray, y: dict, s: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The row pairs whose count vectors allow a link."""
+    bound = np.minimum(x["vector"][r], y["vector"][s]).sum(axis=1)
+    keep = bound >= least_overlap(x["n"][r], y["n"][s], percent)
+    return r[keep], s[keep]
 
 
 def rtree_pairs(points: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b, shared), distinct: pairs of ``points`` (token, node, n, label, vector) that share a token, lie in
     different components and pass the bounds, also that of the tokens which their prefixes share:
-    ``points`` must hold every prefix token of two components. A bucket of more than ``LEAF`` points is
-    cut into leaves of about so many by size and by hash of the node, so leaves of buckets alike are alike."""
+    ``points`` must hold every prefix token of two components."""
+
+    def named(table: pa.Table) -> pa.Table:
+        columns, pairs = _met(table, percent)
+        found, held = [np.zeros((0, 5), np.int64)], 0
+        for r, s in pairs:
+            found.append(_ends(columns, r, s))
+            held += len(found[-1])
+            if held > HELD_PAIRS:
+                found, held = [_counted(found)], 0
+        names = ("a", "b", "n_a", "n_b", "shared")
+        return pa.table(dict(zip(names, np.ascontiguousarray(_counted(found).T), strict=True)))
+
+    calls = _calls(points, percent)().groupBy("call")
+    found = calls.applyInArrow(named, "a long, b long, n_a long, n_b long, shared long").groupBy("a", "b").agg(
+        F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b"), F.sum("shared").alias("shared")
+    )
+    fits = _prefix_bound(percent) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    return found.where(fits).select("a", "b", "shared")
+
+
+def tree_links(points: DataFrame, fetch, percent: int = PERCENT) -> DataFrame:
+    """(a, b): links that join all components of ``points`` (as in ``rtree_pairs``) which any link joins.
+
+    ``fetch`` gives (node, tokens), the whole sets, for a table of nodes. No pair is written: a call tells
+    the nodes of its pairs first, and verifies the pairs once their sets have come."""
+    dealt = _calls(points, percent)
+
+    def met(table: pa.Table) -> pa.Table:
+        columns, pairs = _met(table, percent)
+        some = np.zeros(table.num_rows, bool)
+        for r, s in pairs:
+            some[r] = some[s] = True
+        nodes = np.unique(columns["node"][some])
+        return pa.table({"call": np.repeat(table["call"].to_numpy()[:1], len(nodes)), "node": nodes})
+
+    def joined(left: pa.Table, right: pa.Table) -> pa.Table:
+        columns, pairs = _met(left, percent)
+        links = _Links(columns, right, percent)
+        for r, s in pairs:
+            links.hold(r, s)
+        return pa.table(dict(zip("ab", links.found(), strict=True)))
+
+    asked = materialized(dealt().groupBy("call").applyInArrow(met, "call long, node long"))
+    nodes = asked.select("node").distinct()
+    sets = asked.join(materialized(fetch(nodes)), "node").select("call", "node", "tokens")
+    left = dealt(nodes).join(asked, ["call", "node"], "left_semi")
+    return left.groupBy("call").cogroup(sets.groupBy("call")).applyInArrow(joined, "a long, b long")
+
+
+class _Links:
+    """The pairs of one call, verified by whole sets; components that a link joins are one from there on."""
+
+    def __init__(self, columns: dict, sets: pa.Table, percent: int):
+        self.percent = percent
+        nodes, first = np.unique(sets["node"].to_numpy(), return_index=True)
+        tokens = sets["tokens"].combine_chunks()
+        offsets = tokens.offsets.to_numpy()
+        self.tokens = tokens.values.to_numpy().view(np.uint64)
+        self.starts, self.sizes = offsets[:-1][first].astype(np.int64), np.diff(offsets)[first].astype(np.int64)
+        self.nodes, self.place = nodes, np.searchsorted(nodes, columns["node"])
+        self.component = np.zeros(len(nodes), np.int64)
+        self.component[self.place] = np.unique(columns["label"], return_inverse=True)[1]
+        self.waiting, self.held = [np.zeros(0, np.int64)], 0
+        self.links: list[tuple[int, int]] = []
+
+    def hold(self, r: np.ndarray, s: np.ndarray) -> None:
+        p, q = self.place[r], self.place[s]
+        self.waiting.append(np.minimum(p, q) * len(self.nodes) + np.maximum(p, q))
+        self.held += len(r)
+        if self.held > HELD_PAIRS:
+            self._verify()
+
+    def found(self) -> tuple[np.ndarray, np.ndarray]:
+        self._verify()
+        ends = self.nodes[np.array(self.links, np.int64).reshape(-1, 2)]
+        return ends.min(axis=1, initial=np.iinfo(np.int64).max), ends.max(axis=1, initial=np.iinfo(np.int64).min)
+
+    def _verify(self) -> None:
+        pairs = np.unique(np.concatenate(self.waiting))
+        self.waiting, self.held = [np.zeros(0, np.int64)], 0
+        first, second = pairs // max(len(self.nodes), 1), pairs % max(len(self.nodes), 1)
+        for some in np.split(np.arange(len(pairs)), np.flatnonzero(np.diff(first)) + 1):
+            if len(some):
+                self._try(int(first[some[0]]), second[some])
+
+    def _try(self, one: int, others: np.ndarray) -> None:
+        own = self.tokens[self.starts[one] : self.starts[one] + self.sizes[one]]
+        while len(others := others[self.component[others] != self.component[one]]):
+            taken = max(1, int(np.searchsorted(np.cumsum(self.sizes[others]), LOOKED_TOKENS, "right")))
+            now, others = others[:taken], others[taken:]
+            sizes = self.sizes[now]
+            before = np.cumsum(sizes) - sizes
+            met = self.tokens[np.repeat(self.starts[now] - before, sizes) + np.arange(sizes.sum())]
+            spot = np.minimum(np.searchsorted(own, met), len(own) - 1)
+            shared = np.add.reduceat((own[spot] == met).astype(np.int64), before)
+            for other in now[shared * (100 + self.percent) >= self.percent * (sizes + len(own))].tolist():
+                if self.component[other] != self.component[one]:
+                    self.component[self.component == self.component[other]] = self.component[one]
+                    self.links.append((one, other))
+
+
+def _calls(points: DataFrame, percent: int):
+    """A function that deals ``points``, or those of some nodes, to calls and units: any two points that share
+    a token meet in a unit of one call.
+
+    A bucket of more than ``LEAF`` points is cut into leaves of about so many by size and by hash of the
+    node, so leaves of buckets alike are alike."""
     points, mark = materialized(points), ordered_hash(F.col("node"))
-    amount = points.groupBy("token").agg(F.count("*").alias("points"), F.min(mark).alias("key"))
+    weight = F.sum(F.ceil(F.col("n") / POINT_TOKENS)).alias("points")
+    amount = points.groupBy("token").agg(weight, F.min(mark).alias("key"))
     amount = materialized(amount)
     small = amount.where(F.col("points") <= LEAF)
-    whole = points.join(_dealt(small, ["token"]), "token").withColumn("unit", F.lit(0).cast("long"))
+    small = materialized(_dealt(small, ["token"]))
 
     many = _by_size(points.join(amount.where(F.col("points") > LEAF).select("token"), "token", "left_semi"))
-    cells = many.groupBy("token", "cell").agg(F.count("*").alias("points"))
+    cells = many.groupBy("token", "cell").agg(weight)
     leaf = F.col("cell") * (1 << 32) + F.floor(mark / F.lit(float(1 << 62)) * F.col("leaves"))
     leaves = cells.withColumn("leaves", F.pow(F.lit(2), F.ceil(F.log2(F.col("points") / LEAF))))
     leaves = many.join(leaves.drop("points"), ["token", "cell"]).withColumn("leaf", leaf.cast("long"))
     leaves = materialized(leaves.drop("cell", "leaves"))
     corners = leaves.groupBy("token", "leaf").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("points"), F.min(mark).alias("key"),
+        F.min("n").alias("low"), F.max("n").alias("high"), weight, F.min(mark).alias("key"),
         F.array(*[F.max(F.col("vector")[k]) for k in range(GROUPS)]).alias("corner"),
     )
     corners = materialized(corners)
@@ -364,44 +480,46 @@ def rtree_pairs(points: DataFrame, percent: int = PERCENT) -> DataFrame:
         "token", "leaf_a", "leaf_b", F.xxhash64("key_a", "key_b").alias("key"),
         (F.col("points_a") + F.col("points_b")).alias("points"),
     )
-    pairs = _dealt(materialized(pairs), ["token", "leaf_a", "leaf_b"])
+    pairs = materialized(_dealt(materialized(pairs), ["token", "leaf_a", "leaf_b"]))
     unit = F.xxhash64("token", "leaf_a", "leaf_b").alias("unit")
     sides = pairs.select("token", "call", unit, F.explode(F.array_distinct(F.array("leaf_a", "leaf_b"))).alias("leaf"))
-    across = sides.join(leaves, ["token", "leaf"])
 
-    def met(table: pa.Table) -> pa.Table:
-        columns = _columns(table.sort_by([(c, "ascending") for c in ("unit", "token", "leaf", "n")]))
-        edge = (np.diff(columns["unit"], prepend=0) != 0) | (np.diff(columns["token"], prepend=0) != 0)
-        edge[:1] = True
-        ends = np.append(np.flatnonzero(edge), table.num_rows)
-        leaf, found = columns["leaf"], [np.zeros((0, 5), np.int64)]
-        columns = {c: columns[c] for c in ("label", "node", "n", "vector")}
+    # One leaf, or one pair of leaves, is a unit; units of one key are of nearly the same classes.
+    fields = ["call", "unit", "token", "leaf", "node", "n", "label", "vector"]
+
+    def dealt(nodes: DataFrame | None = None) -> DataFrame:
+        some = [rows if nodes is None else rows.join(nodes, "node", "left_semi") for rows in (points, leaves)]
+        whole = some[0].join(small, "token").withColumns({c: F.lit(0).cast("long") for c in ("unit", "leaf")})
+        across = sides.join(some[1], ["token", "leaf"])
+        return whole.select(fields).unionByName(across.select(fields))
+
+    return dealt
+
+
+def _met(table: pa.Table, percent: int):
+    """The columns of a call's points in the order of their units, and the row pairs that pass all bounds."""
+    columns = _columns(table.sort_by([(c, "ascending") for c in ("unit", "token", "leaf", "n")]))
+    edge = (np.diff(columns["unit"], prepend=0) != 0) | (np.diff(columns["token"], prepend=0) != 0)
+    edge[:1] = True
+    ends = np.append(np.flatnonzero(edge), table.num_rows)
+    leaf = columns["leaf"]
+    columns = {c: columns[c] for c in ("label", "node", "n", "vector")}
+
+    def pairs():
         few = (np.diff(ends) <= FEW) & (leaf[ends[:-1]] == leaf[ends[1:] - 1])
-        found.extend(_few(columns, np.repeat(np.arange(len(few)), np.diff(ends)), np.repeat(few, np.diff(ends)), percent))
+        yield from _few(columns, np.repeat(np.arange(len(few)), np.diff(ends)), np.repeat(few, np.diff(ends)), percent)
         for start, end in zip(ends[:-1][~few], ends[1:][~few], strict=True):
             one = {c: v[start:end] for c, v in columns.items()}
             if one["label"].min() == one["label"].max():
                 continue
-            x, y = one, None
+            cut, x, y = 0, one, None
             if leaf[start] != leaf[end - 1]:
                 cut = int(np.searchsorted(leaf[start:end], leaf[end - 1]))
                 x, y = ({c: v[k] for c, v in one.items()} for k in (slice(0, cut), slice(cut, None)))
             r, s = _survivors(x, y, percent)
-            found.append(_ends(x, r, x if y is None else y, s))
-            if sum(map(len, found[1:])) > HELD_PAIRS:
-                found = [_counted(found)]
-        names = ("a", "b", "n_a", "n_b", "shared")
-        return pa.table(dict(zip(names, np.ascontiguousarray(_counted(found).T), strict=True)))
+            yield r + start, s + start + cut
 
-    # One leaf, or one pair of leaves, is a unit; units of one key are of nearly the same classes.
-    fields = ["call", "unit", "token", "leaf", "node", "n", "label", "vector"]
-    dealt = whole.withColumn("leaf", F.lit(0).cast("long")).select(fields).unionByName(across.select(fields))
-    named = dealt.groupBy("call").applyInArrow(met, "a long, b long, n_a long, n_b long, shared long")
-    named = named.groupBy("a", "b").agg(
-        F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b"), F.sum("shared").alias("shared")
-    )
-    fits = _prefix_bound(percent) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    return named.where(fits).select("a", "b", "shared")
+    return columns, pairs()
 
 
 def _dealt(units: DataFrame, names: list[str]) -> DataFrame:
@@ -428,10 +546,10 @@ def _prefix_bound(percent: int):
     return F.col("shared") + F.greatest(first, second)
 
 
-def _ends(x: dict, r: np.ndarray, y: dict, s: np.ndarray) -> np.ndarray:
+def _ends(points: dict, r: np.ndarray, s: np.ndarray) -> np.ndarray:
     """Rows (a, b, n_a, n_b, 1) of the pairs, the smaller node first; a node never meets itself."""
-    ones = np.ones(len(r), np.int64)
-    rows = np.stack([x["node"][r], y["node"][s], x["n"][r], y["n"][s], ones], axis=1).astype(np.int64)
+    ones, node, n = np.ones(len(r), np.int64), points["node"], points["n"]
+    rows = np.stack([node[r], node[s], n[r], n[s], ones], axis=1).astype(np.int64)
     swap = rows[:, 0] > rows[:, 1]
     rows[swap] = rows[swap][:, [1, 0, 3, 2, 4]]
     return rows[rows[:, 0] < rows[:, 1]]
@@ -495,43 +613,9 @@ def linked(
     points = labelled.join(open_tokens.select("token"), "token", "left_semi").join(
         classes.select("node", "n", "vector"), "node"
     )
-    pairs = materialized(rtree_pairs(points, percent))
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = materialized(_fetched(docs, classes, ends, doc_id, text))
-    return rows, classes, _settled(pairs, sets, edges, labels, percent)
-
-
-def _settled(pairs: DataFrame, sets: DataFrame, edges: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Labels after every link among ``pairs`` (a, b, shared) counts; ``edges`` and their ``labels`` come before.
-
-    A round verifies the best pair of each class and drops the pairs that its links put inside one
-    component. It is worth its jobs as long as it settles half of the pairs; then all others follow.
-    """
-    left = pairs.count()
-    while left:
-        ends = pairs.withColumn("node", F.explode(F.array("a", "b")))
-        best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("shared", F.xxhash64("a", "b"))).alias("pair"))
-        tried = materialized(best.select("pair.*").distinct())
-        found = materialized(verified(tried, sets, percent))
-        if not found.isEmpty():
-            edges = materialized(edges.unionByName(found))
-            labels = components(edges)
-        pairs, before = materialized(_apart(pairs.join(tried, ["a", "b"], "left_anti"), labels)), left
-        left = pairs.count()
-        if 2 * left > before:
-            break
-    if not left:
-        return labels
-    more = materialized(verified(pairs, sets, percent))
-    return labels if more.isEmpty() else components(edges.unionByName(more))
-
-
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs between two components."""
-    for end in "ab":
-        of = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
-        pairs = pairs.join(of, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
-    return pairs.where("label_a <> label_b").drop("label_a", "label_b")
+    found = tree_links(points, lambda nodes: _fetched(docs, classes, nodes, doc_id, text), percent)
+    found = materialized(found)
+    return rows, classes, labels if found.isEmpty() else components(edges.unionByName(found))
 
 
 def component_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

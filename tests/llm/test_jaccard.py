@@ -84,6 +84,50 @@ def test_without_stars_the_tree_finds_all(spark, rng):
     assert alike <= found
 
 
+def test_pairs_that_share_a_prefix_alone_are_not_written(documents, rng, monkeypatch):
+    words = lambda name, n: [f"{name}_{i}" for i in range(n)]
+    passage, paragraphs = words("p", 500), [words(f"q{k}", 200) for k in range(14)]
+    texts = [passage + sum(rng.sample(paragraphs, 7), []) for _ in range(40)]
+    texts += [sum(rng.sample(paragraphs, 10), []) for _ in range(60)]
+    texts += [texts[0] + ["end"], texts[0] + ["other", "end"], texts[50][:-1]]
+    rows, written = [(i, " ".join(t), "s") for i, t in enumerate(texts)], []
+
+    def materialized(df, write=jc.materialized):
+        out = write(df)
+        if {"a", "b"} <= {*out.columns}:
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(jc, "materialized", materialized)
+    got = jc.component_ids(documents(rows)).collect()
+    assert sorted(repr((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(repr, brute(rows)))
+    assert max(written) <= jc.PIVOTS * len(rows)
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_links_of_the_tree_join_what_is_alike(spark, rng, monkeypatch, few):
+    if few:  # sets count as many points, so units are cut into leaves
+        monkeypatch.setattr(jc, "LEAF", 64)
+        monkeypatch.setattr(jc, "POINT_TOKENS", 16)
+    base = rng.sample(range(10**6), 200)
+    sets = [sorted({*rng.sample(base, rng.choice([150, 190])), *rng.sample(range(10**6), rng.randint(0, 20))}) for _ in range(60)]
+    rows = [
+        (token, i, len(s), i, [sum(t % jc.GROUPS == g for t in s) for g in range(jc.GROUPS)])
+        for i, s in enumerate(sets) for token in s[: jc.prefix_length(len(s))]
+    ]
+    points = spark.createDataFrame(rows, "token long, node long, n long, label long, vector array<int>")
+    whole = spark.createDataFrame([(i, s) for i, s in enumerate(sets)] * 2, "node long, tokens array<long>")
+    links = jc.tree_links(points, lambda nodes: whole.join(nodes, "node", "left_semi"))
+    alike = [
+        (i, j) for j in range(60) for i in range(j)
+        if 100 * len({*sets[i]} & {*sets[j]}) >= 80 * len({*sets[i]} | {*sets[j]})
+    ]
+    assert {(r["a"], r["b"]) for r in links.collect()} <= {*alike}
+    edges = spark.createDataFrame(alike, "a long, b long")
+    labels = lambda found: {(r["node"], r["label"]) for r in jc.components(found).collect()}
+    assert alike and labels(links) == labels(edges)
+
+
 def test_keep_one(documents, rng):
     rows = corpus(rng)
     docs = documents(rows)
