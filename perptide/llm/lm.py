@@ -55,8 +55,10 @@ BUCKETS = 64
 CELLS = 4
 EM_ROUNDS = 100
 
-#: Texts of about so many bytes are worked on at once.
+#: Texts of about so many bytes are worked on at once; so many words are objects at a time, so many scores are made.
 TEXT_BYTES = 1 << 23
+SPLIT_WORDS = 1 << 15
+LOGS = 1 << 16
 #: The end of a text as a token; no word holds white space.
 END = b" "
 END_HASH = xxhash.xxh64_intdigest(END)
@@ -137,7 +139,7 @@ class _Ids(dict):
     def _forget(self) -> None:
         self.clear()
         self.late: list[int] = []
-        self.hashes, self.classes = np.zeros(0, _U), np.zeros(0, np.int64)
+        self.hashes, self.classes = np.zeros(0, _U), np.zeros(0, np.int32)
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = len(self)
@@ -152,7 +154,7 @@ class _Ids(dict):
         if self.late:
             late = np.array(self.late, _U)
             self.hashes = np.concatenate([self.hashes, late])
-            self.classes = np.concatenate([self.classes, self.words.classes_of(late)])
+            self.classes = np.concatenate([self.classes, self.words.classes_of(late).astype(np.int32)])
             self.late = []
         return self.hashes[places], self.classes[places]
 
@@ -166,41 +168,48 @@ class Tokens:
     sizes: np.ndarray
     hashes: np.ndarray
     classes: np.ndarray
-    hash_before: np.ndarray
     class_before: np.ndarray
 
     @staticmethod
     def of(texts: list[bytes | None], ids: _Ids) -> Tokens:
         split, sizes = [], np.zeros(len(texts), np.int64)
+        hashes, classes = [np.zeros(0, _U)], [np.zeros(0, np.int32)]
         for i, text in enumerate(texts):
             found = lowered_words(text)
             split += found
             split.append(END)
             sizes[i] = len(found) + 1
-        hashes, classes = ids.of(split)
-        starts = np.cumsum(sizes) - sizes
-        hash_before, class_before = np.roll(hashes, 1), np.roll(classes, 1)
-        hash_before[starts], class_before[starts] = START_HASH, ids.words.start
-        text = np.repeat(np.arange(len(texts)), sizes)
-        return Tokens(ids.words, text, sizes, hashes, classes, hash_before, class_before)
+            if len(split) >= SPLIT_WORDS or i == len(texts) - 1:
+                for held, new in zip((hashes, classes), ids.of(split), strict=True):
+                    held.append(new)
+                split = []
+        hashes, classes = np.concatenate(hashes), np.concatenate(classes)
+        class_before = np.roll(classes, 1)
+        class_before[np.cumsum(sizes) - sizes] = ids.words.start
+        text = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+        return Tokens(ids.words, text, sizes, hashes, classes, class_before)
+
+    def hash_before(self, at: np.ndarray) -> np.ndarray:
+        """Hashes of what stands before the tokens at the places ``at``."""
+        return np.where(self.class_before[at] == self.words.start, _U(START_HASH), self.hashes[at - 1])
 
     @property
     def bare(self) -> np.ndarray:
         """Whether a token's word has no number, and whether the one before it has none."""
-        return np.stack([self.classes, self.class_before]) == self.words.rare
+        return np.stack([self.classes == self.words.rare, self.class_before == self.words.rare])
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Pairs by number, and the text of each; open pairs are left out where they have names."""
-        keys = (self.class_before * self.words.base + self.classes).astype(_U)
-        if not self.words.open:
-            return keys, self.text
-        numbered = ~self.bare.any(axis=0)
-        return keys[numbered], self.text[numbered]
+        text, before, classes = self.text, self.class_before, self.classes
+        if self.words.open:
+            numbered = ~self.bare.any(axis=0)
+            text, before, classes = text[numbered], before[numbered], classes[numbered]
+        return before.astype(_U) * _U(self.words.base) + classes.astype(_U), text
 
     def open_pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Names of the open pairs, and the places of their tokens."""
         at = np.flatnonzero(self.bare.any(axis=0))
-        return mixed(mixed(self.hash_before[at]) * _U(0x9E3779B97F4A7C15) + self.hashes[at]), at
+        return mixed(mixed(self.hash_before(at)) * _U(0x9E3779B97F4A7C15) + self.hashes[at]), at
 
 
 def _groups(batch: pa.RecordBatch, column: int, rows: int = 4096):
@@ -365,7 +374,7 @@ def open_pairs(rows: DataFrame, counts: DataFrame, words, known, least: int) ->
                 word_open, before_open = tokens.bare[:, at]
                 yield pa.RecordBatch.from_pydict({
                     "pair": values.view(np.int64),
-                    "before": np.where(before_open, tokens.hash_before[at].view(np.int64), tokens.class_before[at]),
+                    "before": np.where(before_open, tokens.hash_before(at).view(np.int64), tokens.class_before[at]),
                     "before_open": before_open,
                     "word": np.where(word_open, tokens.hashes[at].view(np.int64), tokens.classes[at]),
                     "word_open": word_open, "main": main, "held": held,
@@ -509,9 +518,14 @@ class Scorer:
 
     def log_of(self, seen: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
         """log10 of the mixture for contexts seen ``seen`` times, words seen ``word`` times, pairs ``count`` times."""
-        mix = self.mix[bucket(seen)]
-        single = word / self.tokens if self.tokens else np.zeros(len(word))
-        return np.log10(mix[:, 0] / self.words.classes + mix[:, 1] * single + mix[:, 2] * count / np.maximum(seen, 1))
+        out = np.zeros(len(word))
+        for start in range(0, len(word), LOGS):
+            some = slice(start, start + LOGS)
+            mix = self.mix[bucket(seen[some])]
+            single = word[some] / self.tokens if self.tokens else np.zeros(len(word[some]))
+            pair = mix[:, 2] * count[some] / np.maximum(seen[some], 1)
+            out[some] = np.log10(mix[:, 0] / self.words.classes + mix[:, 1] * single + pair)
+        return out
 
     def base_log(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 0.5) / (self.tokens + 0.5 * (self.kinds + 1)))
