@@ -13,11 +13,12 @@
    the count vectors, sorted by set size and cut into leaves; a leaf pair whose summed coordinate
    minima of the upper corners fall short of the least overlap is left out, then points pairwise
    by the minima of their own vectors, and only pairs across components survive.
-   Buckets of nearly the same classes go to one call. A first turn of the calls tells the classes
-   that any such pair holds; their whole sets are fetched.
-5. In a second turn each call verifies its surviving pairs with the whole sets, a pair once and none
-   inside one component, and gives the links that join components: fewer than it has classes,
-   however many pairs it met.
+   Buckets of nearly the same classes go to one call, which names a pair once for all of them. A call
+   of more pairs than points names its classes instead; it is handed their whole sets, verifies its
+   pairs itself and gives the links that join components, so what is named grows with the points.
+5. Other survivors are verified with the whole sets in rounds: each class tries its best partner in
+   another component, components are joined, and pairs inside one are dropped. Once a round
+   settles less than half of the pairs, all that are left are verified.
 
 No link between different sets is lost: the prefix filter, the size filter and the bound are all
 necessary conditions, and a pair inside one component needs no further link.
@@ -60,6 +61,8 @@ INNER = 32
 #: Points that one call takes, and rows of pairs that it holds before it counts or verifies them.
 CALL_POINTS = 1 << 15
 HELD_PAIRS = 1 << 18
+#: Pairs that a call may name for each of its points.
+NAMED = 1
 #: A longer set counts as a point for each so many tokens, and so many tokens are looked up at once.
 POINT_TOKENS = 512
 LOOKED_TOKENS = 1 << 18
@@ -357,27 +360,47 @@ def rtree_pairs(points: DataFrame, percent: int = PERCENT) -> DataFrame:
         return pa.table(dict(zip(names, np.ascontiguousarray(_counted(found).T), strict=True)))
 
     calls = _calls(points, percent)().groupBy("call")
-    found = calls.applyInArrow(named, "a long, b long, n_a long, n_b long, shared long").groupBy("a", "b").agg(
+    return _summed(calls.applyInArrow(named, "a long, b long, n_a long, n_b long, shared long"), percent)
+
+
+def _summed(found: DataFrame, percent: int) -> DataFrame:
+    """(a, b, shared) of the pairs that calls named, where the tokens that they share allow a link."""
+    found = found.groupBy("a", "b").agg(
         F.min("n_a").alias("n_a"), F.min("n_b").alias("n_b"), F.sum("shared").alias("shared")
     )
     fits = _prefix_bound(percent) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     return found.where(fits).select("a", "b", "shared")
 
 
-def tree_links(points: DataFrame, fetch, percent: int = PERCENT) -> DataFrame:
-    """(a, b): links that join all components of ``points`` (as in ``rtree_pairs``) which any link joins.
+def tree_links(points: DataFrame, fetch, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(pairs, links) of ``points`` as in ``rtree_pairs``: its pairs (a, b, shared), but for those that meet in a
+    call of more than ``NAMED`` pairs a point; and links (a, b) that join all components which those would join.
 
-    ``fetch`` gives (node, tokens), the whole sets, for a table of nodes. No pair is written: a call tells
-    the nodes of its pairs first, and verifies the pairs once their sets have come."""
+    ``fetch`` gives (node, tokens), the whole sets, for a table of nodes."""
     dealt = _calls(points, percent)
 
     def met(table: pa.Table) -> pa.Table:
         columns, pairs = _met(table, percent)
-        some = np.zeros(table.num_rows, bool)
+        some, most = np.zeros(table.num_rows, bool), NAMED * table.num_rows
+        found, held, many = [np.zeros((0, 5), np.int64)], 0, False
         for r, s in pairs:
             some[r] = some[s] = True
-        nodes = np.unique(columns["node"][some])
-        return pa.table({"call": np.repeat(table["call"].to_numpy()[:1], len(nodes)), "node": nodes})
+            if not many:
+                found.append(_ends(columns, r, s))
+                held += len(found[-1])
+                if held > 2 * most:
+                    found = [_counted(found)]
+                    held = len(found[0])
+                    many = held > most
+        rows = _counted(found)
+        if many or len(rows) > most:
+            nodes = np.unique(columns["node"][some])
+            rows = np.zeros((len(nodes), 5), np.int64)
+            rows[:, 0], many = nodes, True
+        a, b, *rest = np.ascontiguousarray(rows.T)
+        call = np.repeat(table["call"].to_numpy()[:1], len(rows))
+        b = pa.array(b, mask=np.full(len(rows), many))
+        return pa.table(dict(zip(("call", "a", "b", "n_a", "n_b", "shared"), (call, a, b, *rest), strict=True)))
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         columns, pairs = _met(left, percent)
@@ -386,11 +409,17 @@ def tree_links(points: DataFrame, fetch, percent: int = PERCENT) -> DataFrame:
             links.hold(r, s)
         return pa.table(dict(zip("ab", links.found(), strict=True)))
 
-    asked = materialized(dealt().groupBy("call").applyInArrow(met, "call long, node long"))
+    fields = "call long, a long, b long, n_a long, n_b long, shared long"
+    told = materialized(dealt().groupBy("call").applyInArrow(met, fields))
+    pairs = materialized(_summed(told.where("b IS NOT NULL").drop("call"), percent))
+    asked = told.where("b IS NULL").select("call", F.col("a").alias("node"))
+    if asked.isEmpty():
+        return pairs, told.select("a", "b").limit(0)
     nodes = asked.select("node").distinct()
     sets = asked.join(materialized(fetch(nodes)), "node").select("call", "node", "tokens")
     left = dealt(nodes).join(asked, ["call", "node"], "left_semi")
-    return left.groupBy("call").cogroup(sets.groupBy("call")).applyInArrow(joined, "a long, b long")
+    links = left.groupBy("call").cogroup(sets.groupBy("call")).applyInArrow(joined, "a long, b long")
+    return pairs, materialized(links)
 
 
 class _Links:
@@ -613,9 +642,47 @@ def linked(
     points = labelled.join(open_tokens.select("token"), "token", "left_semi").join(
         classes.select("node", "n", "vector"), "node"
     )
-    found = tree_links(points, lambda nodes: _fetched(docs, classes, nodes, doc_id, text), percent)
-    found = materialized(found)
-    return rows, classes, labels if found.isEmpty() else components(edges.unionByName(found))
+    pairs, links = tree_links(points, lambda nodes: _fetched(docs, classes, nodes, doc_id, text), percent)
+    if not links.isEmpty():
+        edges = materialized(edges.unionByName(links))
+        labels = components(edges)
+        pairs = materialized(_apart(pairs, labels))
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = materialized(_fetched(docs, classes, ends, doc_id, text))
+    return rows, classes, _settled(pairs, sets, edges, labels, percent)
+
+
+def _settled(pairs: DataFrame, sets: DataFrame, edges: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Labels after every link among ``pairs`` (a, b, shared) counts; ``edges`` and their ``labels`` come before.
+
+    A round verifies the best pair of each class and drops the pairs that its links put inside one
+    component. It is worth its jobs as long as it settles half of the pairs; then all others follow.
+    """
+    left = pairs.count()
+    while left:
+        ends = pairs.withColumn("node", F.explode(F.array("a", "b")))
+        best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("shared", F.xxhash64("a", "b"))).alias("pair"))
+        tried = materialized(best.select("pair.*").distinct())
+        found = materialized(verified(tried, sets, percent))
+        if not found.isEmpty():
+            edges = materialized(edges.unionByName(found))
+            labels = components(edges)
+        pairs, before = materialized(_apart(pairs.join(tried, ["a", "b"], "left_anti"), labels)), left
+        left = pairs.count()
+        if 2 * left > before:
+            break
+    if not left:
+        return labels
+    more = materialized(verified(pairs, sets, percent))
+    return labels if more.isEmpty() else components(edges.unionByName(more))
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs between two components."""
+    for end in "ab":
+        of = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+        pairs = pairs.join(of, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
+    return pairs.where("label_a <> label_b").drop("label_a", "label_b")
 
 
 def component_ids(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

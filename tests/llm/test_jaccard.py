@@ -84,28 +84,35 @@ def test_without_stars_the_tree_finds_all(spark, rng):
     assert alike <= found
 
 
-def test_pairs_that_share_a_prefix_alone_are_not_written(documents, rng, monkeypatch):
-    words = lambda name, n: [f"{name}_{i}" for i in range(n)]
-    passage, paragraphs = words("p", 500), [words(f"q{k}", 200) for k in range(14)]
-    texts = [passage + sum(rng.sample(paragraphs, 7), []) for _ in range(40)]
-    texts += [sum(rng.sample(paragraphs, 10), []) for _ in range(60)]
-    texts += [texts[0] + ["end"], texts[0] + ["other", "end"], texts[50][:-1]]
-    rows, written = [(i, " ".join(t), "s") for i, t in enumerate(texts)], []
+def test_calls_that_verify_their_pairs_equal_brute_force(documents, rng, monkeypatch):
+    monkeypatch.setattr(jc, "NAMED", 0)
+    rows = corpus(rng)
+    got = jc.component_ids(documents(rows)).collect()
+    assert sorted(repr((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(repr, brute(rows)))
+
+
+def test_what_calls_name_grows_with_the_points(spark, monkeypatch):
+    sets = {i: [1, *range(1000 * i + 2, 1000 * i + 11)] for i in range(300)}
+    points = spark.createDataFrame(
+        [(1, i, 10, i, [10] + [0] * (jc.GROUPS - 1)) for i in sets], "token long, node long, n long, label long, vector array<int>"
+    )
+    whole, written = spark.createDataFrame(list(sets.items()), "node long, tokens array<long>"), []
 
     def materialized(df, write=jc.materialized):
         out = write(df)
-        if {"a", "b"} <= {*out.columns}:
-            written.append(out.count())
+        written.append(out.count())
         return out
 
     monkeypatch.setattr(jc, "materialized", materialized)
-    got = jc.component_ids(documents(rows)).collect()
-    assert sorted(repr((r["doc_id"], r["n_shingles"], r["component_id"])) for r in got) == sorted(map(repr, brute(rows)))
-    assert max(written) <= jc.PIVOTS * len(rows)
+    monkeypatch.setattr(jc, "_prefix_bound", lambda percent: F.col("n_a"))
+    assert jc.rtree_pairs(points).count() == 300 * 299 // 2
+    pairs, links = jc.tree_links(points, lambda nodes: whole.join(nodes, "node", "left_semi"))
+    assert pairs.count() == 0 and links.count() == 0 and max(written) <= 300
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_links_of_the_tree_join_what_is_alike(spark, rng, monkeypatch, few):
+@pytest.mark.parametrize(("few", "named"), [(False, 1), (False, 0), (True, 0)])
+def test_links_of_the_tree_join_what_is_alike(spark, rng, monkeypatch, few, named):
+    monkeypatch.setattr(jc, "NAMED", named)
     if few:  # sets count as many points, so units are cut into leaves
         monkeypatch.setattr(jc, "LEAF", 64)
         monkeypatch.setattr(jc, "POINT_TOKENS", 16)
@@ -117,7 +124,8 @@ def test_links_of_the_tree_join_what_is_alike(spark, rng, monkeypatch, few):
     ]
     points = spark.createDataFrame(rows, "token long, node long, n long, label long, vector array<int>")
     whole = spark.createDataFrame([(i, s) for i, s in enumerate(sets)] * 2, "node long, tokens array<long>")
-    links = jc.tree_links(points, lambda nodes: whole.join(nodes, "node", "left_semi"))
+    pairs, links = jc.tree_links(points, lambda nodes: whole.join(nodes, "node", "left_semi"))
+    links = links.union(jc.verified(pairs, whole))
     alike = [
         (i, j) for j in range(60) for i in range(j)
         if 100 * len({*sets[i]} & {*sets[j]}) >= 80 * len({*sets[i]} | {*sets[j]})
